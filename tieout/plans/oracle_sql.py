@@ -251,6 +251,58 @@ aging AS (
               ELSE 'LOW' END AS triage_priority
   FROM (SELECT *, CAST({AS_OF} - coalesce(business_date, sl_posting_date, gl_posting_date) AS INTEGER) AS age_days
         FROM txn_level WHERE status = 'BREAK') b
+),
+variance AS (
+  SELECT c.posting_date, c.entity_id, e.entity_code, e.functional_currency, c.account_code, a.account_name,
+         a.account_type, c.sl_balance_usd, c.gl_balance_usd, c.variance_usd,
+         CAST(abs(c.variance_usd) AS DECIMAL(18,2)) AS abs_variance_usd, c.materiality_usd, c.severity,
+         CASE WHEN abs(c.variance_usd) >= c.materiality_usd THEN true ELSE false END AS is_material,
+         c.status,
+         CAST(rank() OVER (PARTITION BY c.posting_date ORDER BY abs(c.variance_usd) DESC) AS BIGINT)
+           AS variance_rank_in_day
+  FROM control c
+  LEFT JOIN raw_dim_entity e ON e.entity_id = c.entity_id
+  LEFT JOIN raw_dim_account a ON a.account_code = c.account_code
+  WHERE c.status <> 'PASS'
+),
+fx_reval AS (
+  SELECT gl.entity_id, gl.posting_date, gl.account_code, gl.currency, gl.amount_currency,
+         gl.fx_rate AS posted_fx_rate, fx.rate AS eod_fx_rate,
+         CAST(gl.debit_usd + gl.credit_usd AS DECIMAL(18,2)) AS actual_amount_usd,
+         CAST(gl.amount_currency * fx.rate AS DECIMAL(38,10)) AS recomputed_amount_usd,
+         CAST(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd) AS DECIMAL(18,2)) AS fx_variance_usd,
+         CASE WHEN abs(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd)) <= 0.05 THEN 'PASS'
+              WHEN abs(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd)) <= 5.00 THEN 'WARN'
+              ELSE 'FAIL' END AS status
+  FROM stg_gl gl
+  LEFT JOIN raw_fx_rate fx ON fx.from_currency = gl.currency AND fx.to_currency = 'USD'
+                          AND fx.rate_date = gl.posting_date
+  WHERE gl.currency <> 'USD'
+),
+suspense AS (
+  SELECT entity_id, account_code, posting_date, daily_debits_usd, daily_credits_usd,
+         running_balance_usd AS suspense_balance_usd,
+         CASE WHEN running_balance_usd = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM gl_tb WHERE account_code LIKE '9%'
+),
+manual_je AS (
+  SELECT m.journal_id, m.journal_line_id, m.entity_id, m.business_date, m.posting_date, m.account_code,
+         a.account_name, a.is_control_account, CAST(m.debit_usd + m.credit_usd AS DECIMAL(18,2)) AS amount_usd,
+         m.created_by, m.description, CASE WHEN a.is_control_account THEN 'FAIL' ELSE 'PASS' END AS status
+  FROM stg_gl m LEFT JOIN raw_dim_account a ON a.account_code = m.account_code
+  WHERE m.source_system = 'MANUAL' AND a.is_control_account = true
+),
+chart_hierarchy AS (
+  WITH RECURSIVE w AS (
+    SELECT account_code, account_name, account_type, parent_account_code, is_control_account,
+           subledger_source, 0 AS level, account_code AS root_code, CAST(account_code AS VARCHAR) AS path
+    FROM raw_dim_account WHERE parent_account_code IS NULL
+    UNION ALL
+    SELECT c.account_code, c.account_name, c.account_type, c.parent_account_code, c.is_control_account,
+           c.subledger_source, p.level + 1, p.root_code, p.path || '/' || c.account_code
+    FROM raw_dim_account c JOIN w p ON c.parent_account_code = p.account_code
+  )
+  SELECT * FROM w
 )
 """
 

@@ -1 +1,210 @@
-"""Registered queries."""
+"""Registered queries: data-quality operators over the ledger."""
+
+from __future__ import annotations
+
+from tieout.operators import quality
+from tieout.plans import checks
+from tieout.plans.catalog import register
+from tieout.plans.ledger import fixture_ledger as L
+from tieout.plans.oracle_sql import q
+from tieout.sources import reference_data as R
+
+
+@register("dq_not_null", q("SELECT * FROM txn_level WHERE posting_role IS NULL"))
+def dq_not_null(spark, sf_dir):
+    """GL-only match rows have no posting role."""
+    return quality.dq_not_null(L(spark, sf_dir).txn_level(), "posting_role")
+
+
+@register(
+    "dq_unique",
+    q("""SELECT journal_id, CAST(count(*) AS BIGINT) AS n_records FROM raw_gl_journal
+         WHERE journal_id IS NOT NULL GROUP BY journal_id HAVING count(*) > 1"""),
+)
+def dq_unique(spark, sf_dir):
+    return quality.dq_unique(L(spark, sf_dir).raw("gl_journal"), "journal_id")
+
+
+@register("dq_accepted_values", q("SELECT * FROM stg_gl WHERE source_system NOT IN ('AP', 'AR', 'INV')"))
+def dq_accepted_values(spark, sf_dir):
+    return quality.dq_accepted_values(L(spark, sf_dir).stg_gl(), "source_system", ["AP", "AR", "INV"])
+
+
+@register(
+    "dq_relationships",
+    q("""SELECT * FROM stg_gl g WHERE g.source_system IN ('AP', 'AR', 'INV') AND g.source_doc_id IS NOT NULL
+           AND NOT EXISTS (SELECT 1 FROM postings p WHERE p.source_doc_id = g.source_doc_id)"""),
+)
+def dq_relationships(spark, sf_dir):
+    """GL lines whose source document is not in the sub-ledger."""
+    led = L(spark, sf_dir)
+    gl = led.stg_gl().filter("source_system IN ('AP', 'AR', 'INV') AND source_doc_id IS NOT NULL")
+    return quality.dq_relationships(gl, "source_doc_id", led.postings(), "source_doc_id")
+
+
+@register(
+    "dq_expression_is_true",
+    q("SELECT * FROM txn_level WHERE NOT (abs(amount_delta_usd) <= amount_tolerance_usd)"),
+)
+def dq_expression_is_true(spark, sf_dir):
+    return quality.dq_expression_is_true(L(spark, sf_dir).txn_level(), "abs(amount_delta_usd) <= amount_tolerance_usd")
+
+
+@register(
+    "dq_unique_combination",
+    q("""SELECT journal_id, journal_line_id, CAST(count(*) AS BIGINT) AS n_records FROM raw_gl_journal
+         GROUP BY journal_id, journal_line_id HAVING count(*) > 1"""),
+)
+def dq_unique_combination(spark, sf_dir):
+    """Replayed GL lines: the raw feed repeats (journal_id, journal_line_id)."""
+    return quality.dq_unique_combination(L(spark, sf_dir).raw("gl_journal"), ["journal_id", "journal_line_id"])
+
+
+@register(
+    "dq_severity",
+    q("""SELECT CAST(count(*) AS BIGINT) AS failures,
+                CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'PASS' END AS status
+         FROM (SELECT journal_id FROM stg_gl GROUP BY journal_id
+               HAVING abs(sum(debit_usd) - sum(credit_usd)) > 0.01) f"""),
+)
+def dq_severity(spark, sf_dir):
+    """GL balance test at its declared severity: warn above 0, never error."""
+    return quality.dq_severity(quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl()), 0, 1500, "warn")
+
+
+@register("dq_contract")
+def dq_contract(spark, sf_dir):
+    """Contract of the transaction-level mart (no SQL equivalent: schema introspection)."""
+    return quality.dq_contract(L(spark, sf_dir).txn_level(), quality.TXN_LEVEL_CONTRACT)
+
+
+@register("dq_contract_control_account")
+def dq_contract_control_account(spark, sf_dir):
+    return quality.dq_contract(L(spark, sf_dir).control(), quality.CONTROL_ACCOUNT_CONTRACT)
+
+
+_BAL = """SELECT {g}, CAST(sum(debit_usd) AS DECIMAL(38,2)) AS total_debit,
+                 CAST(sum(credit_usd) AS DECIMAL(38,2)) AS total_credit,
+                 CAST(sum(debit_usd) - sum(credit_usd) AS DECIMAL(38,2)) AS variance_usd
+          FROM {t} GROUP BY {g} HAVING abs(sum(debit_usd) - sum(credit_usd)) > 0.01"""
+
+
+@register("assert_balanced", q(_BAL.format(g="entity_id, posting_date", t="postings")))
+def assert_balanced(spark, sf_dir):
+    """Sub-ledger postings balanced per (entity, day)."""
+    return quality.assert_balanced(L(spark, sf_dir).postings(), ["entity_id", "posting_date"])
+
+
+@register("test_gl_journal_balanced", q(_BAL.format(g="journal_id", t="stg_gl")))
+def test_gl_journal_balanced(spark, sf_dir):
+    return quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl())
+
+
+@register("clean_journal_balance", q(_BAL.format(g="journal_id", t="stg_gl")
+                                     .replace("FROM stg_gl", "FROM stg_gl WHERE source_system <> 'MANUAL'")))
+def clean_journal_balance(spark, sf_dir):
+    """Per-journal debits vs credits of the feed-generated journals."""
+    return quality.assert_balanced(L(spark, sf_dir).stg_gl().filter("source_system <> 'MANUAL'"), ["journal_id"])
+
+
+@register("test_subledger_postings_balanced", q(_BAL.format(g="source_system, source_doc_id", t="postings")))
+def test_subledger_postings_balanced(spark, sf_dir):
+    return quality.test_subledger_postings_balanced(L(spark, sf_dir).postings())
+
+
+@register("unbalanced_docs", q(_BAL.format(g="journal_id", t="stg_gl")
+                               + " ORDER BY abs(sum(debit_usd) - sum(credit_usd)) DESC, journal_id LIMIT 10"))
+def unbalanced_docs(spark, sf_dir):
+    """Documented diagnostic: the 10 most unbalanced journals (a top-k report)."""
+    from pyspark.sql import functions as F
+
+    b = quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl())
+    return b.orderBy(F.abs("variance_usd").desc(), "journal_id").limit(10)
+
+
+@register("test_no_orphan_breaks", q("SELECT * FROM txn_level WHERE status = 'BREAK' AND break_class = 'UNKNOWN'"))
+def test_no_orphan_breaks(spark, sf_dir):
+    return quality.test_no_orphan_breaks(L(spark, sf_dir).txn_level())
+
+
+@register("dq_check_constraints", q(checks.gl_constraints_sql_body()))
+def dq_check_constraints(spark, sf_dir):
+    return checks.gl_constraints_spark(L(spark, sf_dir))
+
+
+@register("dq_report", q(checks.dq_report_sql_body()))
+def dq_report(spark, sf_dir):
+    return checks.dq_report(L(spark, sf_dir))
+
+
+@register(
+    "classify_materiality",
+    q("""SELECT c.entity_id, c.account_code, c.posting_date, abs(c.variance_usd) AS breaks_value_usd,
+                coalesce(m.materiality_usd, md.materiality_usd) AS materiality_usd,
+                coalesce(m.severity, md.severity) AS severity,
+                CASE WHEN abs(c.variance_usd) = 0 THEN 'PASS'
+                     WHEN abs(c.variance_usd) >= coalesce(m.materiality_usd, md.materiality_usd) THEN 'FAIL'
+                     ELSE 'WARN' END AS status
+         FROM control c
+         LEFT JOIN raw_materiality m ON m.account_code = c.account_code AND m.account_code <> 'DEFAULT'
+         CROSS JOIN mat_default md"""),
+)
+def classify_materiality(spark, sf_dir):
+    """Python-classifier rule (zero PASS, >= threshold FAIL) on control variances."""
+    from pyspark.sql import functions as F
+
+    from tieout.functions.rules import classify_by_account
+
+    led = L(spark, sf_dir)
+    c = led.control().select("entity_id", "account_code", "posting_date",
+                             F.abs("variance_usd").alias("breaks_value_usd"))
+    return classify_by_account(c, "account_code", "breaks_value_usd", led.materiality())
+
+
+@register(
+    "resolve_tolerance",
+    q("""SELECT p.source_doc_id, p.account_code, p.posting_role,
+                coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd) AS amount_tolerance_usd,
+                coalesce(ts.timing_tolerance_days, td.timing_tolerance_days) AS timing_tolerance_days,
+                coalesce(ts.fx_tolerance_pct, td.fx_tolerance_pct) AS fx_tolerance_pct
+         FROM postings p
+         LEFT JOIN raw_tolerance_rules ts ON ts.account_code = p.account_code AND ts.account_code <> 'DEFAULT'
+         CROSS JOIN tol_default td"""),
+)
+def resolve_tolerance(spark, sf_dir):
+    from tieout.functions.rules import resolve_tolerance as _rt
+
+    led = L(spark, sf_dir)
+    p = led.postings().select("source_doc_id", "account_code", "posting_role")
+    return _rt(p, "account_code", led.tolerance_rules())
+
+
+@register(
+    "resolve_materiality",
+    q("""SELECT t.entity_id, t.account_code, t.posting_date,
+                coalesce(m.materiality_usd, md.materiality_usd) AS materiality_usd,
+                coalesce(m.severity, md.severity) AS severity
+         FROM gl_tb t
+         LEFT JOIN raw_materiality m ON m.account_code = t.account_code AND m.account_code <> 'DEFAULT'
+         CROSS JOIN mat_default md"""),
+)
+def resolve_materiality(spark, sf_dir):
+    from tieout.functions.rules import resolve_materiality as _rm
+
+    led = L(spark, sf_dir)
+    return _rm(led.gl_tb().select("entity_id", "account_code", "posting_date"), "account_code", led.materiality())
+
+
+@register(
+    "categorize_break",
+    q("SELECT break_class, CAST(count(*) AS BIGINT) AS n FROM txn_level WHERE status = 'BREAK' GROUP BY break_class"),
+)
+def categorize_break(spark, sf_dir):
+    """Break classes over all BREAK rows of the match."""
+    from pyspark.sql import functions as F
+
+    t = L(spark, sf_dir).txn_level().filter(F.col("status") == "BREAK")
+    return t.groupBy("break_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+_ = R
