@@ -12,7 +12,78 @@ RECON_AT = "TIMESTAMP '2024-02-01 08:00:00'"
 AS_OF = "DATE '2001-08-01'"
 FRESH_AS_OF = "TIMESTAMP '2024-02-01 20:00:00'"
 
+MATCH_TEMPLATE = """
+{p}sl_side AS (
+  SELECT *, row_number() OVER (PARTITION BY source_system, source_doc_id, account_code, direction
+                               ORDER BY sl_posting_date, sl_amount_usd, posting_role, entity_id, business_date,
+                                        currency) AS dup_seq
+  FROM (SELECT source_system, source_doc_id, entity_id, business_date, posting_date AS sl_posting_date,
+               account_code, currency, amount_usd AS sl_amount_usd, posting_role,
+               CASE WHEN debit_usd > 0 THEN 'D' WHEN credit_usd > 0 THEN 'C' END AS direction
+        FROM {postings}) s
+),
+{p}gl_side AS (
+  SELECT *, row_number() OVER (PARTITION BY source_system, source_doc_id, account_code, direction
+                               ORDER BY gl_posting_date, gl_amount_usd, journal_id, journal_line_id) AS dup_seq
+  FROM (SELECT source_system, source_doc_id, entity_id, business_date, posting_date AS gl_posting_date,
+               account_code, currency, CAST(debit_usd + credit_usd AS DECIMAL(18,2)) AS gl_amount_usd,
+               journal_id, journal_line_id,
+               CASE WHEN debit_usd > 0 THEN 'D' WHEN credit_usd > 0 THEN 'C' END AS direction
+        FROM {stg_gl} WHERE source_system IN ('AP', 'AR', 'INV') AND source_doc_id IS NOT NULL) g
+),
+{p}matched AS (
+  SELECT coalesce(sl.source_system, gl.source_system) AS source_system,
+         coalesce(sl.source_doc_id, gl.source_doc_id) AS source_doc_id,
+         coalesce(sl.account_code, gl.account_code) AS account_code,
+         coalesce(sl.entity_id, gl.entity_id) AS entity_id,
+         coalesce(sl.business_date, gl.business_date) AS business_date,
+         coalesce(sl.currency, gl.currency) AS currency,
+         sl.posting_role, sl.sl_posting_date, gl.gl_posting_date, sl.sl_amount_usd, gl.gl_amount_usd,
+         gl.journal_id, gl.journal_line_id
+  FROM {p}sl_side sl FULL OUTER JOIN {p}gl_side gl
+    ON sl.source_system = gl.source_system AND sl.source_doc_id = gl.source_doc_id
+   AND sl.account_code = gl.account_code AND sl.direction = gl.direction AND sl.dup_seq = gl.dup_seq
+),
+{p}txn_level AS (
+  SELECT m.*,
+         CAST(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0) AS DECIMAL(18,2)) AS amount_delta_usd,
+         CAST(coalesce(m.gl_posting_date - m.sl_posting_date, 0) AS INTEGER) AS posting_lag_days,
+         coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd) AS amount_tolerance_usd,
+         coalesce(ts.timing_tolerance_days, td.timing_tolerance_days) AS timing_tolerance_days,
+         CASE
+           WHEN m.sl_amount_usd IS NOT NULL AND m.gl_amount_usd IS NULL THEN 'MISSING_GL_POSTING'
+           WHEN m.sl_amount_usd IS NULL AND m.gl_amount_usd IS NOT NULL THEN 'MISSING_SL_POSTING'
+           WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
+                  > coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd)
+            AND abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0)) < 0.10
+            AND m.currency <> 'USD' THEN 'FX_ROUNDING'
+           WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
+                  > coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd) THEN 'AMOUNT_MISMATCH'
+           WHEN abs(m.gl_posting_date - m.sl_posting_date)
+                  > coalesce(ts.timing_tolerance_days, td.timing_tolerance_days) THEN 'TIMING_DIFF'
+           ELSE 'UNKNOWN' END AS break_class,
+         CASE WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
+                     <= coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd)
+               AND abs(coalesce(m.gl_posting_date - m.sl_posting_date, 0))
+                     <= coalesce(ts.timing_tolerance_days, td.timing_tolerance_days)
+               AND m.sl_amount_usd IS NOT NULL AND m.gl_amount_usd IS NOT NULL
+              THEN 'MATCHED' ELSE 'BREAK' END AS status,
+         TIMESTAMP '2024-02-01 08:00:00' AS recon_at
+  FROM {p}matched m
+  LEFT JOIN raw_tolerance_rules ts ON ts.account_code = m.account_code AND ts.account_code <> 'DEFAULT'
+  CROSS JOIN tol_default td
+)
+"""
+
+
+def match_ctes(prefix: str = "", postings: str = "postings", stg_gl: str = "stg_gl") -> str:
+    """sl_side -> gl_side -> matched -> txn_level over the given sources, CTE names prefixed."""
+    return MATCH_TEMPLATE.format(p=prefix, postings=postings, stg_gl=stg_gl)
+
+
 PIPELINE_CTES = f"""
+tol_default AS (SELECT * FROM raw_tolerance_rules WHERE account_code = 'DEFAULT'),
+mat_default AS (SELECT * FROM raw_materiality WHERE account_code = 'DEFAULT'),
 stg_gl AS (
   SELECT journal_id, journal_line_id, entity_id, business_date, posting_date, account_code, debit_usd, credit_usd,
          CAST(debit_usd - credit_usd AS DECIMAL(18,2)) AS net_amount_usd, currency, amount_currency, fx_rate,
@@ -113,68 +184,7 @@ gl_tb AS (
             AS running_balance_usd
   FROM gl_daily
 ),
-sl_side AS (
-  SELECT *, row_number() OVER (PARTITION BY source_system, source_doc_id, account_code, direction
-                               ORDER BY sl_posting_date, sl_amount_usd, posting_role, entity_id, business_date,
-                                        currency) AS dup_seq
-  FROM (SELECT source_system, source_doc_id, entity_id, business_date, posting_date AS sl_posting_date,
-               account_code, currency, amount_usd AS sl_amount_usd, posting_role,
-               CASE WHEN debit_usd > 0 THEN 'D' WHEN credit_usd > 0 THEN 'C' END AS direction
-        FROM postings) s
-),
-gl_side AS (
-  SELECT *, row_number() OVER (PARTITION BY source_system, source_doc_id, account_code, direction
-                               ORDER BY gl_posting_date, gl_amount_usd, journal_id, journal_line_id) AS dup_seq
-  FROM (SELECT source_system, source_doc_id, entity_id, business_date, posting_date AS gl_posting_date,
-               account_code, currency, CAST(debit_usd + credit_usd AS DECIMAL(18,2)) AS gl_amount_usd,
-               journal_id, journal_line_id,
-               CASE WHEN debit_usd > 0 THEN 'D' WHEN credit_usd > 0 THEN 'C' END AS direction
-        FROM stg_gl WHERE source_system IN ('AP', 'AR', 'INV') AND source_doc_id IS NOT NULL) g
-),
-matched AS (
-  SELECT coalesce(sl.source_system, gl.source_system) AS source_system,
-         coalesce(sl.source_doc_id, gl.source_doc_id) AS source_doc_id,
-         coalesce(sl.account_code, gl.account_code) AS account_code,
-         coalesce(sl.entity_id, gl.entity_id) AS entity_id,
-         coalesce(sl.business_date, gl.business_date) AS business_date,
-         coalesce(sl.currency, gl.currency) AS currency,
-         sl.posting_role, sl.sl_posting_date, gl.gl_posting_date, sl.sl_amount_usd, gl.gl_amount_usd,
-         gl.journal_id, gl.journal_line_id
-  FROM sl_side sl FULL OUTER JOIN gl_side gl
-    ON sl.source_system = gl.source_system AND sl.source_doc_id = gl.source_doc_id
-   AND sl.account_code = gl.account_code AND sl.direction = gl.direction AND sl.dup_seq = gl.dup_seq
-),
-tol_default AS (SELECT * FROM raw_tolerance_rules WHERE account_code = 'DEFAULT'),
-mat_default AS (SELECT * FROM raw_materiality WHERE account_code = 'DEFAULT'),
-txn_level AS (
-  SELECT m.*,
-         CAST(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0) AS DECIMAL(18,2)) AS amount_delta_usd,
-         CAST(coalesce(m.gl_posting_date - m.sl_posting_date, 0) AS INTEGER) AS posting_lag_days,
-         coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd) AS amount_tolerance_usd,
-         coalesce(ts.timing_tolerance_days, td.timing_tolerance_days) AS timing_tolerance_days,
-         CASE
-           WHEN m.sl_amount_usd IS NOT NULL AND m.gl_amount_usd IS NULL THEN 'MISSING_GL_POSTING'
-           WHEN m.sl_amount_usd IS NULL AND m.gl_amount_usd IS NOT NULL THEN 'MISSING_SL_POSTING'
-           WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
-                  > coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd)
-            AND abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0)) < 0.10
-            AND m.currency <> 'USD' THEN 'FX_ROUNDING'
-           WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
-                  > coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd) THEN 'AMOUNT_MISMATCH'
-           WHEN abs(m.gl_posting_date - m.sl_posting_date)
-                  > coalesce(ts.timing_tolerance_days, td.timing_tolerance_days) THEN 'TIMING_DIFF'
-           ELSE 'UNKNOWN' END AS break_class,
-         CASE WHEN abs(coalesce(m.sl_amount_usd, 0) - coalesce(m.gl_amount_usd, 0))
-                     <= coalesce(ts.amount_tolerance_usd, td.amount_tolerance_usd)
-               AND abs(coalesce(m.gl_posting_date - m.sl_posting_date, 0))
-                     <= coalesce(ts.timing_tolerance_days, td.timing_tolerance_days)
-               AND m.sl_amount_usd IS NOT NULL AND m.gl_amount_usd IS NOT NULL
-              THEN 'MATCHED' ELSE 'BREAK' END AS status,
-         {RECON_AT} AS recon_at
-  FROM matched m
-  LEFT JOIN raw_tolerance_rules ts ON ts.account_code = m.account_code AND ts.account_code <> 'DEFAULT'
-  CROSS JOIN tol_default td
-),
+""" + match_ctes() + f""",
 control_joined AS (
   SELECT coalesce(sl.entity_id, gl.entity_id) AS entity_id,
          coalesce(sl.account_code, gl.account_code) AS account_code,

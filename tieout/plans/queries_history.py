@@ -1 +1,154 @@
-"""Registered queries."""
+"""Registered queries: merge, incremental window, SCD2."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from tieout.operators import history
+from tieout.plans.catalog import register
+from tieout.plans.ledger import fixture_ledger as L
+from tieout.plans.oracle_sql import match_ctes, q
+from tieout.plans.session import ensure_checkpoint_dir
+from tieout.sources.fixtures import fixture
+
+_INC = """inc_start AS (
+  SELECT coalesce(max(coalesce(sl_posting_date, gl_posting_date)), DATE '1900-01-01') - 14 AS d FROM txn_level
+),
+inc_postings AS (SELECT * FROM postings WHERE posting_date >= (SELECT d FROM inc_start)),
+inc_gl AS (SELECT * FROM stg_gl WHERE posting_date >= (SELECT d FROM inc_start)),
+inc_docs AS (
+  SELECT source_system, source_doc_id FROM postings WHERE posting_date >= (SELECT d FROM inc_start)
+  UNION
+  SELECT source_system, source_doc_id FROM stg_gl WHERE posting_date >= (SELECT d FROM inc_start)
+),
+doc_postings AS (SELECT p.* FROM postings p SEMI JOIN inc_docs d USING (source_system, source_doc_id)),
+doc_gl AS (SELECT g.* FROM stg_gl g SEMI JOIN inc_docs d USING (source_system, source_doc_id)),
+""" + match_ctes("inc_", "inc_postings", "inc_gl") + ",\n" + match_ctes("doc_", "doc_postings", "doc_gl") + """,
+merged AS (
+  SELECT * FROM txn_level t
+  WHERE NOT EXISTS (SELECT 1 FROM inc_txn_level s
+                    WHERE s.source_system IS NOT DISTINCT FROM t.source_system
+                      AND s.source_doc_id IS NOT DISTINCT FROM t.source_doc_id
+                      AND s.account_code IS NOT DISTINCT FROM t.account_code
+                      AND s.posting_role IS NOT DISTINCT FROM t.posting_role)
+  UNION ALL
+  SELECT * FROM inc_txn_level
+)"""
+
+
+def _slice(spark, sf_dir, by_document=False):
+    led = L(spark, sf_dir)
+    target = led.txn_level()
+    start = history.window_start(target)
+    return history.incremental_slice(
+        led.postings(), led.stg_gl(), led.tolerance_rules(), start, led.params.recon_at, by_document=by_document
+    ), target, start
+
+
+@register("recon_transaction_incremental", q("SELECT * FROM inc_txn_level", _INC))
+def recon_transaction_incremental(spark, sf_dir):
+    """The 14-day re-match slice against the current mart (faithful per-side filter)."""
+    return _slice(spark, sf_dir)[0]
+
+
+@register("recon_transaction_incremental_by_document", q("SELECT * FROM doc_txn_level", _INC))
+def recon_transaction_incremental_by_document(spark, sf_dir):
+    """The slice recomputed for whole documents touched in the window."""
+    return _slice(spark, sf_dir, by_document=True)[0]
+
+
+@register("merge_upsert", q("SELECT * FROM merged", _INC))
+def merge_upsert(spark, sf_dir):
+    """Null-safe upsert of the incremental slice into the mart."""
+    sl, target, _ = _slice(spark, sf_dir)
+    return history.merge_upsert(target, sl, history.TXN_KEYS)
+
+
+@register(
+    "merge_upsert_parquet",
+    q("SELECT *, strftime(coalesce(sl_posting_date, gl_posting_date), '%Y-%m') AS posting_month FROM merged", _INC),
+)
+def merge_upsert_parquet(spark, sf_dir):
+    """The same upsert done on files: initial write, then a partition-scoped merge; read back."""
+    sl, target, _ = _slice(spark, sf_dir)
+    root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{uuid.uuid4().hex}")
+    path = os.path.join(root, "recon_transaction_level")
+    history.merge_into_path(spark, path, target, history.TXN_KEYS, root)
+    out = history.merge_into_path(spark, path, sl, history.TXN_KEYS, root)
+    cols = [c for c in target.columns] + ["posting_month"]
+    return out.select(*cols)
+
+
+# ------------------------------------------------------------------ SCD2
+T1, T2, T_MID = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-01-15 00:00:00"
+_CHECK = ["account_name", "account_type", "parent_account_code"]
+
+
+def _versions(spark, sf_dir):
+    tree = fixture(spark, sf_dir).part_tree().select("account_code", *_CHECK)
+    k = F.col("account_code").cast("bigint")
+    a = tree
+    b = tree.filter(k % 11 != 0).withColumn(
+        "account_type", F.when(k % 7 == 0, F.concat("account_type", F.lit(" (rev)"))).otherwise(F.col("account_type"))
+    ).unionByName(
+        tree.filter(k % 13 == 0).select(
+            (k + 100000).cast("string").alias("account_code"), "account_name", "account_type",
+            F.lit(None).cast("string").alias("parent_account_code"),
+        )
+    )
+    return a, b
+
+
+def _snap2(spark, sf_dir):
+    a, b = _versions(spark, sf_dir)
+    s1 = history.scd2_snapshot(None, a, "account_code", _CHECK, T1)
+    return history.scd2_snapshot(s1, b, "account_code", _CHECK, T2)
+
+
+_SAME = " AND ".join(f"o.{c} IS NOT DISTINCT FROM s.{c}" for c in _CHECK)
+_SCD = f"""scd_a AS (SELECT account_code, account_name, account_type, parent_account_code FROM raw_part_tree),
+scd_b AS (
+  SELECT account_code, account_name,
+         CASE WHEN CAST(account_code AS BIGINT) % 7 = 0 THEN account_type || ' (rev)' ELSE account_type END AS account_type,
+         parent_account_code
+  FROM raw_part_tree WHERE CAST(account_code AS BIGINT) % 11 <> 0
+  UNION ALL
+  SELECT CAST(CAST(account_code AS BIGINT) + 100000 AS VARCHAR), account_name, account_type, CAST(NULL AS VARCHAR)
+  FROM raw_part_tree WHERE CAST(account_code AS BIGINT) % 13 = 0
+),
+snap1 AS (
+  SELECT *, account_code || '@{T1}' AS scd_id, TIMESTAMP '{T1}' AS valid_from,
+         CAST(NULL AS TIMESTAMP) AS valid_to, TIMESTAMP '{T1}' AS updated_at
+  FROM scd_a
+),
+snap2 AS (
+  SELECT o.* FROM snap1 o JOIN scd_b s ON o.account_code = s.account_code WHERE {_SAME}
+  UNION ALL
+  SELECT o.account_code, o.account_name, o.account_type, o.parent_account_code, o.scd_id, o.valid_from,
+         TIMESTAMP '{T2}', TIMESTAMP '{T2}'
+  FROM snap1 o LEFT JOIN scd_b s ON o.account_code = s.account_code
+  WHERE s.account_code IS NULL OR NOT ({_SAME})
+  UNION ALL
+  SELECT s.account_code, s.account_name, s.account_type, s.parent_account_code, s.account_code || '@{T2}',
+         TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP), TIMESTAMP '{T2}'
+  FROM scd_b s LEFT JOIN snap1 o ON o.account_code = s.account_code
+  WHERE o.account_code IS NULL OR NOT ({_SAME})
+)"""
+
+
+@register("scd2_snapshot", q("SELECT * FROM snap2", _SCD))
+def scd2_snapshot(spark, sf_dir):
+    """Two snapshots of the `part` account tree: changed, deleted and new keys."""
+    return _snap2(spark, sf_dir)
+
+
+@register(
+    "scd2_as_of",
+    q(f"""SELECT * FROM snap2 WHERE valid_from <= TIMESTAMP '{T_MID}'
+          AND (valid_to IS NULL OR TIMESTAMP '{T_MID}' < valid_to)""", _SCD),
+)
+def scd2_as_of(spark, sf_dir):
+    return history.scd2_as_of(_snap2(spark, sf_dir), T_MID)
