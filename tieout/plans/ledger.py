@@ -35,13 +35,20 @@ class Ledger:
     seed: Callable[[str], DataFrame]
     params: RunParams = field(default_factory=RunParams)
     persist: bool = True
+    # shared folder for materialised layers; None keeps them as cached frames
+    table_dir: str | None = None
     _memo: dict = field(default_factory=dict)
 
     def _get(self, key: str, build: Callable[[], DataFrame], persist: bool = False) -> DataFrame:
         if key not in self._memo:
             df = build()
             if persist and self.persist:
-                df = df.persist()
+                if self.table_dir:
+                    from tieout.plans.materialize import write_table
+
+                    df = write_table(df, f"{self.table_dir}/{key}")
+                else:
+                    df = df.persist()
             self._memo[key] = df
         return self._memo[key]
 
@@ -129,6 +136,45 @@ class Ledger:
             "subledger_source",
         )))
 
+    # ------------------------------------------------------------------- audit
+    def scorecard(self) -> DataFrame:
+        from tieout.operators import audit
+
+        return self._get("scorecard", lambda: audit.monthly_scorecard(
+            self.control(), self.txn_level(), self.roll_forward()), persist=True)
+
+    def audit_checks(self) -> DataFrame:
+        """Current state of the check results: latest event per (run, check)."""
+        from pyspark.sql import functions as F
+
+        from tieout.operators import audit
+
+        return self._get("audit_checks", lambda: audit.check_results(
+            self.scorecard().withColumn("run_id", F.concat(F.lit("run-"), F.col("business_month")))))
+
+    def run_events(self) -> DataFrame:
+        """Append-only run log: RUNNING start events then finalize events."""
+        from tieout.operators import audit
+
+        def build():
+            start = audit.audit_start_run(audit.runs_from_scorecard(self.scorecard()))
+            final, _ = audit.audit_finalize(start, self.audit_checks())
+            return start.select(*audit.RUN_COLUMNS).unionByName(final)
+
+        return self._get("run_events", build)
+
+    def audit_runs(self) -> DataFrame:
+        from tieout.operators import audit
+
+        return self._get("audit_runs", lambda: audit.latest_runs(self.run_events()))
+
+    def run_row_counts(self) -> DataFrame:
+        from tieout.operators import audit
+
+        return self._get("run_row_counts", lambda: audit.source_row_counts_by_month(
+            {t: self.raw(t) for t in ["ap_invoices", "ap_payments", "ar_invoices", "ar_receipts",
+                                      "inv_transactions", "gl_journal"]}))
+
     def unpersist(self) -> None:
         for df in self._memo.values():
             df.unpersist()
@@ -155,11 +201,25 @@ def fixture_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     """Ledger over the driver fixture; one per (session, sf_dir)."""
     from tieout.sources.fixtures import fixture
 
+    from tieout.plans.materialize import new_table_dir, write_table
+    from tieout.sources.files import scan_raw_table
+    from tieout.sources.schemas import RAW_TABLES, raw_schema
+
     key = (id(spark), sf_dir)
     led = _LEDGERS.get(key)
     if led is None or led.spark is not spark:
         fx = fixture(spark, sf_dir)
-        led = Ledger(spark, fx.raw, seed_frames(spark))
+        warehouse = new_table_dir(spark, "fixture-warehouse")
+        for t in RAW_TABLES:
+            # typed as declared, ingestion times kept (they order GL replays)
+            src = fx.raw(t)
+            cols = [src[f.name].cast(f.dataType).alias(f.name) for f in raw_schema(t).fields]
+            write_table(src.select(*cols), f"{warehouse}/{t}")
+        fx.documents().unpersist()
+        led = Ledger(
+            spark, lambda t: scan_raw_table(spark, warehouse, t), seed_frames(spark),
+            table_dir=f"{warehouse}/marts",
+        )
         _LEDGERS[key] = led
     return led
 

@@ -16,6 +16,7 @@ ENGINE_CONF = {
     # lets a join on (key, seq) reuse a partitioning on key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
