@@ -250,14 +250,33 @@ def dq_report(models: Mapping[str, Callable[[], DataFrame]], checks: Sequence[Ch
         stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(cs))
         long = wide.selectExpr(f"stack({len(cs)}, {stack}) AS (test_name, failures)")
         parts.append(long.withColumn("model", F.lit(model)))
+    # all uniqueness checks of one model share ONE shuffle: each row is expanded
+    # to (check, key) pairs, counted per pair with map-side partial counts, and
+    # the keys seen more than once are counted per check
+    uniq: dict[str, list[Check]] = {}
     for c in checks:
-        if _row_level(c) is not None:
+        if c.kind in ("unique", "unique_combination"):
+            uniq.setdefault(c.model, []).append(c)
+    for model, cs in uniq.items():
+        df = models[model]()
+        pairs = []
+        for c in cs:
+            cols = [c.column] if c.kind == "unique" else list(c.arg)
+            key = F.to_json(F.struct(*[F.col(x) for x in cols])) if len(cols) > 1 else F.col(cols[0]).cast("string")
+            keep = F.col(cols[0]).isNotNull() if c.kind == "unique" else F.lit(True)
+            pairs.append(F.when(keep, F.struct(F.lit(c.name).alias("test_name"), key.alias("k"))))
+        exploded = df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull())
+        dup = exploded.groupBy("p.test_name", "p.k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        found = dup.groupBy("test_name").agg(F.count(F.lit(1)).alias("failures"))
+        names = spark.createDataFrame([(c.name,) for c in cs], "test_name STRING")
+        parts.append(F.broadcast(names).join(found, "test_name", "left").select(
+            "test_name", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
+            F.lit(model).alias("model"),
+        ))
+    for c in checks:
+        if _row_level(c) is not None or c.kind in ("unique", "unique_combination"):
             continue
-        if c.kind == "unique":
-            failing = dq_unique(models[c.model](), c.column)
-        elif c.kind == "unique_combination":
-            failing = dq_unique_combination(models[c.model](), list(c.arg))
-        elif c.kind == "relationships":
+        if c.kind == "relationships":
             parent_model, field = c.arg
             failing = dq_relationships(models[c.model](), c.column, models[parent_model](), field)
         elif c.kind == "singular":
@@ -281,3 +300,25 @@ def dq_report(models: Mapping[str, Callable[[], DataFrame]], checks: Sequence[Ch
         .when(f > F.col("error_if"), "FAIL").when(f > F.col("warn_if"), "WARN").otherwise("PASS")
     )
     return out.select("test_name", "model", f.alias("failures"), status.alias("status"))
+
+
+def run_dq_report(models: Mapping[str, Callable[[], DataFrame]], checks: Sequence[Check],
+                  singular: Mapping[str, Callable[[], DataFrame]], spark: SparkSession,
+                  threads: int = 8) -> DataFrame:
+    """`dq_report` with each model's checks submitted as its own concurrent job.
+
+    The result has one row per declared check (bounded by the check list, not
+    by the data), so it is gathered and returned as a small DataFrame.
+    """
+    from tieout.plans.parallel import run_concurrently
+
+    by_model: dict[str, list[Check]] = {}
+    for c in checks:
+        by_model.setdefault(c.model, []).append(c)
+    tasks = {
+        m: (lambda cs=cs: [tuple(r) for r in dq_report(models, cs, singular, spark).collect()])
+        for m, cs in by_model.items()
+    }
+    results, _ = run_concurrently(tasks, threads)
+    rows = [r for m in by_model for r in results[m]]
+    return spark.createDataFrame(rows, "test_name STRING, model STRING, failures BIGINT, status STRING")

@@ -117,8 +117,9 @@ def spark_singular(led):
     }
 
 
-def dq_report(led):
-    return quality.dq_report(spark_models(led), CHECKS, spark_singular(led), led.spark)
+def dq_report(led, threads: int = 8):
+    """The declared checks, each model's checks as one concurrent job."""
+    return quality.run_dq_report(spark_models(led), CHECKS, spark_singular(led), led.spark, threads)
 
 
 # ------------------------------------------------------------------ oracle side

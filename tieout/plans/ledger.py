@@ -10,6 +10,7 @@ per session; losing an executor only recomputes the lost blocks from lineage.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -38,8 +39,17 @@ class Ledger:
     # shared folder for materialised layers; None keeps them as cached frames
     table_dir: str | None = None
     _memo: dict = field(default_factory=dict)
+    _locks: dict = field(default_factory=dict)
+    _guard: threading.Lock = field(default_factory=threading.Lock)
 
     def _get(self, key: str, build: Callable[[], DataFrame], persist: bool = False) -> DataFrame:
+        # layers are built from several threads; one lock per key builds each once
+        with self._guard:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            return self._build_once(key, build, persist)
+
+    def _build_once(self, key: str, build: Callable[[], DataFrame], persist: bool) -> DataFrame:
         if key not in self._memo:
             df = build()
             if persist and self.persist:
