@@ -34,3 +34,4 @@ def load_all() -> None:
     from tieout.plans import queries_history  # noqa: F401
     from tieout.plans import queries_audit  # noqa: F401
     from tieout.plans import queries_reports  # noqa: F401
+    from tieout.plans import queries_streaming  # noqa: F401

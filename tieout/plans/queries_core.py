@@ -385,3 +385,62 @@ def summary_duplicate_invoices(spark, sf_dir):
 def duplicate_invoice_members(spark, sf_dir):
     src = _dup_source(spark, sf_dir)
     return marts.duplicate_invoice_members(src, marts.recon_duplicate_invoices(src))
+
+
+# ------------------------------------------------------------------ file I/O (write, read back)
+def _scratch(spark, label):
+    import os
+    import uuid
+
+    from tieout.plans.session import ensure_checkpoint_dir
+
+    return os.path.join(ensure_checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+_IO_TABLES = ["ap_invoices", "ap_payments", "ar_invoices", "ar_receipts", "inv_transactions", "gl_journal"]
+
+
+@register(
+    "write_tables_csv",
+    q(" UNION ALL ".join(
+        [f"SELECT 'raw__{t}.csv' AS file_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_{t}" for t in _IO_TABLES]
+        + ["SELECT '_breaks_log.csv', CAST(count(*) AS BIGINT) FROM raw_breaks_log"]
+    )),
+)
+def write_tables_csv(spark, sf_dir):
+    """Export the feeds and the breaks log as CSV; row counts read back from the files."""
+    import os
+
+    led = L(spark, sf_dir)
+    folder = _scratch(spark, "csv-export")
+    files.write_tables_csv({t: led.raw(t) for t in _IO_TABLES}, folder, fixture(spark, sf_dir).breaks_log())
+    parts = []
+    for name in [f"raw__{t}.csv" for t in _IO_TABLES] + ["_breaks_log.csv"]:
+        back = spark.read.option("header", True).csv(os.path.join(folder, name))
+        parts.append(back.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("file_name"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("scan_csv_dir", q("SELECT * FROM raw_gl_journal"))
+def scan_csv_dir(spark, sf_dir):
+    """CSV round trip: export the feeds, scan the folder back with declared types."""
+    led = L(spark, sf_dir)
+    folder = _scratch(spark, "csv-dir")
+    files.write_tables_csv({t: led.raw(t) for t in _IO_TABLES}, folder)
+    return files.scan_csv_dir(spark, folder)["gl_journal"]
+
+
+@register(
+    "load_overwrite",
+    q(" UNION ALL ".join(
+        f"SELECT 'raw.{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_{t}" for t in _IO_TABLES
+    )),
+)
+def load_overwrite(spark, sf_dir):
+    """Bulk load (overwrite) of the feeds into a raw warehouse; counts of what landed."""
+    led = L(spark, sf_dir)
+    wh = _scratch(spark, "raw-load")
+    return files.load_overwrite(spark, {t: led.raw(t) for t in _IO_TABLES}, wh, led.params.recon_at)
