@@ -262,7 +262,9 @@ def dq_report(models: Mapping[str, Callable[[], DataFrame]], checks: Sequence[Ch
         pairs = []
         for c in cs:
             cols = [c.column] if c.kind == "unique" else list(c.arg)
-            key = F.to_json(F.struct(*[F.col(x) for x in cols])) if len(cols) > 1 else F.col(cols[0]).cast("string")
+            # NULL-aware composite key (GROUP BY groups NULLs together)
+            key = F.concat_ws("\u0001", *[F.coalesce(F.col(x).cast("string"), F.lit("\u0000")) for x in cols]) \
+                if len(cols) > 1 else F.col(cols[0]).cast("string")
             keep = F.col(cols[0]).isNotNull() if c.kind == "unique" else F.lit(True)
             pairs.append(F.when(keep, F.struct(F.lit(c.name).alias("test_name"), key.alias("k"))))
         exploded = df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull())

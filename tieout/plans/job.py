@@ -1,12 +1,13 @@
 """One reconciliation run as a Spark job graph.
 
-    ingest (optional) -> staging -> intermediate -> marts -> checks -> audit
-
-Each layer's independent frames are submitted concurrently
-(`run_concurrently`), shared layers are written as Parquet tables under the
-run's warehouse folder, and the audit log is appended (never rewritten):
-a RUNNING event first, then the finalize events, or an ERROR event if the
-build fails.
+    ingest (optional) -> build (staging .. marts, checks) -> audit
+
+All build tasks are submitted at once (`run_concurrently`); the ledger
+builds each frame once under a per-key lock, so every task waits only for
+what it reads and independent work overlaps (a DAG run). Shared layers and
+marts are written as Parquet tables under the run's warehouse folder, and
+the audit log is appended (never rewritten): a RUNNING event first, then the
+finalize events, or an ERROR event if the build fails.
 """
 
 from __future__ import annotations
@@ -51,13 +52,15 @@ class RunResult:
     status: str = "RUNNING"
 
 
-def ingest(spark: SparkSession, tables: Mapping[str, DataFrame], warehouse: str) -> None:
-    """Write raw feeds as typed Parquet tables (ingestion times kept)."""
-    for t in RAW_TABLES:
-        if t in tables:
-            src = tables[t]
-            cols = [src[f.name].cast(f.dataType).alias(f.name) for f in raw_schema(t).fields]
-            write_table(src.select(*cols), os.path.join(warehouse, t))
+def ingest(spark: SparkSession, tables: Mapping[str, DataFrame], warehouse: str, threads: int = 8) -> None:
+    """Write raw feeds as typed Parquet tables (ingestion times kept), concurrently."""
+
+    def write(t: str):
+        src = tables[t]
+        cols = [src[f.name].cast(f.dataType).alias(f.name) for f in raw_schema(t).fields]
+        write_table(src.select(*cols), os.path.join(warehouse, t))
+
+    run_concurrently({t: (lambda t=t: write(t)) for t in RAW_TABLES if t in tables}, threads)
 
 
 def _noop(df: DataFrame) -> None:
@@ -70,15 +73,15 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
     layers: dict[str, float] = {}
     audit_dir = os.path.join(cfg.warehouse, "audit")
 
-    def layer(name: str, tasks):
+    def layer(name: str, tasks, threads: int | None = None):
         t0 = time.time()
-        out, sec = run_concurrently(tasks, cfg.threads)
+        out, sec = run_concurrently(tasks, threads or cfg.threads)
         seconds.update(sec)
         layers[name] = round(time.time() - t0, 3)
         return out
 
     if raw_tables is not None:
-        layer("ingest", {"ingest_raw_tables": lambda: ingest(spark, raw_tables, cfg.warehouse)})
+        layer("ingest", {"ingest_raw_tables": lambda: ingest(spark, raw_tables, cfg.warehouse, cfg.threads)})
 
     led = Ledger(
         spark, lambda t: scan_raw_table(spark, cfg.warehouse, t), seed_frames(spark), cfg.params,
@@ -92,33 +95,6 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
     start_event = audit.audit_start_run(start_row, cfg.git_commit_sha)
     start_event.write.mode("append").parquet(os.path.join(audit_dir, "recon_runs"))
     try:
-        layer("staging", {"stg_gl_journal": led.stg_gl, "subledger_postings": led.postings})
-        layer("intermediate", {
-            "subledger_trial_balance": led.sl_tb, "gl_trial_balance": led.gl_tb,
-            "recon_transaction_level": led.txn_level,
-        })
-        mart_tasks = {
-            "recon_control_account": led.control,
-            "recon_roll_forward": led.roll_forward,
-            "recon_aging": led.aging,
-            "recon_fx_revaluation": led.fx_reval,
-            "recon_suspense_monitor": led.suspense,
-            "recon_manual_je_flag": led.manual_je,
-        }
-        marts_out = layer("marts", {
-            n: (lambda f=f, n=n: write_table(f(), os.path.join(cfg.warehouse, "out", n)))
-            for n, f in mart_tasks.items()
-        })
-        led._memo["control"] = marts_out["recon_control_account"]  # noqa: SLF001 - read back the written mart
-        led._memo["roll_forward"] = marts_out["recon_roll_forward"]  # noqa: SLF001
-        led._memo["aging"] = marts_out["recon_aging"]  # noqa: SLF001
-        led._memo["fx_reval"] = marts_out["recon_fx_revaluation"]  # noqa: SLF001
-        led._memo["suspense"] = marts_out["recon_suspense_monitor"]  # noqa: SLF001
-        led._memo["manual_je"] = marts_out["recon_manual_je_flag"]  # noqa: SLF001
-
-        def summary_table():
-            return write_table(led.summary(), os.path.join(cfg.warehouse, "out", "recon_summary"))
-
         def incremental():
             target = led.txn_level()
             start = history.window_start(target)
@@ -126,15 +102,29 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
                                            led.params.recon_at)
             _noop(history.merge_upsert(target, sl, history.TXN_KEYS))
 
-        out = layer("checks", {
-            "recon_variance_analysis": lambda: write_table(
-                led.variance(), os.path.join(cfg.warehouse, "out", "recon_variance_analysis")),
-            "recon_summary": summary_table,
+        # Everything is submitted at once: the ledger builds each frame exactly
+        # once under a per-key lock, so a task waits only for the frames it
+        # reads, and independent work (e.g. raw-table checks during staging)
+        # overlaps. Shared layers and marts are written as tables on build.
+        out = layer("build", {
+            "stg_gl_journal": led.stg_gl,
+            "subledger_postings": led.postings,
+            "subledger_trial_balance": led.sl_tb,
+            "gl_trial_balance": led.gl_tb,
+            "recon_transaction_level": led.txn_level,
+            "recon_control_account": led.control,
+            "recon_roll_forward": led.roll_forward,
+            "recon_aging": led.aging,
+            "recon_fx_revaluation": led.fx_reval,
+            "recon_suspense_monitor": led.suspense,
+            "recon_manual_je_flag": led.manual_je,
+            "recon_variance_analysis": led.variance,
+            "recon_summary": led.summary,
+            "monthly_scorecard": led.scorecard,
             "dq_report": lambda: write_table(checks.dq_report(led, cfg.threads),
                                              os.path.join(cfg.warehouse, "out", "dq_report")),
             "recon_transaction_incremental_merge": incremental,
-            "monthly_scorecard": led.scorecard,
-        })
+        }, threads=2 * cfg.threads)
         summary = out["recon_summary"]
 
         def finalize():

@@ -112,32 +112,35 @@ class Ledger:
                 self.sl_tb(), self.gl_tb(), self.stg("dim_account"), self.tolerance_rules(), self.materiality(),
                 carry_forward=self.params.carry_forward,
             ),
+            persist=True,
         )
 
     def roll_forward(self) -> DataFrame:
-        return self._get("roll_forward", lambda: marts.recon_roll_forward(self.sl_tb(), self.gl_tb()))
+        return self._get("roll_forward", lambda: marts.recon_roll_forward(self.sl_tb(), self.gl_tb()), persist=True)
 
     def variance(self) -> DataFrame:
         return self._get(
             "variance",
             lambda: marts.recon_variance_analysis(self.control(), self.stg("dim_entity"), self.stg("dim_account")),
+            persist=True,
         )
 
     def aging(self) -> DataFrame:
-        return self._get("aging", lambda: marts.recon_aging(self.txn_level(), self.params.as_of))
+        return self._get("aging", lambda: marts.recon_aging(self.txn_level(), self.params.as_of), persist=True)
 
     def fx_reval(self) -> DataFrame:
-        return self._get("fx_reval", lambda: marts.recon_fx_revaluation(self.stg_gl(), self.stg("fx_rate")))
+        return self._get("fx_reval", lambda: marts.recon_fx_revaluation(self.stg_gl(), self.stg("fx_rate")), persist=True)
 
     def suspense(self) -> DataFrame:
-        return self._get("suspense", lambda: marts.recon_suspense_monitor(self.gl_tb()))
+        return self._get("suspense", lambda: marts.recon_suspense_monitor(self.gl_tb()), persist=True)
 
     def manual_je(self) -> DataFrame:
-        return self._get("manual_je", lambda: marts.recon_manual_je_flag(self.stg_gl(), self.stg("dim_account")))
+        return self._get("manual_je", lambda: marts.recon_manual_je_flag(self.stg_gl(), self.stg("dim_account")), persist=True)
 
     def summary(self) -> DataFrame:
         return self._get(
-            "summary", lambda: marts.recon_summary(self.control(), self.txn_level(), self.roll_forward())
+            "summary", lambda: marts.recon_summary(self.control(), self.txn_level(), self.roll_forward()),
+            persist=True
         )
 
     def hierarchy(self) -> DataFrame:
