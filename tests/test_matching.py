@@ -145,3 +145,32 @@ def test_trial_balance_running(spark):
     assert [r["daily_net_usd"] for r in tb] == [Decimal("-6.00"), Decimal("-1.00")]
     assert [r["running_balance_usd"] for r in tb] == [Decimal("-6.00"), Decimal("-7.00")]
     _ = F
+
+
+def test_hot_key_salting_pairs_every_line_once(spark):
+    # one key holds most lines: 300 SL and 250 GL lines on the same document
+    rows_sl = [sl("H1", "6000", Decimal(i + 1), Z, role=f"R{i:03d}") for i in range(300)]
+    rows_gl = [gl("H1", i + 1, "6000", Decimal(i + 1), Z) for i in range(250)]
+    rows_sl += [sl("C1", "6000", Decimal("7"), Z), sl("Z1", "6000", Z, Z)]
+    rows_gl += [gl("C1", 1, "6000", Decimal("7"), Z), gl("Z1", 1, "6000", Z, Z)]
+    p = spark.createDataFrame(rows_sl, POST_DDL)
+    g = spark.createDataFrame(rows_gl, GL_DDL)
+    m = matching.match_transactions(p, g, hot_key_lines=100, salt_buckets=8).cache()
+    hot = m.filter(F.col("source_doc_id") == "H1")
+    assert hot.count() == 300  # 250 pairs + 50 SL-only: no pair explosion, nothing lost
+    assert hot.filter(F.col("sl_amount_usd").isNotNull() & F.col("gl_amount_usd").isNotNull()).count() == 250
+    assert hot.select("posting_role").distinct().count() == 300
+    assert hot.filter(F.col("journal_line_id").isNotNull()).select("journal_line_id").distinct().count() == 250
+    cold = {r["source_doc_id"]: r for r in m.filter(F.col("source_doc_id") != "H1").collect() if r["sl_amount_usd"]}
+    assert cold["C1"]["gl_amount_usd"] == Decimal("7")
+    assert m.filter(F.col("source_doc_id") == "Z1").count() == 2  # zero lines stay one-sided
+    m.unpersist()
+
+
+def test_hot_path_equals_cold_path_on_fixture(spark, ledger):
+    # with every multi-line key treated as hot, unique keys must pair exactly as before
+    cols = matching.MATCH_COLUMNS
+    base = matching.match_transactions(ledger.postings(), ledger.stg_gl()).select(*cols)
+    salted = matching.match_transactions(ledger.postings(), ledger.stg_gl(), hot_key_lines=1, salt_buckets=4)
+    assert base.exceptAll(salted.select(*cols)).count() == 0
+    assert salted.select(*cols).exceptAll(base).count() == 0

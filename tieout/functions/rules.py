@@ -32,15 +32,31 @@ def resolve_rule(
     specific = rules.filter(F.col(rules_key) != DEFAULT_RULE_KEY).select(
         F.col(rules_key).alias("_rule_key"), *[F.col(f).alias(f"_s_{f}") for f in fields]
     )
-    default = rules.filter(F.col(rules_key) == DEFAULT_RULE_KEY).select(
-        *[F.col(f).alias(f"_d_{f}") for f in fields]
-    ).limit(1)
+    default = default_rule(rules, fields, rules_key)
     out = df.join(checked_broadcast(specific, 100_000), F.col(key_col) == F.col("_rule_key"), "left")
-    # one-row side: a broadcast nested-loop join that only appends columns
-    out = out.join(F.broadcast(default), how="left")
+    types = {f.name: f.dataType for f in rules.schema.fields}
     for f in fields:
-        out = out.withColumn(prefix + f, F.coalesce(F.col(f"_s_{f}"), F.col(f"_d_{f}")))
-    return out.drop("_rule_key", *[f"_s_{f}" for f in fields], *[f"_d_{f}" for f in fields])
+        fallback = F.lit(default[f] if default else None).cast(types[f])
+        out = out.withColumn(prefix + f, F.coalesce(F.col(f"_s_{f}"), fallback))
+    return out.drop("_rule_key", *[f"_s_{f}" for f in fields])
+
+
+_DEFAULTS: dict[tuple, tuple[DataFrame, dict | None]] = {}
+
+
+def default_rule(rules: DataFrame, fields: Sequence[str], rules_key: str = "account_code") -> dict | None:
+    """The DEFAULT row's fields as driver-side values (a config has at most one).
+
+    The fallback becomes typed literals in the plan instead of a join against
+    a one-row side; at most two config rows are ever read.
+    """
+    key = (id(rules), tuple(fields), rules_key)
+    if key not in _DEFAULTS:
+        rows = rules.filter(F.col(rules_key) == DEFAULT_RULE_KEY).select(*fields).limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError(f"rule config has more than one '{DEFAULT_RULE_KEY}' row")
+        _DEFAULTS[key] = (rules, rows[0].asDict() if rows else None)
+    return _DEFAULTS[key][1]
 
 
 def require_default(rules: DataFrame, rules_key: str = "account_code") -> DataFrame:

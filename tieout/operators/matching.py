@@ -7,10 +7,25 @@ which is what the "same side is positive" condition means under the ledger's
 constraint that a line is never positive on both sides.
 
 Duplicate keys on a side are paired one-to-one in a stable order (`dup_seq`)
-rather than multiplied, so no key ever emits all pairs of its lines. The
-window that numbers them is partitioned by the match key, which is also the
-join's partitioning: with co-partitioning on a key subset allowed, the join
-adds no shuffle beyond that window's.
+rather than multiplied, so no key ever emits all pairs of its lines.
+
+Skew. A full outer join is never broadcast and AQE cannot split its skewed
+partitions, so a key holding a large share of all lines must not reach one
+task. An exact count per key (map-side partial counts, key columns only)
+finds the *hot* keys, those with more than `hot_key_lines` lines on both
+sides together; their number is bounded by total lines / `hot_key_lines`.
+
+* Cold keys: `dup_seq` = `row_number()` over the key, ordered by the stable
+  tie-break; the join on (key, dup_seq) reuses that window's partitioning
+  (co-partitioning on a key subset is allowed), so each side shuffles once.
+* Hot keys: lines are salted into `salt_buckets` buckets by a hash of their
+  tie-break columns. Lines are numbered inside (key, bucket), the bucket
+  sizes (one row per hot key and bucket) give each bucket's offset, and
+  `dup_seq` = offset + number is still a gap-free 1..n per key. The join is
+  then hash-partitioned on (key, dup_seq), which spreads a hot key over all
+  tasks. Pairs are formed in (bucket, tie-break) order.
+* Lines with a NULL key part (zero lines) can never match: they skip
+  numbering and the join and come out one-sided.
 """
 
 from __future__ import annotations
@@ -23,38 +38,75 @@ from pyspark.sql.window import Window as W
 
 from tieout.functions.columns import money
 from tieout.functions.rules import categorize_break, resolve_tolerance
+from tieout.plans.broadcast import checked_broadcast
 
 MATCH_KEYS = ["source_system", "source_doc_id", "account_code", "direction"]
 MATCHED_SYSTEMS = ["AP", "AR", "INV"]
+SL_ORDER = ["sl_posting_date", "sl_amount_usd", "posting_role", "entity_id", "business_date", "currency"]
+GL_ORDER = ["gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id"]
+
+# lines per match key (both sides) above which a key is salted
+HOT_KEY_LINES = 1_000_000
+SALT_BUCKETS = 64
+# hot-key list and bucket-offset tables are broadcast only under these bounds
+HOT_KEYS_BROADCAST_MAX = 100_000
+OFFSETS_BROADCAST_MAX = 1_000_000
 
 
 def direction(debit: Column, credit: Column) -> Column:
     return F.when(debit > 0, "D").when(credit > 0, "C")
 
 
-def sl_side(postings: DataFrame) -> DataFrame:
-    out = postings.select(
+def sl_lines(postings: DataFrame) -> DataFrame:
+    return postings.select(
         "source_system", "source_doc_id", "entity_id", "business_date",
         F.col("posting_date").alias("sl_posting_date"), "account_code", "currency",
         F.col("amount_usd").alias("sl_amount_usd"), "posting_role",
         direction(F.col("debit_usd"), F.col("credit_usd")).alias("direction"),
     )
-    w = W.partitionBy(*MATCH_KEYS).orderBy(
-        "sl_posting_date", "sl_amount_usd", "posting_role", "entity_id", "business_date", "currency"
-    )
-    return out.withColumn("dup_seq", F.row_number().over(w))
 
 
-def gl_side(stg_gl: DataFrame) -> DataFrame:
-    out = stg_gl.filter(F.col("source_system").isin(*MATCHED_SYSTEMS) & F.col("source_doc_id").isNotNull()).select(
+def gl_lines(stg_gl: DataFrame) -> DataFrame:
+    return stg_gl.filter(F.col("source_system").isin(*MATCHED_SYSTEMS) & F.col("source_doc_id").isNotNull()).select(
         "source_system", "source_doc_id", "entity_id", "business_date",
         F.col("posting_date").alias("gl_posting_date"), "account_code", "currency",
         money(F.col("debit_usd") + F.col("credit_usd")).alias("gl_amount_usd"),
         "journal_id", "journal_line_id",
         direction(F.col("debit_usd"), F.col("credit_usd")).alias("direction"),
     )
-    w = W.partitionBy(*MATCH_KEYS).orderBy("gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id")
-    return out.withColumn("dup_seq", F.row_number().over(w))
+
+
+def number_lines(lines: DataFrame, order: list[str]) -> DataFrame:
+    """dup_seq = 1..n per match key in `order` (one shuffle on the key)."""
+    return lines.withColumn("dup_seq", F.row_number().over(W.partitionBy(*MATCH_KEYS).orderBy(*order)))
+
+
+def number_lines_salted(lines: DataFrame, order: list[str], buckets: int = SALT_BUCKETS) -> DataFrame:
+    """dup_seq = 1..n per match key without putting a key into one task.
+
+    Numbering runs per (key, bucket); bucket sizes are summed per key into
+    offsets. The offsets table has one row per (key, bucket) of the keys given.
+    """
+    x = lines.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    x = x.withColumn("_rn", F.row_number().over(W.partitionBy(*MATCH_KEYS, "_b").orderBy(*order)))
+    # grouped on the window's own partitioning: no further shuffle of lines
+    sizes = x.groupBy(*MATCH_KEYS, "_b").agg(F.max("_rn").alias("_n"))
+    before = W.partitionBy(*MATCH_KEYS).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(*MATCH_KEYS, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    x = x.join(checked_broadcast(offsets, OFFSETS_BROADCAST_MAX), [*MATCH_KEYS, "_b"])
+    return x.withColumn("dup_seq", (F.col("_off") + F.col("_rn")).cast("int")).drop("_b", "_rn", "_off")
+
+
+def hot_keys(sl: DataFrame, gl: DataFrame, threshold: int = HOT_KEY_LINES) -> DataFrame:
+    """Match keys with more than `threshold` lines on both sides together."""
+    keys = sl.select(*MATCH_KEYS).unionByName(gl.select(*MATCH_KEYS))
+    keys = keys.filter(_matchable())
+    return keys.groupBy(*MATCH_KEYS).count().filter(F.col("count") > threshold).select(*MATCH_KEYS)
+
+
+def _matchable() -> Column:
+    return F.col("source_doc_id").isNotNull() & F.col("account_code").isNotNull() & F.col("direction").isNotNull() \
+        & F.col("source_system").isNotNull()
 
 
 MATCH_COLUMNS = [
@@ -62,12 +114,12 @@ MATCH_COLUMNS = [
     "posting_role", "sl_posting_date", "gl_posting_date", "sl_amount_usd", "gl_amount_usd",
     "journal_id", "journal_line_id",
 ]
+_SL_OWN = ["posting_role", "sl_posting_date", "sl_amount_usd"]
+_GL_OWN = ["gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id"]
 
 
-def match_transactions(postings: DataFrame, stg_gl: DataFrame) -> DataFrame:
-    """Full outer match of SL postings to GL lines (AP/AR/INV with a doc id)."""
-    sl = sl_side(postings).alias("sl")
-    gl = gl_side(stg_gl).alias("gl")
+def _pair(sl: DataFrame, gl: DataFrame) -> DataFrame:
+    sl, gl = sl.alias("sl"), gl.alias("gl")
     cond = [F.col(f"sl.{k}") == F.col(f"gl.{k}") for k in MATCH_KEYS] + [F.col("sl.dup_seq") == F.col("gl.dup_seq")]
     j = sl.join(gl, cond, "full_outer")
 
@@ -82,6 +134,43 @@ def match_transactions(postings: DataFrame, stg_gl: DataFrame) -> DataFrame:
     )
 
 
+def _one_sided(lines: DataFrame, other: DataFrame, other_cols: list[str]) -> DataFrame:
+    """Lines that cannot match, in the match output shape (other side NULL)."""
+    types = {f.name: f.dataType for f in other.schema.fields}
+    filled = lines
+    for c in other_cols:
+        filled = filled.withColumn(c, F.lit(None).cast(types[c]))
+    return filled.select(*MATCH_COLUMNS)
+
+
+def match_transactions(
+    postings: DataFrame, stg_gl: DataFrame, hot_key_lines: int = HOT_KEY_LINES, salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Full outer match of SL postings to GL lines (AP/AR/INV with a doc id)."""
+    sl, gl = sl_lines(postings), gl_lines(stg_gl)
+    ok = _matchable()
+    sl_ok, gl_ok = sl.filter(ok), gl.filter(ok)
+    parts = [_one_sided(sl.filter(~ok), gl, _GL_OWN), _one_sided(gl.filter(~ok), sl, _SL_OWN)]
+
+    hot = hot_keys(sl_ok, gl_ok, hot_key_lines)
+    if hot.limit(1).count() == 0:
+        parts.append(_pair(number_lines(sl_ok, SL_ORDER), number_lines(gl_ok, GL_ORDER)))
+    else:
+        hot_b = checked_broadcast(hot, HOT_KEYS_BROADCAST_MAX)
+        parts.append(_pair(
+            number_lines(sl_ok.join(hot_b, MATCH_KEYS, "left_anti"), SL_ORDER),
+            number_lines(gl_ok.join(hot_b, MATCH_KEYS, "left_anti"), GL_ORDER),
+        ))
+        parts.append(_pair(
+            number_lines_salted(sl_ok.join(hot_b, MATCH_KEYS, "left_semi"), SL_ORDER, salt_buckets),
+            number_lines_salted(gl_ok.join(hot_b, MATCH_KEYS, "left_semi"), GL_ORDER, salt_buckets),
+        ))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def recon_transaction_level(matched: DataFrame, tolerance_rules: DataFrame, recon_at: dt.datetime | str) -> DataFrame:
     """Delta, lag, resolved tolerances, break class and MATCHED/BREAK per matched row."""
     m = resolve_tolerance(matched, "account_code", tolerance_rules)

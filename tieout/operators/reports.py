@@ -42,12 +42,13 @@ def check_trend(runs: DataFrame, checks: DataFrame, now: dt.datetime | str | Non
     (default: the newest run's start, so the window follows the data)."""
     r = runs.select("run_id", "business_date", "started_at")
     if now is None:
-        ref = runs.agg(F.max("started_at").alias("_now"))
-        r = r.crossJoin(F.broadcast(ref))  # one-row side
-        cond = F.col("started_at") >= F.col("_now") - F.expr(f"INTERVAL {days} DAYS")
-    else:
-        ts = now if isinstance(now, str) else now.strftime("%Y-%m-%d %H:%M:%S")
-        cond = F.col("started_at") >= F.lit(ts).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS")
+        now = runs.agg(F.max("started_at")).first()[0]  # one scalar
+    if now is None:
+        return checks.join(r.filter(F.lit(False)), "run_id").select(
+            "check_name", "status", "breaks_count", "breaks_value_usd", "business_date", "started_at"
+        )
+    ts = now if isinstance(now, str) else now.strftime("%Y-%m-%d %H:%M:%S")
+    cond = F.col("started_at") >= F.lit(ts).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS")
     r = r.filter(cond).select("run_id", "business_date", "started_at")
     return checks.join(r, "run_id").select(
         "check_name", "status", "breaks_count", "breaks_value_usd", "business_date", "started_at"

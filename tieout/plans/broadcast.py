@@ -11,14 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_PROBED: dict[int, bool] = {}
+# (id, bound) -> (frame, answer); holding the frame keeps its id from being reused
+_PROBED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
-    key = id(df)
+    key = (id(df), max_rows)
     if key not in _PROBED:
-        _PROBED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _PROBED[key]
+        _PROBED[key] = (df, df.limit(max_rows + 1).count() <= max_rows)
+    return _PROBED[key][1]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
