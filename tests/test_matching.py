@@ -155,7 +155,7 @@ def test_hot_key_salting_pairs_every_line_once(spark):
     rows_gl += [gl("C1", 1, "6000", Decimal("7"), Z), gl("Z1", 1, "6000", Z, Z)]
     p = spark.createDataFrame(rows_sl, POST_DDL)
     g = spark.createDataFrame(rows_gl, GL_DDL)
-    m = matching.match_transactions(p, g, hot_key_lines=100, salt_buckets=8).cache()
+    m = matching.match_transactions(p, g, hot_key_lines=100, lines_per_bucket=40).cache()
     hot = m.filter(F.col("source_doc_id") == "H1")
     assert hot.count() == 300  # 250 pairs + 50 SL-only: no pair explosion, nothing lost
     assert hot.filter(F.col("sl_amount_usd").isNotNull() & F.col("gl_amount_usd").isNotNull()).count() == 250
@@ -171,6 +171,6 @@ def test_hot_path_equals_cold_path_on_fixture(spark, ledger):
     # with every multi-line key treated as hot, unique keys must pair exactly as before
     cols = matching.MATCH_COLUMNS
     base = matching.match_transactions(ledger.postings(), ledger.stg_gl()).select(*cols)
-    salted = matching.match_transactions(ledger.postings(), ledger.stg_gl(), hot_key_lines=1, salt_buckets=4)
+    salted = matching.match_transactions(ledger.postings(), ledger.stg_gl(), hot_key_lines=1, lines_per_bucket=1)
     assert base.exceptAll(salted.select(*cols)).count() == 0
     assert salted.select(*cols).exceptAll(base).count() == 0

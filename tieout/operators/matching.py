@@ -12,14 +12,14 @@ rather than multiplied, so no key ever emits all pairs of its lines.
 Skew. A full outer join is never broadcast and AQE cannot split its skewed
 partitions, so a key holding a large share of all lines must not reach one
 task. An exact count per key (map-side partial counts, key columns only)
-finds the *hot* keys, those with more than `hot_key_lines` lines on both
+finds the *hot* keys (counted by a 64-bit hash), those with more than `hot_key_lines` lines on both
 sides together; their number is bounded by total lines / `hot_key_lines`.
 
 * Cold keys: `dup_seq` = `row_number()` over the key, ordered by the stable
   tie-break; the join on (key, dup_seq) reuses that window's partitioning
   (co-partitioning on a key subset is allowed), so each side shuffles once.
-* Hot keys: lines are salted into `salt_buckets` buckets by a hash of their
-  tie-break columns. Lines are numbered inside (key, bucket), the bucket
+* Hot keys: lines are salted into ceil(lines / LINES_PER_BUCKET) buckets
+  (per key, from its exact count) by a hash of their tie-break columns. Lines are numbered inside (key, bucket), the bucket
   sizes (one row per hot key and bucket) give each bucket's offset, and
   `dup_seq` = offset + number is still a gap-free 1..n per key. The join is
   then hash-partitioned on (key, dup_seq), which spreads a hot key over all
@@ -47,7 +47,8 @@ GL_ORDER = ["gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id"]
 
 # lines per match key (both sides) above which a key is salted
 HOT_KEY_LINES = 1_000_000
-SALT_BUCKETS = 64
+# a hot key gets ceil(lines / LINES_PER_BUCKET) buckets, so bucket work is bounded
+LINES_PER_BUCKET = 250_000
 # hot-key list and bucket-offset tables are broadcast only under these bounds
 HOT_KEYS_BROADCAST_MAX = 100_000
 OFFSETS_BROADCAST_MAX = 1_000_000
@@ -81,13 +82,14 @@ def number_lines(lines: DataFrame, order: list[str]) -> DataFrame:
     return lines.withColumn("dup_seq", F.row_number().over(W.partitionBy(*MATCH_KEYS).orderBy(*order)))
 
 
-def number_lines_salted(lines: DataFrame, order: list[str], buckets: int = SALT_BUCKETS) -> DataFrame:
+def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column) -> DataFrame:
     """dup_seq = 1..n per match key without putting a key into one task.
 
-    Numbering runs per (key, bucket); bucket sizes are summed per key into
-    offsets. The offsets table has one row per (key, bucket) of the keys given.
+    `buckets` is the key's bucket count. Numbering runs per (key, bucket);
+    bucket sizes are summed per key into offsets. The offsets table has one
+    row per (key, bucket), about lines / LINES_PER_BUCKET rows in all.
     """
-    x = lines.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    x = lines.withColumn("_b", F.pmod(F.xxhash64(*order), buckets).cast("int"))
     x = x.withColumn("_rn", F.row_number().over(W.partitionBy(*MATCH_KEYS, "_b").orderBy(*order)))
     # grouped on the window's own partitioning: no further shuffle of lines
     sizes = x.groupBy(*MATCH_KEYS, "_b").agg(F.max("_rn").alias("_n"))
@@ -97,11 +99,22 @@ def number_lines_salted(lines: DataFrame, order: list[str], buckets: int = SALT_
     return x.withColumn("dup_seq", (F.col("_off") + F.col("_rn")).cast("int")).drop("_b", "_rn", "_off")
 
 
-def hot_keys(sl: DataFrame, gl: DataFrame, threshold: int = HOT_KEY_LINES) -> DataFrame:
-    """Match keys with more than `threshold` lines on both sides together."""
-    keys = sl.select(*MATCH_KEYS).unionByName(gl.select(*MATCH_KEYS))
-    keys = keys.filter(_matchable())
-    return keys.groupBy(*MATCH_KEYS).count().filter(F.col("count") > threshold).select(*MATCH_KEYS)
+def key_hash() -> Column:
+    return F.xxhash64(*MATCH_KEYS).alias("_kh")
+
+
+def hot_keys(
+    sl: DataFrame, gl: DataFrame, threshold: int = HOT_KEY_LINES, lines_per_bucket: int = LINES_PER_BUCKET,
+) -> DataFrame:
+    """Hashes of match keys with more than `threshold` lines on both sides together.
+
+    Counting an 8-byte hash instead of the four key strings keeps the probe's
+    shuffle small. A collision can only add keys to the salted path, whose
+    pairing is exact for any key, so results do not depend on it.
+    """
+    keys = sl.filter(_matchable()).select(key_hash()).unionByName(gl.filter(_matchable()).select(key_hash()))
+    counts = keys.groupBy("_kh").count().filter(F.col("count") > threshold)
+    return counts.select("_kh", F.ceil(F.col("count") / F.lit(lines_per_bucket)).cast("int").alias("_nb"))
 
 
 def _matchable() -> Column:
@@ -144,7 +157,8 @@ def _one_sided(lines: DataFrame, other: DataFrame, other_cols: list[str]) -> Dat
 
 
 def match_transactions(
-    postings: DataFrame, stg_gl: DataFrame, hot_key_lines: int = HOT_KEY_LINES, salt_buckets: int = SALT_BUCKETS,
+    postings: DataFrame, stg_gl: DataFrame, hot_key_lines: int = HOT_KEY_LINES,
+    lines_per_bucket: int = LINES_PER_BUCKET,
 ) -> DataFrame:
     """Full outer match of SL postings to GL lines (AP/AR/INV with a doc id)."""
     sl, gl = sl_lines(postings), gl_lines(stg_gl)
@@ -152,18 +166,24 @@ def match_transactions(
     sl_ok, gl_ok = sl.filter(ok), gl.filter(ok)
     parts = [_one_sided(sl.filter(~ok), gl, _GL_OWN), _one_sided(gl.filter(~ok), sl, _SL_OWN)]
 
-    hot = hot_keys(sl_ok, gl_ok, hot_key_lines)
+    hot = hot_keys(sl_ok, gl_ok, hot_key_lines, lines_per_bucket)
     if hot.limit(1).count() == 0:
         parts.append(_pair(number_lines(sl_ok, SL_ORDER), number_lines(gl_ok, GL_ORDER)))
     else:
-        hot_b = checked_broadcast(hot, HOT_KEYS_BROADCAST_MAX)
+        # computed once into the shared checkpoint folder: at most lines / hot_key_lines rows
+        hot_b = checked_broadcast(hot.checkpoint(), HOT_KEYS_BROADCAST_MAX)
+
+        def split(lines: DataFrame, how: str) -> DataFrame:
+            # inner on a unique hash = semi join that also brings the bucket count
+            return lines.withColumn("_kh", key_hash()).join(hot_b, "_kh", how).drop("_kh")
+
         parts.append(_pair(
-            number_lines(sl_ok.join(hot_b, MATCH_KEYS, "left_anti"), SL_ORDER),
-            number_lines(gl_ok.join(hot_b, MATCH_KEYS, "left_anti"), GL_ORDER),
+            number_lines(split(sl_ok, "left_anti"), SL_ORDER),
+            number_lines(split(gl_ok, "left_anti"), GL_ORDER),
         ))
         parts.append(_pair(
-            number_lines_salted(sl_ok.join(hot_b, MATCH_KEYS, "left_semi"), SL_ORDER, salt_buckets),
-            number_lines_salted(gl_ok.join(hot_b, MATCH_KEYS, "left_semi"), GL_ORDER, salt_buckets),
+            number_lines_salted(split(sl_ok, "inner"), SL_ORDER, F.col("_nb")).drop("_nb"),
+            number_lines_salted(split(gl_ok, "inner"), GL_ORDER, F.col("_nb")).drop("_nb"),
         ))
     out = parts[0]
     for p in parts[1:]:
