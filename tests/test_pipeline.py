@@ -74,3 +74,12 @@ def test_staged_dims(ledger):
     fx = ledger.stg("fx_rate")
     assert fx.count() == 7757
     assert fx.filter("from_currency = 'INR' AND dayofyear(rate_date) = 100").count() == 0
+
+
+def test_scale_conf_grows_with_input_and_caps_broadcast():
+    from tieout.plans.session import scale_conf
+
+    small, big = scale_conf(10 << 30), scale_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert small["spark.sql.autoBroadcastJoinThreshold"] == big["spark.sql.autoBroadcastJoinThreshold"]

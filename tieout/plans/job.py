@@ -27,6 +27,7 @@ from tieout.plans import checks
 from tieout.plans.ledger import Ledger, RunParams, seed_frames
 from tieout.plans.materialize import write_table
 from tieout.plans.parallel import run_concurrently
+from tieout.plans.session import apply_scale_conf
 from tieout.sources.files import scan_raw_table
 from tieout.sources.schemas import RAW_TABLES, raw_schema
 
@@ -41,6 +42,8 @@ class JobConfig:
     git_commit_sha: str | None = None
     manifest_hash: str | None = None
     alert_threshold_usd: str = "10000"
+    # raw input size: when given, partition sizing follows it (`session.scale_conf`)
+    input_bytes: int | None = None
 
 
 @dataclass
@@ -69,6 +72,8 @@ def _noop(df: DataFrame) -> None:
 
 def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame] | None = None) -> RunResult:
     run_id = str(uuid.uuid4())
+    if cfg.input_bytes:
+        apply_scale_conf(spark, cfg.input_bytes)
     seconds: dict[str, float] = {}
     layers: dict[str, float] = {}
     audit_dir = os.path.join(cfg.warehouse, "audit")

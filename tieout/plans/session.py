@@ -51,3 +51,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tieout-ckpt-", dir=os.environ.get("TIEOUT_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def scale_conf(
+    input_bytes: int,
+    split_bytes: int = 256 << 20,
+    shuffle_bytes_per_partition: int = 1 << 30,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Runtime SQL confs sized to the input (a cluster run; the local session keeps its own).
+
+    * scans split into `split_bytes` pieces;
+    * the shuffle starts with one partition per ~1 GB of input (a projected,
+      map-side-combined shuffle is far smaller than its input), and AQE
+      coalesces down to ~128 MB partitions from real map statistics;
+    * AQE splits skewed partitions of inner/semi/anti/outer joins at 4x the
+      median and above `split_bytes` (the full outer transaction match, which
+      AQE cannot split, salts its hot keys itself);
+    * the automatic broadcast threshold stays fixed at 64 MB whatever the
+      input, and the engine's own broadcasts are probed against row bounds.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(split_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    conf = scale_conf(input_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
