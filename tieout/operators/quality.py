@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tieout.plans.broadcast import checked_broadcast
+from tieout.plans.broadcast import checked_broadcast, is_small
 
 
 def dq_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -38,9 +38,22 @@ def dq_accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> Dat
 
 
 def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows with a non-null key that has no parent row."""
-    keys = checked_broadcast(parent.select(F.col(field).alias("_parent_key")).distinct(), 1_000_000)
-    return child.filter(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
+    """Child rows with a non-null key that has no parent row.
+
+    A small parent key set is broadcast. Otherwise the distinct child keys
+    (map-side combined, so a hot key travels once per task) are anti-joined
+    to the parent keys, and the child rows of the orphan keys are picked out
+    by a semi join that is broadcast when the orphans are few: child rows are
+    then never shuffled.
+    """
+    keys = parent.select(F.col(field).alias("_parent_key")).distinct()
+    c = child.filter(F.col(column).isNotNull())
+    if is_small(keys, 1_000_000):
+        return c.join(F.broadcast(keys), F.col(column) == F.col("_parent_key"), "left_anti")
+    orphans = c.select(F.col(column).alias("_orphan_key")).distinct().join(
+        keys, F.col("_orphan_key") == F.col("_parent_key"), "left_anti"
+    )
+    return c.join(checked_broadcast(orphans, 1_000_000), F.col(column) == F.col("_orphan_key"), "left_semi")
 
 
 def dq_expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
