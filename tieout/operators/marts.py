@@ -239,7 +239,8 @@ def duplicate_invoice_members(ap_invoices: DataFrame, dups: DataFrame) -> DataFr
     """Every invoice of a duplicate group, with the group's count and status."""
     keys = ["vendor_id", "invoice_date", "amount_usd"]
     inv = ap_invoices.filter(F.col("status") != "VOID").select(*keys, "invoice_id")
-    return inv.join(dups.select(*keys, "duplicate_count", "status"), keys, "inner")
+    # few duplicate groups (the normal case) are broadcast, so invoices do not shuffle
+    return inv.join(checked_broadcast(dups.select(*keys, "duplicate_count", "status"), 1_000_000), keys, "inner")
 
 
 def summary_duplicate_invoices(dups: DataFrame) -> DataFrame:
