@@ -83,3 +83,12 @@ def test_scale_conf_grows_with_input_and_caps_broadcast():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000
     assert small["spark.sql.autoBroadcastJoinThreshold"] == big["spark.sql.autoBroadcastJoinThreshold"]
+
+
+def test_relationships_large_parent_path_equals_broadcast_path(ledger):
+    gl = ledger.stg_gl().filter(F.col("source_system").isin("AP", "AR", "INV"))
+    parent = ledger.postings()
+    small = quality.dq_relationships(gl, "source_doc_id", parent, "source_doc_id")
+    large = quality.dq_relationships(gl, "source_doc_id", parent, "source_doc_id", broadcast_rows=0)
+    assert small.count() > 0
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0

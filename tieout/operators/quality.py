@@ -37,7 +37,8 @@ def dq_accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> Dat
     return df.filter(~F.col(column).isin(*values))
 
 
-def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
+                     broadcast_rows: int = 1_000_000) -> DataFrame:
     """Child rows with a non-null key that has no parent row.
 
     A small parent key set is broadcast. Otherwise the distinct child keys
@@ -48,12 +49,12 @@ def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: st
     """
     keys = parent.select(F.col(field).alias("_parent_key")).distinct()
     c = child.filter(F.col(column).isNotNull())
-    if is_small(keys, 1_000_000):
+    if is_small(keys, broadcast_rows):
         return c.join(F.broadcast(keys), F.col(column) == F.col("_parent_key"), "left_anti")
     orphans = c.select(F.col(column).alias("_orphan_key")).distinct().join(
         keys, F.col("_orphan_key") == F.col("_parent_key"), "left_anti"
     )
-    return c.join(checked_broadcast(orphans, 1_000_000), F.col(column) == F.col("_orphan_key"), "left_semi")
+    return c.join(checked_broadcast(orphans, broadcast_rows), F.col(column) == F.col("_orphan_key"), "left_semi")
 
 
 def dq_expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
