@@ -24,8 +24,10 @@ sides together; their number is bounded by total lines / `hot_key_lines`.
   `dup_seq` = offset + number is still a gap-free 1..n per key. The join is
   then hash-partitioned on (key, dup_seq), which spreads a hot key over all
   tasks. Pairs are formed in (bucket, tie-break) order.
-* Lines with a NULL key part (zero lines) can never match: they skip
-  numbering and the join and come out one-sided.
+* Lines with a NULL key part (zero lines) can never match. They carry a
+  per-line `_spread` hash (0 for every other line) that is part of both the
+  numbering partition and the join key, so a large group of zero lines is
+  spread over tasks and still leaves the join one-sided, in the same plan.
 """
 
 from __future__ import annotations
@@ -77,9 +79,15 @@ def gl_lines(stg_gl: DataFrame) -> DataFrame:
     )
 
 
+def with_spread(lines: DataFrame, order: list[str]) -> DataFrame:
+    """`_spread`: 0 for a line that can match, a hash of the line otherwise."""
+    return lines.withColumn("_spread", F.when(_matchable(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*order)))
+
+
 def number_lines(lines: DataFrame, order: list[str]) -> DataFrame:
-    """dup_seq = 1..n per match key in `order` (one shuffle on the key)."""
-    return lines.withColumn("dup_seq", F.row_number().over(W.partitionBy(*MATCH_KEYS).orderBy(*order)))
+    """dup_seq = 1..n per (match key, _spread) in `order` (one shuffle)."""
+    w = W.partitionBy(*MATCH_KEYS, "_spread").orderBy(*order)
+    return lines.withColumn("dup_seq", F.row_number().over(w))
 
 
 def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column) -> DataFrame:
@@ -127,13 +135,11 @@ MATCH_COLUMNS = [
     "posting_role", "sl_posting_date", "gl_posting_date", "sl_amount_usd", "gl_amount_usd",
     "journal_id", "journal_line_id",
 ]
-_SL_OWN = ["posting_role", "sl_posting_date", "sl_amount_usd"]
-_GL_OWN = ["gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id"]
 
 
 def _pair(sl: DataFrame, gl: DataFrame) -> DataFrame:
     sl, gl = sl.alias("sl"), gl.alias("gl")
-    cond = [F.col(f"sl.{k}") == F.col(f"gl.{k}") for k in MATCH_KEYS] + [F.col("sl.dup_seq") == F.col("gl.dup_seq")]
+    cond = [F.col(f"sl.{k}") == F.col(f"gl.{k}") for k in [*MATCH_KEYS, "_spread", "dup_seq"]]
     j = sl.join(gl, cond, "full_outer")
 
     def both(c: str) -> Column:
@@ -147,48 +153,29 @@ def _pair(sl: DataFrame, gl: DataFrame) -> DataFrame:
     )
 
 
-def _one_sided(lines: DataFrame, other: DataFrame, other_cols: list[str]) -> DataFrame:
-    """Lines that cannot match, in the match output shape (other side NULL)."""
-    types = {f.name: f.dataType for f in other.schema.fields}
-    filled = lines
-    for c in other_cols:
-        filled = filled.withColumn(c, F.lit(None).cast(types[c]))
-    return filled.select(*MATCH_COLUMNS)
-
-
 def match_transactions(
     postings: DataFrame, stg_gl: DataFrame, hot_key_lines: int = HOT_KEY_LINES,
     lines_per_bucket: int = LINES_PER_BUCKET,
 ) -> DataFrame:
     """Full outer match of SL postings to GL lines (AP/AR/INV with a doc id)."""
-    sl, gl = sl_lines(postings), gl_lines(stg_gl)
-    ok = _matchable()
-    sl_ok, gl_ok = sl.filter(ok), gl.filter(ok)
-    parts = [_one_sided(sl.filter(~ok), gl, _GL_OWN), _one_sided(gl.filter(~ok), sl, _SL_OWN)]
-
-    hot = hot_keys(sl_ok, gl_ok, hot_key_lines, lines_per_bucket)
+    sl = with_spread(sl_lines(postings), SL_ORDER)
+    gl = with_spread(gl_lines(stg_gl), GL_ORDER)
+    hot = hot_keys(sl, gl, hot_key_lines, lines_per_bucket)
     if hot.limit(1).count() == 0:
-        parts.append(_pair(number_lines(sl_ok, SL_ORDER), number_lines(gl_ok, GL_ORDER)))
-    else:
-        # computed once into the shared checkpoint folder: at most lines / hot_key_lines rows
-        hot_b = checked_broadcast(hot.checkpoint(), HOT_KEYS_BROADCAST_MAX)
-
-        def split(lines: DataFrame, how: str) -> DataFrame:
-            # inner on a unique hash = semi join that also brings the bucket count
-            return lines.withColumn("_kh", key_hash()).join(hot_b, "_kh", how).drop("_kh")
-
-        parts.append(_pair(
-            number_lines(split(sl_ok, "left_anti"), SL_ORDER),
-            number_lines(split(gl_ok, "left_anti"), GL_ORDER),
-        ))
-        parts.append(_pair(
-            number_lines_salted(split(sl_ok, "inner"), SL_ORDER, F.col("_nb")).drop("_nb"),
-            number_lines_salted(split(gl_ok, "inner"), GL_ORDER, F.col("_nb")).drop("_nb"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return _pair(number_lines(sl, SL_ORDER), number_lines(gl, GL_ORDER))
+    # computed once into the shared checkpoint folder: at most lines / hot_key_lines rows
+    hot_b = checked_broadcast(hot.checkpoint(), HOT_KEYS_BROADCAST_MAX)
+
+    def split(lines: DataFrame, how: str) -> DataFrame:
+        # inner on a unique hash = semi join that also brings the bucket count
+        return lines.withColumn("_kh", key_hash()).join(hot_b, "_kh", how).drop("_kh")
+
+    cold = _pair(number_lines(split(sl, "left_anti"), SL_ORDER), number_lines(split(gl, "left_anti"), GL_ORDER))
+    salted = _pair(
+        number_lines_salted(split(sl, "inner"), SL_ORDER, F.col("_nb")).drop("_nb"),
+        number_lines_salted(split(gl, "inner"), GL_ORDER, F.col("_nb")).drop("_nb"),
+    )
+    return cold.unionByName(salted)
 
 
 def recon_transaction_level(matched: DataFrame, tolerance_rules: DataFrame, recon_at: dt.datetime | str) -> DataFrame:
