@@ -193,3 +193,38 @@ def test_seed_literals_match_csv_shape(spark):
     mat = {r["account_code"]: r for r in seeds("materiality").collect()}
     assert mat["9999"]["materiality_usd"] == Decimal("0.00") and mat["DEFAULT"]["severity"] == "LOW"
     _ = F
+
+
+def test_rule_fallback_is_per_field_and_single_default(spark):
+    from tieout.functions.rules import resolve_rule
+
+    rules = spark.createDataFrame(
+        [("2000", Decimal("0.05"), None), ("DEFAULT", Decimal("0.01"), 0)],
+        "account_code STRING, amount_tolerance_usd DECIMAL(18,4), timing_tolerance_days INT",
+    )
+    df = spark.createDataFrame([("2000",), ("6000",)], "acct STRING")
+    out = {r["acct"]: r for r in resolve_rule(df, "acct", rules, ["amount_tolerance_usd", "timing_tolerance_days"])
+           .collect()}
+    assert out["2000"]["amount_tolerance_usd"] == Decimal("0.0500")
+    assert out["2000"]["timing_tolerance_days"] == 0  # NULL field falls back to DEFAULT's
+    assert out["6000"]["amount_tolerance_usd"] == Decimal("0.0100")
+    two = rules.unionByName(rules.filter(F.col("account_code") == "DEFAULT"))
+    with pytest.raises(ValueError):
+        resolve_rule(df, "acct", two, ["amount_tolerance_usd"])
+
+
+def test_check_trend_window_follows_newest_run(spark):
+    from tieout.operators import reports
+
+    runs = spark.createDataFrame(
+        [("r1", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 8)), ("r2", dt.date(2024, 4, 1), dt.datetime(2024, 4, 1, 8)),
+         ("r3", dt.date(2024, 4, 20), dt.datetime(2024, 4, 20, 8))],
+        "run_id STRING, business_date DATE, started_at TIMESTAMP",
+    )
+    checks = spark.createDataFrame(
+        [(r, "recon_summary", "PASS", 0, Decimal("0")) for r in ("r1", "r2", "r3")],
+        "run_id STRING, check_name STRING, status STRING, breaks_count INT, breaks_value_usd DECIMAL(18,2)",
+    )
+    got = sorted(r["business_date"] for r in reports.check_trend(runs, checks).collect())
+    assert got == [dt.date(2024, 4, 1), dt.date(2024, 4, 20)]
+    assert reports.check_trend(runs.limit(0), checks).count() == 0
