@@ -40,7 +40,7 @@ from pyspark.sql.window import Window as W
 
 from tieout.functions.columns import money
 from tieout.functions.rules import categorize_break, resolve_tolerance
-from tieout.plans.broadcast import checked_broadcast
+from tieout.plans.session import ensure_checkpoint_dir
 
 MATCH_KEYS = ["source_system", "source_doc_id", "account_code", "direction"]
 MATCHED_SYSTEMS = ["AP", "AR", "INV"]
@@ -90,12 +90,14 @@ def number_lines(lines: DataFrame, order: list[str]) -> DataFrame:
     return lines.withColumn("dup_seq", F.row_number().over(w))
 
 
-def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column) -> DataFrame:
+def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column, broadcast_offsets: bool) -> DataFrame:
     """dup_seq = 1..n per match key without putting a key into one task.
 
     `buckets` is the key's bucket count. Numbering runs per (key, bucket);
     bucket sizes are summed per key into offsets. The offsets table has one
-    row per (key, bucket), about lines / LINES_PER_BUCKET rows in all.
+    row per (key, bucket), at most the sum of the keys' bucket counts; the
+    caller knows that bound from the hot-key table and says whether it fits a
+    broadcast (no probe job, which would compute the numbering twice).
     """
     x = lines.withColumn("_b", F.pmod(F.xxhash64(*order), buckets).cast("int"))
     x = x.withColumn("_rn", F.row_number().over(W.partitionBy(*MATCH_KEYS, "_b").orderBy(*order)))
@@ -103,7 +105,7 @@ def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column) ->
     sizes = x.groupBy(*MATCH_KEYS, "_b").agg(F.max("_rn").alias("_n"))
     before = W.partitionBy(*MATCH_KEYS).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(*MATCH_KEYS, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    x = x.join(checked_broadcast(offsets, OFFSETS_BROADCAST_MAX), [*MATCH_KEYS, "_b"])
+    x = x.join(F.broadcast(offsets) if broadcast_offsets else offsets, [*MATCH_KEYS, "_b"])
     return x.withColumn("dup_seq", (F.col("_off") + F.col("_rn")).cast("int")).drop("_b", "_rn", "_off")
 
 
@@ -160,11 +162,15 @@ def match_transactions(
     """Full outer match of SL postings to GL lines (AP/AR/INV with a doc id)."""
     sl = with_spread(sl_lines(postings), SL_ORDER)
     gl = with_spread(gl_lines(stg_gl), GL_ORDER)
-    hot = hot_keys(sl, gl, hot_key_lines, lines_per_bucket)
-    if hot.limit(1).count() == 0:
+    # one pass over the key hashes, written once to the shared checkpoint folder
+    # (at most lines / hot_key_lines rows); its count and bucket total bound the rest
+    ensure_checkpoint_dir(sl.sparkSession)
+    hot = hot_keys(sl, gl, hot_key_lines, lines_per_bucket).checkpoint()
+    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_nb").alias("buckets")).first()
+    if stats["keys"] == 0:
         return _pair(number_lines(sl, SL_ORDER), number_lines(gl, GL_ORDER))
-    # computed once into the shared checkpoint folder: at most lines / hot_key_lines rows
-    hot_b = checked_broadcast(hot.checkpoint(), HOT_KEYS_BROADCAST_MAX)
+    hot_b = F.broadcast(hot) if stats["keys"] <= HOT_KEYS_BROADCAST_MAX else hot
+    small_offsets = (stats["buckets"] or 0) <= OFFSETS_BROADCAST_MAX
 
     def split(lines: DataFrame, how: str) -> DataFrame:
         # inner on a unique hash = semi join that also brings the bucket count
@@ -172,8 +178,8 @@ def match_transactions(
 
     cold = _pair(number_lines(split(sl, "left_anti"), SL_ORDER), number_lines(split(gl, "left_anti"), GL_ORDER))
     salted = _pair(
-        number_lines_salted(split(sl, "inner"), SL_ORDER, F.col("_nb")).drop("_nb"),
-        number_lines_salted(split(gl, "inner"), GL_ORDER, F.col("_nb")).drop("_nb"),
+        number_lines_salted(split(sl, "inner"), SL_ORDER, F.col("_nb"), small_offsets).drop("_nb"),
+        number_lines_salted(split(gl, "inner"), GL_ORDER, F.col("_nb"), small_offsets).drop("_nb"),
     )
     return cold.unionByName(salted)
 
