@@ -11,16 +11,17 @@ rather than multiplied, so no key ever emits all pairs of its lines.
 
 Skew. A full outer join is never broadcast and AQE cannot split its skewed
 partitions, so a key holding a large share of all lines must not reach one
-task. An exact count per key (map-side partial counts, key columns only)
-finds the *hot* keys (counted by a 64-bit hash), those with more than `hot_key_lines` lines on both
+task. An exact count per key (a 64-bit key hash, map-side partial counts)
+finds the *hot* keys, those with more than `hot_key_lines` lines on both
 sides together; their number is bounded by total lines / `hot_key_lines`.
 
 * Cold keys: `dup_seq` = `row_number()` over the key, ordered by the stable
   tie-break; the join on (key, dup_seq) reuses that window's partitioning
   (co-partitioning on a key subset is allowed), so each side shuffles once.
 * Hot keys: lines are salted into ceil(lines / LINES_PER_BUCKET) buckets
-  (per key, from its exact count) by a hash of their tie-break columns. Lines are numbered inside (key, bucket), the bucket
-  sizes (one row per hot key and bucket) give each bucket's offset, and
+  (per key, from its exact count) by a hash of their tie-break columns.
+  Lines are numbered inside (key, bucket), the bucket sizes (one row per
+  hot key and bucket) give each bucket's offset, and
   `dup_seq` = offset + number is still a gap-free 1..n per key. The join is
   then hash-partitioned on (key, dup_seq), which spreads a hot key over all
   tasks. Pairs are formed in (bucket, tie-break) order.
