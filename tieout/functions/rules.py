@@ -7,6 +7,8 @@ then `coalesce(specific, default)` per field.
 
 from __future__ import annotations
 
+import weakref
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +43,8 @@ def resolve_rule(
     return out.drop("_rule_key", *[f"_s_{f}" for f in fields])
 
 
-_DEFAULTS: dict[tuple, tuple[DataFrame, dict | None]] = {}
+# dropped with the config frame (see plans/broadcast.py)
+_DEFAULTS: dict[tuple, dict | None] = {}
 
 
 def default_rule(rules: DataFrame, fields: Sequence[str], rules_key: str = "account_code") -> dict | None:
@@ -55,8 +58,9 @@ def default_rule(rules: DataFrame, fields: Sequence[str], rules_key: str = "acco
         rows = rules.filter(F.col(rules_key) == DEFAULT_RULE_KEY).select(*fields).limit(2).collect()
         if len(rows) > 1:
             raise ValueError(f"rule config has more than one '{DEFAULT_RULE_KEY}' row")
-        _DEFAULTS[key] = (rules, rows[0].asDict() if rows else None)
-    return _DEFAULTS[key][1]
+        _DEFAULTS[key] = rows[0].asDict() if rows else None
+        weakref.finalize(rules, _DEFAULTS.pop, key, None)
+    return _DEFAULTS[key]
 
 
 def require_default(rules: DataFrame, rules_key: str = "account_code") -> DataFrame:

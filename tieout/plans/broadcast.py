@@ -8,18 +8,22 @@ shuffle join (and AQE may still demote it at runtime from real statistics).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# (id, bound) -> (frame, answer); holding the frame keeps its id from being reused
-_PROBED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+# (id, bound) -> answer; an entry is dropped when its frame is collected, so a
+# reused id never sees a stale answer and the cache does not keep plans alive
+_PROBED: dict[tuple[int, int], bool] = {}
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
     key = (id(df), max_rows)
     if key not in _PROBED:
-        _PROBED[key] = (df, df.limit(max_rows + 1).count() <= max_rows)
-    return _PROBED[key][1]
+        _PROBED[key] = df.limit(max_rows + 1).count() <= max_rows
+        weakref.finalize(df, _PROBED.pop, key, None)
+    return _PROBED[key]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
