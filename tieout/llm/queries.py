@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard import op10_partenum_jaccard
 from .packing import op5_nnls_packing
 from .token_files import op8_seekable_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nnls_packing": op5_nnls_packing,
     "op8_seekable_token_files": op8_seekable_token_files,
+    "op10_partenum_jaccard": op10_partenum_jaccard,
 }
 
 #: DuckDB SQL for queries that SQL can express.
