@@ -12,8 +12,10 @@ A document's set are its distinct five-word shingles; two sets link at Jaccard 0
   leave it out: a pair would need all its agreeing groups empty, less likely than 1e-10.
 * Signatures are dealt by hash as packed arrays. Equal sets sign alike and count once.
 * Sets that share a signature link first to the one their bucket starts with (a star, not all
-  pairs). Buckets whose members are then still in several components give the pairs across them.
-  Every pair is verified on whole texts.
+  pairs): the best such link of each set, then the others that would join two components. Buckets
+  whose members are then still in several components give the pairs across them.
+* A parity sketch of each set bounds the difference of two sets from below, so it drops only pairs
+  that can't link. Every pair that is left is verified on whole texts.
 
 Defined cases: null, empty or white texts have no shingles and their own doc_id as component;
 fewer than five words make one shingle; repeated doc_ids are kept row by row and link by their
@@ -29,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, is_small, written
@@ -39,6 +41,7 @@ WORDS = 5
 PERCENT = 80
 NO_ID = -(2**63)
 DROP_EMPTY = 32
+SKETCH_BITS = 1024
 #: Packed signatures are handed on when a task holds so many.
 HELD = 1_500_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -188,11 +191,29 @@ def _collisions(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"members": [np.frombuffer(m, np.int64) for m in found], "shared": list(found.values())})
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """For each of SKETCH_BITS hash classes, whether the set has an odd number of elements there, as 64-bit words.
+
+    Sets that differ in d elements have sketches that differ in at most d bits.
+    """
+    odd = np.bincount((mix(items ^ _ODD[4]) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops texts that only share a repeated doc_id with the set's own text."""
+    """Adds sketches; drops texts that only share a repeated doc_id with the set's own text."""
     for batch in batches:
-        own = [set_key(shingles(t.as_py(), WORDS)) == k for t, k in zip(batch.column("text"), batch.column("key").to_pylist(), strict=True)]
-        yield batch.filter(pa.array(own, pa.bool_()))
+        sets = [shingles(t.as_py(), WORDS) for t in batch.column("text")]
+        own = [set_key(x) == k for x, k in zip(sets, batch.column("key").to_pylist(), strict=True)]
+        out = pa.RecordBatch.from_arrays([*batch.columns, pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))], names=[*batch.schema.names, "sketch"])
+        yield out.filter(pa.array(own, pa.bool_()))
+
+
+def _can_link(a: str, b: str) -> Column:
+    """Exact bounds: linked sets differ in at most (n_a + n_b) / 9 elements, and in size by a fifth."""
+    words = [F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_BITS // 64)]
+    small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
+    return (100 * small >= PERCENT * large) & (9 * sum(words[1:], words[0]) <= small + large)
 
 
 def _verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -212,10 +233,9 @@ def _verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
                 good.append(100 * both >= PERCENT * (len(last[1]) + len(other) - both))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    a = keyed.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.col("n").alias("n_a"))
-    b = keyed.select(F.col("key").alias("b"), F.col("text").alias("text_b"), F.col("n").alias("n_b"))
-    near = "100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)"
-    return pairs.join(b, "b").join(a, "a").where(near).select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    a = keyed.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    b = keyed.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -239,30 +259,45 @@ def linked(docs: DataFrame) -> DataFrame:
     chosen = first.join(met, "key", "left_semi")
     if is_small(met):
         chosen = F.broadcast(chosen)
-    candidates = _rows(docs).join(chosen, "doc_id").select("key", "n", "text").mapInArrow(_of_key, "key long, n long, text string")
+    candidates = _rows(docs).join(chosen, "doc_id").select("key", "n", "text").mapInArrow(_of_key, "key long, n long, text string, sketch array<long>")
     keyed = written(candidates.dropDuplicates(["key"]), "candidate-texts")
 
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.col("a") * -1)).alias("a")).select("a", "b")
-    edges = written(_verified(best, keyed), "links")
+    sketched = keyed.select("key", "n", "sketch")
+    hopeful = written(
+        stars.join(sketched.alias("x"), F.col("a") == F.col("x.key"))
+        .join(sketched.alias("y"), (F.col("b") == F.col("y.key")) & _can_link("x", "y"))
+        .select("a", "b", "shared"),
+        "hopeful-stars",
+    )
+    best = hopeful.groupBy("b").agg(F.max_by("a", F.struct("shared", F.col("a") * -1)).alias("a")).select("a", "b")
+    tried, edges = best, written(_verified(best, keyed), "links")
     parts = components(edges)
 
     def label(keys: DataFrame, key: str, name: str) -> DataFrame:
-        return keys.join(parts.select(F.col("id").alias(key), F.col("component_id").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
-
-    open_ = shared.withColumn("bucket", F.xxhash64("members")).dropDuplicates(["bucket"])
+        named = parts.select(F.col("id").alias(key), F.col("component_id").alias(name))
+        return keys.join(named, key, "left").withColumn(name, F.coalesce(name, key))
+
+    # the other star links, where they would join two components
+    others = label(label(hopeful.join(tried, ["a", "b"], "left_anti"), "a", "part_a"), "b", "part_b").where("part_a <> part_b").select("a", "b")
+    others = written(others, "other-stars")
+    if not others.isEmpty():
+        tried, edges = tried.union(others), written(edges.union(_verified(others, keyed)), "links")
+        parts = components(edges)
+
+    # pairs of different components in one bucket
+    open_ = shared.where(F.size("members") > 2).withColumn("bucket", F.xxhash64("members")).dropDuplicates(["bucket"])
     rows = label(open_.select("bucket", F.explode("members").alias("key")), "key", "part")
     mixed = rows.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("bucket")
-    left = written(rows.join(mixed, "bucket", "left_semi"), "open-buckets")
+    left = written(rows.join(mixed, "bucket", "left_semi").join(sketched, "key"), "open-buckets")
+    x, y = left.alias("x"), left.alias("y")
     across = (
-        left.alias("x")
-        .join(left.alias("y"), "bucket")
-        .where("x.part < y.part")
+        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & F.expr("x.part < y.part") & _can_link("x", "y"))
         .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
         .distinct()
-        .join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
     more = written(_verified(across, keyed), "links")
-    whole = components(edges.union(more)) if not more.isEmpty() else parts
+    whole = parts if more.isEmpty() else components(edges.union(more))
 
     grouped = slim.join(whole.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component_id", "key"))
     lowest = grouped.where("key >= 0").groupBy("component").agg(F.min("doc_id").alias("low"))
