@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard import op10_partenum_jaccard
+from .line_rules import op3_line_frequency
 from .packing import op5_nnls_packing
+from .quality import op4_quadratic_discriminant
+from .secrets import op2_structural_secrets
 from .token_files import op8_seekable_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_structural_secrets": op2_structural_secrets,
+    "op3_line_frequency": op3_line_frequency,
+    "op4_quadratic_discriminant": op4_quadratic_discriminant,
     "op5_nnls_packing": op5_nnls_packing,
     "op8_seekable_token_files": op8_seekable_token_files,
     "op10_partenum_jaccard": op10_partenum_jaccard,
