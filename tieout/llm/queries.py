@@ -11,9 +11,11 @@ from .line_rules import op3_line_frequency
 from .packing import op5_nnls_packing
 from .quality import op4_quadratic_discriminant
 from .secrets import op2_structural_secrets
+from .sharding import op1_histogram_sort
 from .token_files import op8_seekable_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_histogram_sort": op1_histogram_sort,
     "op2_structural_secrets": op2_structural_secrets,
     "op3_line_frequency": op3_line_frequency,
     "op4_quadratic_discriminant": op4_quadratic_discriminant,
