@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op7_latent_semantic_leaks
+from .html_wrapper import op9_union_free_wrappers
 from .jaccard import op10_partenum_jaccard
 from .line_rules import op3_line_frequency
 from .packing import op5_nnls_packing
@@ -20,7 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
     "op4_quadratic_discriminant": op4_quadratic_discriminant,
     "op5_nnls_packing": op5_nnls_packing,
+    "op7_latent_semantic_leaks": op7_latent_semantic_leaks,
     "op8_seekable_token_files": op8_seekable_token_files,
+    "op9_union_free_wrappers": op9_union_free_wrappers,
     "op10_partenum_jaccard": op10_partenum_jaccard,
 }
 
