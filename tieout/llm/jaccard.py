@@ -111,11 +111,12 @@ def set_key(items: np.ndarray) -> int:
 
 def _rows(docs: DataFrame) -> DataFrame:
     """Id and text; a null doc_id counts as the smallest number until the result."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
 def shingled(docs: DataFrame) -> DataFrame:
-    """A written table (row, doc_id, n_shingles, key) of every document."""
+    """A written table (doc_id, text_hash, n_shingles, key) of every document."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,9 +125,11 @@ def shingled(docs: DataFrame) -> DataFrame:
                 items = shingles(text.as_py(), WORDS)
                 ns.append(len(items))
                 keys.append(set_key(items))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "n_shingles", "key"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "text_hash", "n_shingles", "key"]
+            )
 
-    return written(_rows(docs).mapInArrow(sets, "doc_id long, n_shingles long, key long"), "sets")
+    return written(_rows(docs).mapInArrow(sets, "doc_id long, text_hash long, n_shingles long, key long"), "sets")
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -239,7 +242,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id) of all documents."""
+    """Rows (doc_id, n_shingles, component_id, text_hash) of all documents."""
     spark = docs.sparkSession
     slim = shingled(docs)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -305,9 +308,32 @@ def linked(docs: DataFrame) -> DataFrame:
     return (
         grouped.drop("component_id")
         .join(lowest, "component", "left")
-        .select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"))
+        .select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"), "text_hash")
     )
 
 
 def op10_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one that names it, with all columns; wordless documents stay.
+
+    Of repeated doc_ids that name a component, the text with the smallest hash stays, once.
+    """
+    rows = written(linked(docs), "components").where("n_shingles > 0")
+    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = rows.where(names).groupBy("component_id").agg(F.min("text_hash").alias("first"), F.count("*").alias("n"))
+    own = rows.alias("r").join(first.alias("f"), F.col("r.component_id").eqNullSafe(F.col("f.component_id")))
+    stays = F.col("r.doc_id").eqNullSafe(F.col("f.component_id")) & (F.col("text_hash") == F.col("first"))
+    gone = written(own.where(~stays).select("r.doc_id", "text_hash").distinct(), "copies")
+    again = written(rows.where(names).groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash"), "repeats")
+
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
+    on = lambda right: F.col("__id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col("__hash") == F.col(f"{right}.text_hash"))
+    small = lambda keys, name: (F.broadcast(keys) if is_small(keys) else keys).alias(name)
+    left = keyed.join(small(gone, "gone"), on("gone"), "left_anti")
+    if not again.isEmpty():
+        twice = small(again, "again")
+        left = left.join(twice, on("again"), "left_anti").unionByName(left.join(twice, on("again"), "left_semi").dropDuplicates(["__id", "__hash"]))
+    return left.drop("__id", "__hash")

@@ -11,6 +11,7 @@ from .html_wrapper import op9_union_free_wrappers
 from .jaccard import op10_partenum_jaccard
 from .line_rules import op3_line_frequency
 from .packing import op5_nnls_packing
+from .private_data import op6_boosted_private_data
 from .quality import op4_quadratic_discriminant
 from .secrets import op2_structural_secrets
 from .sharding import op1_histogram_sort
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
     "op4_quadratic_discriminant": op4_quadratic_discriminant,
     "op5_nnls_packing": op5_nnls_packing,
+    "op6_boosted_private_data": op6_boosted_private_data,
     "op7_latent_semantic_leaks": op7_latent_semantic_leaks,
     "op8_seekable_token_files": op8_seekable_token_files,
     "op9_union_free_wrappers": op9_union_free_wrappers,
