@@ -44,7 +44,7 @@ DROP_EMPTY = 32
 SKETCH_BITS = 1024
 #: Packed signatures are handed on when a task holds so many.
 HELD = 1_500_000
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
+_ODD = [np.array([x], np.uint64) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
 def band_edges(largest: int = 1 << 40) -> list[int]:
@@ -66,7 +66,7 @@ class Band:
         self.n1, self.n2 = math.ceil((k + 1) / (k2 + 1)), n2
         self.choices = list(combinations(range(n2), n2 - k2))
         self.drop_empty = self.n1 >= DROP_EMPTY
-        self.seed = np.uint64(c + 1) * _ODD[1]
+        self.seed = np.array([c + 1], np.uint64) * _ODD[1]
 
     def sign(self, items: np.ndarray) -> np.ndarray:
         h = mix(items + self.seed)
@@ -77,7 +77,7 @@ class Band:
         group = np.arange(self.n1, dtype=np.uint64) * _ODD[2] + self.seed
         out = []
         for j, choice in enumerate(self.choices):
-            total = group + np.uint64(j) * _ODD[3]
+            total = group + np.array([j], np.uint64) * _ODD[3]
             empty = np.ones(self.n1, bool)
             for i, x in enumerate(choice):
                 total = total + mix(sums[:, x] + _ODD[i])
