@@ -1,9 +1,10 @@
 """Token ids of whole texts with the ``tokenizers`` library, one call for each new word.
 
 The vocabulary's normaliser and splitter never look across white space (NFC, lower case and the
-word pattern all stop there), so the ids of a text are those of its words, one after another.
-A bounded cache in each Python worker keeps the ids of words already met; words beyond it are
-encoded again in their batch. Tests hold the result against encoding whole texts.
+word pattern all stop there), so the ids of a text are those of its words, one after another. The
+same holds between a letter or digit and ASCII punctuation after it, so a word's trailing
+punctuation is looked up on its own. Bounded caches in each Python worker keep what was met; words
+beyond them are encoded again in their batch. Tests hold the result against encoding whole texts.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ import zlib
 
 import numpy as np
 
-CACHED_WORDS = 300_000
-CACHED_WORD_BYTES = 40
+CACHED_WORDS, CACHED_CORES = 400_000, 400_000
+CACHED_BYTES = 40
+#: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
+_TRAIL = b".,;:!?*%$&#|"
 _MARK = "\x01"
 
 
@@ -24,7 +27,24 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = False
         self.mark = self.library.encode(_MARK, add_special_tokens=False).ids
-        self.cache: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """The word without its trailing punctuation, ASCII lower-cased, and that punctuation."""
+        if b"<|" in word:
+            return word, b""
+        word = word.lower()
+        core = word.rstrip(_TRAIL)
+        if len(core) == len(word) or not core:
+            return word, b""
+        last = core[-1:]
+        if not last.isalnum():  # of bytes: ASCII letters and digits
+            char = core[-4:].decode("utf-8", "ignore")[-1:]
+            if not ("\xc0" <= char < "\u0250" and char.isalpha() and len(char.lower()) == 1):
+                return word, b""
+        return core, word[len(core) :]
 
     def _alone(self, word: bytes) -> bytes:
         return np.array(self.library.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
@@ -38,7 +58,7 @@ class WordEncoder:
         for k in range(0, len(plain), 2000):
             part = plain[k : k + 2000]
             text = f" {_MARK} ".join(w.decode("utf-8", "replace") for w in part)
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark[0]) if len(self.mark) == 1 else []
             if len(cuts) != len(part) - 1:
                 out.update((w, self._alone(w)) for w in part)
@@ -52,20 +72,28 @@ class WordEncoder:
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; none for a null text."""
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        cache, fresh = self.cache, set()
-        for words in split:
-            fresh.update(words)
-        fresh.difference_update(cache)
+        known, cores = self.words, self.cores
+        fresh = set().union(*split).difference(known)
         once = {}
         if fresh:
-            for w, ids in self._encode(sorted(fresh)).items():
-                if len(w) <= CACHED_WORD_BYTES and len(cache) < CACHED_WORDS:
-                    cache[w] = ids
+            parts = {w: self._parts(w) for w in fresh}
+            wanted = {p for pair in parts.values() for p in pair}.difference(cores, [b""])
+            got = self._encode(sorted(wanted)) if wanted else {}
+            core_of, got_of = cores.get, got.get
+            for w, (core, trail) in parts.items():
+                ids = core_of(core) or got_of(core, b"")
+                if trail:
+                    ids += core_of(trail) or got_of(trail, b"")
+                if len(known) < CACHED_WORDS and len(w) <= CACHED_BYTES:
+                    known[w] = ids
                 else:
                     once[w] = ids
+            if len(cores) < CACHED_CORES:
+                cores.update((p, ids) for p, ids in got.items() if len(p) <= CACHED_BYTES)
         if not once:
-            return [b"".join(map(cache.__getitem__, words)) for words in split]
-        return [b"".join([cache[w] if w in cache else once[w] for w in words]) for words in split]
+            return [b"".join(map(known.__getitem__, words)) for words in split]
+        get, rest = known.get, once.get
+        return [b"".join([get(w) or rest(w, b"") for w in words]) for words in split]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
