@@ -53,7 +53,7 @@ class FrameWriter:
     def __init__(self, sink):
         import zstandard
 
-        self.zstd = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
+        self.zstd = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
         self.sink, self.entries, self.index = sink, [], []
         self.docs: list[int] = []
         self.ids: list[bytes] = []

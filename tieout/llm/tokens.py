@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 
-CACHED_WORDS, CACHED_CORES = 400_000, 400_000
+CACHED_WORDS, CACHED_CORES = 600_000, 500_000
 CACHED_BYTES = 40
 #: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
 _TRAIL = b".,;:!?*%$&#|"
@@ -73,7 +73,8 @@ class WordEncoder:
         """For each text its ids as little-endian unsigned 32-bit integers; none for a null text."""
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         known, cores = self.words, self.cores
-        fresh = set().union(*split).difference(known)
+        found = [list(map(known.get, words)) for words in split]
+        fresh = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
         once = {}
         if fresh:
             parts = {w: self._parts(w) for w in fresh}
@@ -84,16 +85,15 @@ class WordEncoder:
                 ids = core_of(core) or got_of(core, b"")
                 if trail:
                     ids += core_of(trail) or got_of(trail, b"")
-                if len(known) < CACHED_WORDS and len(w) <= CACHED_BYTES:
-                    known[w] = ids
-                else:
-                    once[w] = ids
+                once[w] = ids
+            if len(known) < CACHED_WORDS:
+                known.update((w, ids) for w, ids in once.items() if len(w) <= CACHED_BYTES)
             if len(cores) < CACHED_CORES:
                 cores.update((p, ids) for p, ids in got.items() if len(p) <= CACHED_BYTES)
-        if not once:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        get, rest = known.get, once.get
-        return [b"".join([get(w) or rest(w, b"") for w in words]) for words in split]
+        return [
+            b"".join([once[w] if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids)
+            for words, ids in zip(split, found, strict=True)
+        ]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
