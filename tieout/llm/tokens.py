@@ -4,7 +4,8 @@ The vocabulary's normaliser and splitter never look across white space (NFC, low
 word pattern all stop there), so the ids of a text are those of its words, one after another. The
 same holds between a letter or digit and ASCII punctuation after it, so a word's trailing
 punctuation is looked up on its own. Bounded caches in each Python worker keep what was met; words
-beyond them are encoded again in their batch. Tests hold the result against encoding whole texts.
+beyond them are encoded again in their batch. Inside a batch each word is looked up once, by a
+64-bit hash. Tests hold the result against encoding whole texts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import zlib
 
 import numpy as np
 
+from .textvec import hash_spans, word_bounds
+
 CACHED_WORDS, CACHED_CORES = 600_000, 500_000
 CACHED_BYTES = 40
 #: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
@@ -71,10 +74,15 @@ class WordEncoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; none for a null text."""
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        encoded = [(t or "").encode("utf-8", "replace") for t in texts]
+        data = b"\n".join(encoded)
+        array = np.frombuffer(data, np.uint8)
+        starts, ends = word_bounds(array)
+        _, first, place = np.unique(hash_spans(array, starts, ends), return_index=True, return_inverse=True)
+        words = [data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         known, cores = self.words, self.cores
-        found = [list(map(known.get, words)) for words in split]
-        fresh = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
+        found = list(map(known.get, words))
+        fresh = {w for w, x in zip(words, found, strict=True) if x is None}
         once = {}
         if fresh:
             parts = {w: self._parts(w) for w in fresh}
@@ -90,10 +98,17 @@ class WordEncoder:
                 known.update((w, ids) for w, ids in once.items() if len(w) <= CACHED_BYTES)
             if len(cores) < CACHED_CORES:
                 cores.update((p, ids) for p, ids in got.items() if len(p) <= CACHED_BYTES)
-        return [
-            b"".join([once[w] if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids)
-            for words, ids in zip(split, found, strict=True)
-        ]
+            found = [once[w] if x is None else x for w, x in zip(words, found, strict=True)]
+
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        n = sizes[place]  # of every word, in order
+        upto = np.concatenate([[0], np.cumsum(n)])
+        out = ids[np.arange(upto[-1]) + np.repeat(begins[place] - upto[:-1], n)].tobytes()
+        edges = np.cumsum([0, *(len(x) + 1 for x in encoded)])
+        cuts = (4 * upto[np.searchsorted(starts, edges)]).tolist()
+        return [out[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
