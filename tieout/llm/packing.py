@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .tokens import blocks, default_vocabulary, encoder
+from .tokens import default_vocabulary, encoder, text_blocks
 
 WINDOW, GRAIN, DEPTH, SALTS = 4096, 16, 3, 128
 TEXT_BYTES = 4 << 20
@@ -40,9 +40,8 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in blocks(np.array([len(t or "") for t in texts]), TEXT_BYTES):
-                wide = [np.frombuffer(x + end, "<u4") for x in words.batch(texts[i:j])]
+            for i, j, texts in text_blocks(batch.column("text"), TEXT_BYTES):
+                wide = [np.frombuffer(x + end, "<u4") for x in words.batch(texts)]
                 if any(x.max() > 0xFFFF for x in wide):
                     raise ValueError("the vocabulary has ids beyond 16 bits")
                 yield pa.RecordBatch.from_arrays(
@@ -201,10 +200,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, window
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_, ns, ids, pieces = (batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "pieces"))
-            for i, j in blocks(np.array([len(x) for x in ids]), TEXT_BYTES):
+            for i, j, ids in text_blocks(batch.column("ids"), TEXT_BYTES):
+                docs_, ns, pieces = (batch.column(c).slice(i, j - i).to_pylist() for c in ("doc_id", "n", "pieces"))
                 rows: dict[str, list] = {c.split()[0]: [] for c in PIECES.split(", ")}
-                for doc, n, own, parts in zip(docs_[i:j], ns[i:j], ids[i:j], pieces[i:j], strict=True):
+                for doc, n, own, parts in zip(docs_, ns, ids, pieces, strict=True):
                     wide = np.frombuffer(own, "<u2").astype("<u4")
                     for p in parts:
                         rows["doc_id"].append(doc)

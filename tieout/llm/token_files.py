@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import scratch, written
-from .tokens import blocks, default_vocabulary, encoder
+from .tokens import default_vocabulary, encoder, text_blocks
 
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEKABLE_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
@@ -147,9 +147,9 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
         words, out, path = encoder(vocabulary), None, ""
         part = TaskContext.get().partitionId()
         for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for i, j in blocks(np.array([len(t or "") for t in texts]), TEXT_BYTES):
-                for doc, got in zip(ids[i:j], words.batch(texts[i:j]), strict=True):
+            ids = batch.column(0).to_pylist()
+            for i, j, texts in text_blocks(batch.column(1), TEXT_BYTES):
+                for doc, got in zip(ids[i:j], words.batch(texts), strict=True):
                     if out is None:
                         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
                         system, name = _open(path)

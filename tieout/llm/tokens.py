@@ -13,10 +13,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .textvec import hash_spans, word_bounds
 
-CACHED_WORDS, CACHED_CORES = 600_000, 500_000
+CACHED_WORDS, CACHED_CORES = 400_000, 400_000
 CACHED_BYTES = 40
 #: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
 _TRAIL = b".,;:!?*%$&#|"
@@ -127,6 +129,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def text_blocks(texts: pa.Array, most: int):
+    """(first, after last, texts) of an Arrow column, at most ``most`` bytes at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for i, j in blocks(sizes, most):
+        yield i, j, texts.slice(i, j - i).to_pylist()
+
+
 def blocks(sizes: np.ndarray, most: int):
     """Row ranges of at most ``most`` units together (a single larger row stands alone)."""
     begin, total = 0, 0
