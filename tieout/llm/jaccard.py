@@ -45,6 +45,7 @@ SKETCH_BITS = 1024
 #: Packed signatures are handed on when a task holds so many.
 HELD = 1_500_000
 _ODD = [np.array([x], np.uint64) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
+_POSITIONS = np.concatenate(_ODD)
 
 
 def band_edges(largest: int = 1 << 40) -> list[int]:
@@ -64,7 +65,7 @@ class Band:
         k = 2 * (LO[c + 1] - 1) // 9
         k2, n2 = (0, 1) if k == 0 else (min(k, 3), 7) if k <= 20 else (2, 5) if k < 64 else (1, 3)
         self.n1, self.n2 = math.ceil((k + 1) / (k2 + 1)), n2
-        self.choices = list(combinations(range(n2), n2 - k2))
+        self.choices = [list(c) for c in combinations(range(n2), n2 - k2)]
         self.drop_empty = self.n1 >= DROP_EMPTY
         self.seed = np.array([c + 1], np.uint64) * _ODD[1]
 
@@ -75,14 +76,11 @@ class Band:
         np.add.at(sums, cell, h)
         sums = sums.reshape(self.n1, self.n2)
         group = np.arange(self.n1, dtype=np.uint64) * _ODD[2] + self.seed
+        mixed, empty = mix(sums + _POSITIONS[: self.n2]), sums == 0
         out = []
         for j, choice in enumerate(self.choices):
-            total = group + np.array([j], np.uint64) * _ODD[3]
-            empty = np.ones(self.n1, bool)
-            for i, x in enumerate(choice):
-                total = total + mix(sums[:, x] + _ODD[i])
-                empty &= sums[:, x] == 0
-            out.append(mix(total)[~empty] if self.drop_empty else mix(total))
+            total = mix(mixed[:, choice].sum(axis=1, dtype=np.uint64) + group + np.array([j], np.uint64) * _ODD[3])
+            out.append(total[~empty[:, choice].all(axis=1)] if self.drop_empty else total)
         return np.concatenate(out)
 
 
