@@ -189,7 +189,8 @@ def _collisions(pdf: pd.DataFrame) -> pd.DataFrame:
     for i, n in zip(begin[many].tolist(), sizes[many].tolist(), strict=True):
         members = keys[i : i + n].tobytes()
         found[members] = found.get(members, 0) + 1
-    return pd.DataFrame({"members": [np.frombuffer(m, np.int64) for m in found], "shared": list(found.values())})
+    members = pd.Series([np.frombuffer(m, np.int64).tolist() for m in found], dtype=object)
+    return pd.DataFrame({"members": members, "shared": pd.Series(list(found.values()), dtype="int64")})
 
 
 def sketch(items: np.ndarray) -> np.ndarray:

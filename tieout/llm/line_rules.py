@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import is_small, written
-from .textvec import hash_spans, mix, text_bytes, word_bounds
+from .textvec import hash_spans, text_bytes, word_bounds
 
 HOST_LIMIT = 10
 LEAST_LEFT = 0.1
@@ -72,7 +72,7 @@ def figures(text: str | None) -> tuple:
         line = normalised(x)
         key = _hash(line)
         shares[key] = shares.get(key, 0) + line.count(b" ") + 1
-    content = int(mix(np.array(sorted(shares), np.int64).view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) if shares else 0
+    content = _hash(data)
     return len(split), word_chars, n_symbols, len(lines) - len(set(lines)), repeat_words(words), content, shares
 
 
