@@ -188,7 +188,7 @@ def test_quality_without_labels_and_with_odd_rows(spark, docs):
 
 def test_line_figures_and_frequency(spark):
     shared = "this line stands in every document of the host"
-    rows = [(k, "\n".join([shared, *[f"own {chr(97 + k)} line {chr(97 + j)}{chr(98 + j)} end" for j in range(24)]]), "h") for k in range(14)]
+    rows = [(k, "\n".join([shared, *[" ".join(chr(97 + k) + chr(97 + j) + chr(97 + m) for m in range(5)) for j in range(24)]]), "h") for k in range(14)]
     rows += [(100 + k, shared.upper() + "\n" + shared.replace(" ", "  ") + "\n" + " ".join([shared] * 6), "h") for k in range(2)]
     rows += [(200 + k, rows[0][1], "other") for k in range(40)]  # one text, many copies
     rows += [(300, None, None)]

@@ -241,7 +241,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, text_hash) of all documents."""
+    """Rows (doc_id, n_shingles, component_id, text_hash, component) of all documents; the last is a key of the component."""
     spark = docs.sparkSession
     slim = shingled(docs)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -307,12 +307,12 @@ def linked(docs: DataFrame) -> DataFrame:
     return (
         grouped.drop("component_id")
         .join(lowest, "component", "left")
-        .select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"), "text_hash")
+        .select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"), "text_hash", "component")
     )
 
 
 def op10_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
+    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash", "component")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -322,10 +322,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     rows = written(linked(docs), "components").where("n_shingles > 0")
     names = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    first = rows.where(names).groupBy("component_id").agg(F.min("text_hash").alias("first"), F.count("*").alias("n"))
-    own = rows.alias("r").join(first.alias("f"), F.col("r.component_id").eqNullSafe(F.col("f.component_id")))
-    stays = F.col("r.doc_id").eqNullSafe(F.col("f.component_id")) & (F.col("text_hash") == F.col("first"))
-    gone = written(own.where(~stays).select("r.doc_id", "text_hash").distinct(), "copies")
+    first = rows.where(names).groupBy("component").agg(F.min("text_hash").alias("first"))
+    stays = names & (F.col("text_hash") == F.col("first"))
+    gone = written(rows.join(first, "component").where(~stays).select("doc_id", "text_hash").distinct(), "copies")
     again = written(rows.where(names).groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash"), "repeats")
 
     keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
