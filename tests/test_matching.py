@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tieout.operators import balances, history, matching
@@ -174,3 +176,29 @@ def test_hot_path_equals_cold_path_on_fixture(spark, ledger):
     salted = matching.match_transactions(ledger.postings(), ledger.stg_gl(), hot_key_lines=1, lines_per_bucket=1)
     assert base.exceptAll(salted.select(*cols)).count() == 0
     assert salted.select(*cols).exceptAll(base).count() == 0
+
+
+def test_pairs_do_not_depend_on_the_hot_key_limit(spark):
+    rows_sl = [sl("H1", "6000", Decimal(i), Z, d=D + dt.timedelta(days=i % 5), role=f"R{i:03d}") for i in range(1, 401)]
+    rows_gl = [gl("H1", i, "6000", Decimal(i), Z) for i in range(1, 401)]
+    p, g = spark.createDataFrame(rows_sl, POST_DDL), spark.createDataFrame(rows_gl, GL_DDL)
+    plain = matching.match_transactions(p, g, hot_key_lines=1_000_000)
+    ranged = matching.match_transactions(p, g, hot_key_lines=100, lines_per_bucket=40)
+    assert plain.count() == 400 and plain.exceptAll(ranged).count() == 0 and ranged.exceptAll(plain).count() == 0
+
+
+def test_hierarchy_reaches_every_level(spark):
+    acc = spark.createDataFrame([(f"A{i}", f"A{i - 1}" if i else None) for i in range(130)], "account_code STRING, parent_account_code STRING")
+    levels = {r["level"] for r in balances.account_hierarchy(acc).collect()}
+    assert levels == set(range(130))
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tieout.plans.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tieout.functions.columns import money_sum
+from tieout.plans.session import ensure_checkpoint_dir
 
 TB_KEYS = ["entity_id", "account_code", "posting_date"]
 
@@ -30,21 +33,19 @@ def trial_balance(lines: DataFrame) -> DataFrame:
     return daily.withColumn("running_balance_usd", money_sum(F.sum("daily_net_usd").over(w)))
 
 
-def account_hierarchy(
-    accounts: DataFrame,
-    max_levels: int = 100,
-    checkpoint_every: int = 8,
-) -> DataFrame:
+def account_hierarchy(accounts: DataFrame) -> DataFrame:
     """Walk parent links from the roots: level (0 = root), root_code, '/'-joined path.
 
     Iterative frontier join instead of a recursive CTE: each round joins only
     the newest level to its children (one shuffle on the parent code), so work
-    is proportional to the tree, not depth x tree, and nothing is bounded by a
-    recursion row limit. Lineage is cut with checkpoint() every few levels.
+    is proportional to the tree, not depth x tree, and no level is cut off: the
+    walk ends when a level is empty. Every level is written once with
+    checkpoint() and read from there afterwards.
     Accounts never reached (orphans, cycles) are left out, as with a walk from
     the roots; `unreached_accounts` reports them.
     """
-    cols = [c for c in accounts.columns]
+    ensure_checkpoint_dir(accounts.sparkSession)
+    cols = accounts.columns
     nodes = accounts.select(*cols)
     frontier = nodes.filter(F.col("parent_account_code").isNull()).select(
         *cols,
@@ -54,7 +55,7 @@ def account_hierarchy(
     )
     levels = [frontier]
     children = nodes.filter(F.col("parent_account_code").isNotNull())
-    for depth in range(1, max_levels + 1):
+    for depth in itertools.count(1):
         parent = frontier.select(
             F.col("account_code").alias("_p_code"), F.col("root_code").alias("_root"), F.col("path").alias("_path")
         )
@@ -64,8 +65,7 @@ def account_hierarchy(
             F.col("_root").alias("root_code"),
             F.concat(F.col("_path"), F.lit("/"), F.col("account_code")).alias("path"),
         )
-        if depth % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+        nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
         levels.append(nxt)

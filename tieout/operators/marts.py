@@ -217,14 +217,14 @@ def recon_summary(control: DataFrame, txn_level: DataFrame, roll_fwd: DataFrame)
 
 
 def recon_duplicate_invoices(ap_invoices: DataFrame) -> DataFrame:
-    """Same vendor, date and amount under different ids (non-VOID): count, first
+    """Same vendor, date and amount under different ids (neither VOID nor WRITTEN_OFF): count, first
     and last id, >2 FAIL else WARN.
 
     A plain hash aggregate with map-side partials: no group's ids are ever
     collected into one array, so a hot (vendor, date, amount) stays bounded;
     `duplicate_invoice_members` lists the member invoices row by row.
     """
-    g = ap_invoices.filter(F.col("status") != "VOID").groupBy("vendor_id", "invoice_date", "amount_usd").agg(
+    g = ap_invoices.filter(~F.col("status").isin("VOID", "WRITTEN_OFF")).groupBy("vendor_id", "invoice_date", "amount_usd").agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         F.min("invoice_id").alias("first_invoice_id"),
         F.max("invoice_id").alias("last_invoice_id"),
@@ -238,7 +238,7 @@ def recon_duplicate_invoices(ap_invoices: DataFrame) -> DataFrame:
 def duplicate_invoice_members(ap_invoices: DataFrame, dups: DataFrame) -> DataFrame:
     """Every invoice of a duplicate group, with the group's count and status."""
     keys = ["vendor_id", "invoice_date", "amount_usd"]
-    inv = ap_invoices.filter(F.col("status") != "VOID").select(*keys, "invoice_id")
+    inv = ap_invoices.filter(~F.col("status").isin("VOID", "WRITTEN_OFF")).select(*keys, "invoice_id")
     # few duplicate groups (the normal case) are broadcast, so invoices do not shuffle
     return inv.join(checked_broadcast(dups.select(*keys, "duplicate_count", "status"), 1_000_000), keys, "inner")
 

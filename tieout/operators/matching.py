@@ -18,13 +18,13 @@ sides together; their number is bounded by total lines / `hot_key_lines`.
 * Cold keys: `dup_seq` = `row_number()` over the key, ordered by the stable
   tie-break; the join on (key, dup_seq) reuses that window's partitioning
   (co-partitioning on a key subset is allowed), so each side shuffles once.
-* Hot keys: lines are salted into ceil(lines / LINES_PER_BUCKET) buckets
-  (per key, from its exact count) by a hash of their tie-break columns.
-  Lines are numbered inside (key, bucket), the bucket sizes (one row per
-  hot key and bucket) give each bucket's offset, and
-  `dup_seq` = offset + number is still a gap-free 1..n per key. The join is
-  then hash-partitioned on (key, dup_seq), which spreads a hot key over all
-  tasks. Pairs are formed in (bucket, tie-break) order.
+* Hot keys: lines are range-partitioned on (key, tie-break) into
+  ceil(lines / LINES_PER_BUCKET) partitions and written once. Lines are
+  numbered inside (key, partition); the key's lines in earlier partitions
+  (one row per key and partition) are the offset, so `dup_seq` is the same
+  number that one window per key gives, and pairs don't depend on the limit.
+  The join is then hash-partitioned on (key, dup_seq), which spreads a hot
+  key over all tasks.
 * Lines with a NULL key part (zero lines) can never match. They carry a
   per-line `_spread` hash (0 for every other line) that is part of both the
   numbering partition and the join key, so a large group of zero lines is
@@ -48,9 +48,9 @@ MATCHED_SYSTEMS = ["AP", "AR", "INV"]
 SL_ORDER = ["sl_posting_date", "sl_amount_usd", "posting_role", "entity_id", "business_date", "currency"]
 GL_ORDER = ["gl_posting_date", "gl_amount_usd", "journal_id", "journal_line_id"]
 
-# lines per match key (both sides) above which a key is salted
+# lines per match key (both sides) above which a key is numbered by ranges
 HOT_KEY_LINES = 1_000_000
-# a hot key gets ceil(lines / LINES_PER_BUCKET) buckets, so bucket work is bounded
+# hot keys get ceil(lines / LINES_PER_BUCKET) range partitions, so a task's work is bounded
 LINES_PER_BUCKET = 250_000
 # hot-key list and bucket-offset tables are broadcast only under these bounds
 HOT_KEYS_BROADCAST_MAX = 100_000
@@ -91,19 +91,18 @@ def number_lines(lines: DataFrame, order: list[str]) -> DataFrame:
     return lines.withColumn("dup_seq", F.row_number().over(w))
 
 
-def number_lines_salted(lines: DataFrame, order: list[str], buckets: Column, broadcast_offsets: bool) -> DataFrame:
-    """dup_seq = 1..n per match key without putting a key into one task.
+def number_lines_ranged(lines: DataFrame, order: list[str], parts: int, broadcast_offsets: bool) -> DataFrame:
+    """dup_seq = 1..n per match key in `order`, without putting a key into one task.
 
-    `buckets` is the key's bucket count. Numbering runs per (key, bucket);
-    bucket sizes are summed per key into offsets. The offsets table has one
-    row per (key, bucket), at most the sum of the keys' bucket counts; the
-    caller knows that bound from the hot-key table and says whether it fits a
-    broadcast (no probe job, which would compute the numbering twice).
+    Lines are range-partitioned on (key, order) and written once, so a key runs
+    through consecutive partitions in its order. A line's number is its number
+    within (key, partition) plus the key's lines in earlier partitions: the same
+    number that one window per key gives. The offsets table has at most one row
+    per key and partition border, which the caller knows from the hot-key table.
     """
-    x = lines.withColumn("_b", F.pmod(F.xxhash64(*order), buckets).cast("int"))
-    x = x.withColumn("_rn", F.row_number().over(W.partitionBy(*MATCH_KEYS, "_b").orderBy(*order)))
-    # grouped on the window's own partitioning: no further shuffle of lines
-    sizes = x.groupBy(*MATCH_KEYS, "_b").agg(F.max("_rn").alias("_n"))
+    ranged = lines.repartitionByRange(parts, *MATCH_KEYS, *order).withColumn("_b", F.spark_partition_id()).checkpoint()
+    x = ranged.withColumn("_rn", F.row_number().over(W.partitionBy(*MATCH_KEYS, "_b").orderBy(*order)))
+    sizes = ranged.groupBy(*MATCH_KEYS, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*MATCH_KEYS).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(*MATCH_KEYS, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     x = x.join(F.broadcast(offsets) if broadcast_offsets else offsets, [*MATCH_KEYS, "_b"])
@@ -120,8 +119,8 @@ def hot_keys(
     """Hashes of match keys with more than `threshold` lines on both sides together.
 
     Counting an 8-byte hash instead of the four key strings keeps the probe's
-    shuffle small. A collision can only add keys to the salted path, whose
-    pairing is exact for any key, so results do not depend on it.
+    shuffle small. A collision can only add keys to the ranged path, which
+    numbers lines as the plain one does, so results do not depend on it.
     """
     keys = sl.filter(_matchable()).select(key_hash()).unionByName(gl.filter(_matchable()).select(key_hash()))
     counts = keys.groupBy("_kh").count().filter(F.col("count") > threshold)
@@ -171,18 +170,19 @@ def match_transactions(
     if stats["keys"] == 0:
         return _pair(number_lines(sl, SL_ORDER), number_lines(gl, GL_ORDER))
     hot_b = F.broadcast(hot) if stats["keys"] <= HOT_KEYS_BROADCAST_MAX else hot
-    small_offsets = (stats["buckets"] or 0) <= OFFSETS_BROADCAST_MAX
+    parts = max(2, int(stats["buckets"]))
+    small_offsets = stats["keys"] + parts <= OFFSETS_BROADCAST_MAX
 
     def split(lines: DataFrame, how: str) -> DataFrame:
         # inner on a unique hash = semi join that also brings the bucket count
         return lines.withColumn("_kh", key_hash()).join(hot_b, "_kh", how).drop("_kh")
 
     cold = _pair(number_lines(split(sl, "left_anti"), SL_ORDER), number_lines(split(gl, "left_anti"), GL_ORDER))
-    salted = _pair(
-        number_lines_salted(split(sl, "inner"), SL_ORDER, F.col("_nb"), small_offsets).drop("_nb"),
-        number_lines_salted(split(gl, "inner"), GL_ORDER, F.col("_nb"), small_offsets).drop("_nb"),
+    ranged = _pair(
+        number_lines_ranged(split(sl, "inner").drop("_nb"), SL_ORDER, parts, small_offsets),
+        number_lines_ranged(split(gl, "inner").drop("_nb"), GL_ORDER, parts, small_offsets),
     )
-    return cold.unionByName(salted)
+    return cold.unionByName(ranged)
 
 
 def recon_transaction_level(matched: DataFrame, tolerance_rules: DataFrame, recon_at: dt.datetime | str) -> DataFrame:

@@ -231,7 +231,7 @@ def _slug(s: str) -> str:
     out = "".join(ch if ch.isalnum() else "_" for ch in s.lower())
     while "__" in out:
         out = out.replace("__", "_")
-    return out.strip("_")[:60]
+    return out.strip("_")
 
 
 def _row_level(c: Check) -> Column | None:

@@ -82,12 +82,15 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
 def stg_gl_journal(raw_gl: DataFrame) -> DataFrame:
     """Latest copy of each (journal_id, journal_line_id), plus net = debit - credit.
 
-    Equal ingested_at would be a free choice; the remaining columns break the
-    tie so the result is deterministic.
+    Equal ingested_at would be a free choice; all other columns break the tie,
+    so copies that still tie are the same line.
     """
     order = [
         F.col("ingested_at").desc(), F.col("debit_usd").desc(), F.col("credit_usd").desc(),
         F.col("posting_date").desc(), F.col("account_code"), F.col("entity_id"),
+        *(F.col(c).asc_nulls_last() for c in (
+            "business_date", "currency", "amount_currency", "fx_rate", "source_system", "source_doc_id", "description", "created_by",
+        )),
     ]
     latest = dedup_latest(raw_gl, GL_KEYS, order)
     return latest.withColumn("net_amount_usd", money(F.col("debit_usd") - F.col("credit_usd"))).select(

@@ -90,7 +90,9 @@ stg_gl AS (
          source_system, source_doc_id, description, created_by, ingested_at
   FROM (SELECT *, row_number() OVER (PARTITION BY journal_id, journal_line_id
                                      ORDER BY ingested_at DESC, debit_usd DESC, credit_usd DESC,
-                                              posting_date DESC, account_code, entity_id) AS rn
+                                              posting_date DESC, account_code, entity_id, business_date, currency,
+                                              amount_currency, fx_rate, source_system, source_doc_id,
+                                              description, created_by) AS rn
         FROM raw_gl_journal) r
   WHERE rn = 1
 ),

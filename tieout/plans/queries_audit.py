@@ -187,7 +187,7 @@ _DIGEST = """digest_lines AS (
                      ELSE '_No checks above the materiality threshold._' END AS body,
                 CASE WHEN coalesce(d.below_count, 0) > 0
                      THEN '_(' || CAST(d.below_count AS VARCHAR) || ' check(s) below the $10,000 threshold; '
-                          || 'see the Recon Cockpit for detail.)_' END AS footer
+                          || 'see the dashboard for detail.)_' END AS footer
          FROM runs r LEFT JOIN digest_lines d ON d.run_id = r.run_id""", _DIGEST),
 )
 def alert_digest(spark, sf_dir):
@@ -219,34 +219,34 @@ def evidence_check_results(spark, sf_dir):
 @register(
     "evidence_control_breaks",
     q("""SELECT * FROM control WHERE status <> 'PASS'
-         ORDER BY abs(variance_usd) DESC, entity_id, account_code, posting_date LIMIT 25"""),
+         ORDER BY abs(variance_usd) DESC, entity_id, account_code, posting_date LIMIT 100"""),
 )
 def evidence_control_breaks(spark, sf_dir):
-    return audit.evidence_control_breaks(L(spark, sf_dir).control(), 25)
+    return audit.evidence_control_breaks(L(spark, sf_dir).control(), 100)
 
 
 _TXN_ORDER = ("abs(coalesce(amount_delta_usd, 0)) DESC, source_system, source_doc_id, account_code, "
               "posting_role NULLS FIRST, journal_id NULLS FIRST, journal_line_id NULLS FIRST")
 
 
-@register("evidence_txn_breaks", q(f"SELECT * FROM txn_level WHERE status = 'BREAK' ORDER BY {_TXN_ORDER} LIMIT 25"))
+@register("evidence_txn_breaks", q(f"SELECT * FROM txn_level WHERE status = 'BREAK' ORDER BY {_TXN_ORDER} LIMIT 100"))
 def evidence_txn_breaks(spark, sf_dir):
-    return audit.evidence_txn_breaks(L(spark, sf_dir).txn_level(), 25)
+    return audit.evidence_txn_breaks(L(spark, sf_dir).txn_level(), 100)
 
 
 @register("evidence_manual_jes",
-          q("SELECT * FROM manual_je ORDER BY abs(amount_usd) DESC, journal_id, journal_line_id LIMIT 25"))
+          q("SELECT * FROM manual_je ORDER BY abs(amount_usd) DESC, journal_id, journal_line_id LIMIT 100"))
 def evidence_manual_jes(spark, sf_dir):
-    return audit.evidence_manual_jes(L(spark, sf_dir).manual_je(), 25)
+    return audit.evidence_manual_jes(L(spark, sf_dir).manual_je(), 100)
 
 
 @register(
     "evidence_pack",
     A("""SELECT 'check_results' AS dataset, CAST(count(*) AS BIGINT) AS row_count
            FROM checks c SEMI JOIN latest_run l ON l.run_id = c.run_id
-         UNION ALL SELECT 'control_breaks', CAST(least(count(*), 25) AS BIGINT) FROM control WHERE status <> 'PASS'
-         UNION ALL SELECT 'txn_breaks', CAST(least(count(*), 25) AS BIGINT) FROM txn_level WHERE status = 'BREAK'
-         UNION ALL SELECT 'manual_jes', CAST(least(count(*), 25) AS BIGINT) FROM manual_je
+         UNION ALL SELECT 'control_breaks', CAST(least(count(*), 100) AS BIGINT) FROM control WHERE status <> 'PASS'
+         UNION ALL SELECT 'txn_breaks', CAST(least(count(*), 100) AS BIGINT) FROM txn_level WHERE status = 'BREAK'
+         UNION ALL SELECT 'manual_jes', CAST(least(count(*), 100) AS BIGINT) FROM manual_je
          UNION ALL SELECT 'run_summary', CAST(4 + count(*) AS BIGINT)
            FROM row_counts c SEMI JOIN latest_run l ON l.run_id = c.run_id"""),
 )
@@ -257,9 +257,9 @@ def evidence_pack(spark, sf_dir):
     datasets = {
         "run_summary": audit.evidence_run_summary(run, led.run_row_counts()),
         "check_results": audit.evidence_check_results(led.audit_checks(), run),
-        "control_breaks": audit.evidence_control_breaks(led.control(), 25),
-        "txn_breaks": audit.evidence_txn_breaks(led.txn_level(), 25),
-        "manual_jes": audit.evidence_manual_jes(led.manual_je(), 25),
+        "control_breaks": audit.evidence_control_breaks(led.control(), 100),
+        "txn_breaks": audit.evidence_txn_breaks(led.txn_level(), 100),
+        "manual_jes": audit.evidence_manual_jes(led.manual_je(), 100),
     }
     folder = os.path.join(ensure_checkpoint_dir(spark), f"evidence-{uuid.uuid4().hex}")
     r = run.select("business_date", "run_id").first()

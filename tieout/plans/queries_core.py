@@ -347,7 +347,7 @@ dups AS (
   SELECT vendor_id, invoice_date, amount_usd, CAST(count(*) AS BIGINT) AS duplicate_count,
          min(invoice_id) AS first_invoice_id, max(invoice_id) AS last_invoice_id,
          CASE WHEN count(*) > 2 THEN 'FAIL' ELSE 'WARN' END AS status
-  FROM dup_src WHERE status <> 'VOID'
+  FROM dup_src WHERE status NOT IN ('VOID', 'WRITTEN_OFF')
   GROUP BY vendor_id, invoice_date, amount_usd HAVING count(*) > 1
 )"""
 
@@ -379,7 +379,7 @@ def summary_duplicate_invoices(spark, sf_dir):
 @register(
     "duplicate_invoice_members",
     q("""SELECT s.vendor_id, s.invoice_date, s.amount_usd, s.invoice_id, d.duplicate_count, d.status
-         FROM dup_src s JOIN dups d USING (vendor_id, invoice_date, amount_usd) WHERE s.status <> 'VOID'""",
+         FROM dup_src s JOIN dups d USING (vendor_id, invoice_date, amount_usd) WHERE s.status NOT IN ('VOID', 'WRITTEN_OFF')""",
       _DUP_INV),
 )
 def duplicate_invoice_members(spark, sf_dir):

@@ -39,8 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (spark.checkpoint.dir).
 
-    Only when none is configured (tests, local runs) is a fresh scratch folder
-    set; on a cluster the setting names shared storage and is used as is.
+    Only a local session without a setting (tests, local runs) gets a fresh
+    scratch folder. On a cluster the setting must name shared storage: a folder
+    of the driver's machine would not be seen by the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tieout-ckpt-", dir=os.environ.get("TIEOUT_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
