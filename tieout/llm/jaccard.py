@@ -43,7 +43,7 @@ NO_ID = -(2**63)
 DROP_EMPTY = 32
 SKETCH_BITS = 1024
 #: Packed signatures are handed on when a task holds so many.
-HELD = 1_500_000
+HELD = 600_000
 _ODD = [np.array([x], np.uint64) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 _POSITIONS = np.concatenate(_ODD)
 
@@ -159,7 +159,7 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
                 key = set_key(items)
                 if key < 0 or key in seen:  # copies within a task sign once; others meet in their bucket
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(key)
                 sigs.append(signatures(items))
                 keys.append(key)

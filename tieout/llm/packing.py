@@ -29,7 +29,7 @@ from .common import written
 from .tokens import default_vocabulary, encoder, text_blocks
 
 WINDOW, GRAIN, DEPTH, SALTS = 4096, 16, 3, 128
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 3 << 20
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 

@@ -35,7 +35,7 @@ SKIPPABLE = struct.Struct("<II")
 DOCS = struct.Struct("<qqI")  # first and last doc_id, documents
 
 FRAME_BYTES = 1 << 20
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 3 << 20
 NO_ID = -(2**63)
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 RESULT = "doc_id long, start long, n_tokens long, ids binary"

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from .textvec import hash_spans, word_bounds
 
-CACHED_WORDS, CACHED_CORES = 400_000, 400_000
+CACHED_WORDS, CACHED_CORES = 300_000, 300_000
 CACHED_BYTES = 40
 #: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
 _TRAIL = b".,;:!?*%$&#|"
