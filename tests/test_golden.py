@@ -87,9 +87,9 @@ def test_run_round_trip(spark):
     runs = spark.createDataFrame([("r1", D, "manual:cli", dt.datetime(2026, 4, 1, 8))],
                                  "run_id STRING, business_date DATE, triggered_by STRING, started_at TIMESTAMP")
     start = audit.audit_start_run(runs)
-    final, check_events = audit.audit_finalize(start, checks)
+    final, check_events = audit.audit_finalize(start, checks, F.lit("2026-04-01 08:09:10"))
     latest = audit.latest_runs(start.unionByName(final)).first()
-    assert latest["status"] == "FAIL"
+    assert latest["status"] == "FAIL" and latest["finished_at"] == dt.datetime(2026, 4, 1, 8, 9, 10)
     assert audit.run_totals(check_events).first()["total_breaks_value_usd"] == Decimal("133.44")
     by = {r["check_name"]: r for r in checks.collect()}
     assert by["control_account"]["status"] == "FAIL" and by["control_account"]["breaks_count"] == 12
@@ -111,8 +111,15 @@ def test_mark_error_truncates(spark):
     runs = spark.createDataFrame([("r1", D, "schedule", dt.datetime(2026, 4, 1, 8))],
                                  "run_id STRING, business_date DATE, triggered_by STRING, started_at TIMESTAMP")
     start = audit.audit_start_run(runs)
-    err = audit.audit_mark_error(start, runs, "boom " * 200).first()
+    end = F.lit("2026-04-01 08:01:00")
+    err = audit.audit_mark_error(start, runs, "boom " * 200, end).first()
     assert err["status"] == "ERROR" and len(err["error_message"]) == 500 and err["event_seq"] == 2
+    assert err["finished_at"] == dt.datetime(2026, 4, 1, 8, 1)
+    final, _ = audit.audit_finalize(start, spark.createDataFrame([], CHK_DDL + ", breaks_count INT, "
+                                    "materiality_usd DECIMAL(18,2), pass_count BIGINT, warn_count BIGINT, "
+                                    "fail_count BIGINT"), end)
+    late = audit.audit_mark_error(start.select(*audit.RUN_COLUMNS).unionByName(final), runs, "late", end).first()
+    assert late["event_seq"] == 3
 
 
 def test_alert_digest_split(spark):

@@ -203,16 +203,22 @@ def order_journal(gl: DataFrame) -> DataFrame:
     return gl.orderBy("business_date", "journal_id", "journal_line_id")
 
 
-def fx_lookup(docs: DataFrame, fx_rates: DataFrame, date_col: str, currency_col: str = "currency") -> DataFrame:
-    """Attach the (date, currency -> USD) rate; rows without a rate keep NULL so
-    `assert_rates_present` can fail the run (a missing key is an error)."""
+def fx_lookup(docs: DataFrame, fx_rates: DataFrame, date_col: str, currency_col: str = "currency",
+              strict: bool = False) -> DataFrame:
+    """Attach the (date, currency -> USD) rate. Rows without a rate keep NULL, or with
+    `strict` fail the job that reads them."""
     from tieout.plans.broadcast import checked_broadcast
 
     fx = fx_rates.filter(F.col("to_currency") == "USD").select(
         F.col("rate_date").alias("_d"), F.col("from_currency").alias("_c"), F.col("rate").alias("looked_up_rate")
     )
     fx = checked_broadcast(fx, max_rows=5_000_000)
-    return docs.join(fx, (docs[date_col] == fx["_d"]) & (docs[currency_col] == fx["_c"]), "left").drop("_d", "_c")
+    out = docs.join(fx, (docs[date_col] == fx["_d"]) & (docs[currency_col] == fx["_c"]), "left").drop("_d", "_c")
+    if not strict:
+        return out
+    gap = F.concat_ws(" ", F.lit("no USD rate for"), F.col(currency_col), F.col(date_col).cast("string"))
+    return out.withColumn("looked_up_rate", F.coalesce(
+        F.col("looked_up_rate"), F.raise_error(gap).cast(fx_rates.schema["rate"].dataType)))
 
 
 def missing_rates(looked_up: DataFrame) -> DataFrame:

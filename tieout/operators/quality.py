@@ -67,16 +67,21 @@ def dq_unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
 
 
-def assert_balanced(df: DataFrame, group_by: Sequence[str], debit: str = "debit_usd", credit: str = "credit_usd",
-                    tolerance: str = "0.01") -> DataFrame:
-    """One row per group whose debits and credits differ by more than tolerance."""
+def journal_balances(df: DataFrame, group_by: Sequence[str], debit: str = "debit_usd",
+                     credit: str = "credit_usd") -> DataFrame:
+    """Debits, credits and their difference per group."""
     g = df.groupBy(*group_by).agg(
         F.sum(debit).cast("decimal(38,2)").alias("total_debit"),
         F.sum(credit).cast("decimal(38,2)").alias("total_credit"),
     )
-    var = F.col("total_debit") - F.col("total_credit")
-    return g.withColumn("variance_usd", var.cast("decimal(38,2)")).filter(
-        F.abs(var) > F.lit(tolerance).cast("decimal(10,4)")
+    return g.withColumn("variance_usd", (F.col("total_debit") - F.col("total_credit")).cast("decimal(38,2)"))
+
+
+def assert_balanced(df: DataFrame, group_by: Sequence[str], debit: str = "debit_usd", credit: str = "credit_usd",
+                    tolerance: str = "0.01") -> DataFrame:
+    """One row per group whose debits and credits differ by more than tolerance."""
+    return journal_balances(df, group_by, debit, credit).filter(
+        F.abs("variance_usd") > F.lit(tolerance).cast("decimal(10,4)")
     )
 
 

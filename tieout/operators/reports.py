@@ -61,14 +61,10 @@ def status_composition(trend: DataFrame) -> DataFrame:
 
 def break_filter_values(txn_level: DataFrame) -> DataFrame:
     """Distinct systems, accounts and (non-null) break classes as (filter, value)."""
-    def vals(col: str, name: str) -> DataFrame:
-        return txn_level.filter(F.col(col).isNotNull()).select(
-            F.lit(name).alias("filter_name"), F.col(col).alias("value")
-        ).distinct()
-
-    return vals("source_system", "source_system").unionByName(vals("account_code", "account_code")).unionByName(
-        vals("break_class", "break_class")
-    ).orderBy("filter_name", "value")
+    pairs = F.array(*[F.struct(F.lit(c).alias("filter_name"), F.col(c).alias("value"))
+                      for c in ("source_system", "account_code", "break_class")])
+    return txn_level.select(F.explode(pairs).alias("p")).select("p.*").filter(
+        F.col("value").isNotNull()).distinct().orderBy("filter_name", "value")
 
 
 BREAK_DETAIL_COLUMNS = [

@@ -4,12 +4,17 @@ from a `Ledger`, and DuckDB SQL for the oracle."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tieout.operators import quality
 from tieout.operators.quality import Check
 from tieout.sources import reference_data as R
 
+# the key of each sub-ledger feed
+FEED_KEYS = {
+    "ap_invoices": "invoice_id", "ap_payments": "payment_id", "ap_accruals": "accrual_id",
+    "ar_invoices": "invoice_id", "ar_receipts": "receipt_id", "ar_credit_memos": "memo_id",
+    "inv_transactions": "txn_id",
+}
+
 # --- FIXED VALUES: declared tests (model, kind, column, argument, warn_if, error_if, severity)
 CHECKS: list[Check] = [
     Check("dim_entity", "not_null", "entity_id"), Check("dim_entity", "unique", "entity_id"),
@@ -42,6 +47,11 @@ CHECKS: list[Check] = [
     Check("gl_journal", "not_null", "debit_usd"), Check("gl_journal", "expression", "debit_usd", ">= 0"),
     Check("gl_journal", "not_null", "credit_usd"), Check("gl_journal", "expression", "credit_usd", ">= 0"),
     # staging
+    Check("stg_dim_entity", "not_null", "entity_id"), Check("stg_dim_entity", "unique", "entity_id"),
+    Check("stg_dim_entity", "accepted_values", "functional_currency", tuple(R.CURRENCIES)),
+    Check("stg_dim_account", "not_null", "account_code"), Check("stg_dim_account", "unique", "account_code"),
+    Check("stg_dim_account", "accepted_values", "account_type", tuple(R.ACCOUNT_TYPES)),
+    *[Check(f"stg_{feed}", kind, key) for feed, key in FEED_KEYS.items() for kind in ("not_null", "unique")],
     Check("stg_fx_rate", "not_null", "rate"), Check("stg_fx_rate", "expression", "rate", "> 0"),
     Check("stg_ap_invoices", "expression", "amount_usd", ">= 0"),
     Check("stg_ar_invoices", "expression", "amount_usd", ">= 0"),
@@ -69,7 +79,7 @@ CHECKS: list[Check] = [
     Check("recon_roll_forward", "accepted_values", "ledger", ("SUBLEDGER", "GL")),
     Check("recon_roll_forward", "accepted_values", "status", ("PASS", "FAIL")),
     Check("recon_summary", "not_null", "check_name"),
-    Check("recon_summary", "accepted_values", "check_name", ("control_account", "transaction_level", "roll_forward")),
+    Check("recon_summary", "accepted_values", "check_name", ("control_account", "transaction_level", "roll_forward", "duplicate_invoices")),
     Check("recon_variance_analysis", "accepted_values", "status", ("WARN", "FAIL")),
     Check("recon_aging", "accepted_values", "age_bucket", tuple(R.AGE_BUCKETS)),
     Check("recon_aging", "accepted_values", "triage_priority", tuple(R.TRIAGE_PRIORITIES)),
@@ -88,9 +98,7 @@ def spark_models(led):
         "dim_entity", "dim_account", "fx_rate", "ap_invoices", "ap_payments", "ap_accruals", "ar_invoices",
         "ar_receipts", "ar_credit_memos", "inv_transactions", "gl_journal"]}
     m.update({
-        "stg_fx_rate": lambda: led.stg("fx_rate"),
-        "stg_ap_invoices": lambda: led.stg("ap_invoices"),
-        "stg_ar_invoices": lambda: led.stg("ar_invoices"),
+        **{f"stg_{t}": (lambda t=t: led.stg(t)) for t in ["dim_entity", "dim_account", "fx_rate", *FEED_KEYS]},
         "stg_gl_journal": led.stg_gl,
         "subledger_postings": led.postings,
         "subledger_trial_balance": led.sl_tb,
@@ -124,7 +132,7 @@ def dq_report(led, threads: int = 8):
 
 # ------------------------------------------------------------------ oracle side
 SQL_MODEL = {
-    "stg_fx_rate": "raw_fx_rate", "stg_ap_invoices": "raw_ap_invoices", "stg_ar_invoices": "raw_ar_invoices",
+    **{f"stg_{t}": f"raw_{t}" for t in ["dim_entity", "dim_account", "fx_rate", *FEED_KEYS]},
     "stg_gl_journal": "stg_gl", "subledger_postings": "postings", "subledger_trial_balance": "sl_tb",
     "gl_trial_balance": "gl_tb", "account_hierarchy": "chart_hierarchy", "recon_control_account": "control",
     "recon_transaction_level": "txn_level", "recon_roll_forward": "roll_fwd", "recon_summary": "summary",
@@ -196,4 +204,4 @@ def gl_constraints_sql_body() -> str:
     return " UNION ALL ".join(parts)
 
 
-__all__ = ["CHECKS", "dq_report", "dq_report_sql_body", "F"]
+__all__ = ["CHECKS", "dq_report", "dq_report_sql_body"]

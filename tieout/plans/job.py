@@ -1,13 +1,16 @@
 """One reconciliation run as a Spark job graph.
 
-    ingest (optional) -> build (staging .. marts, checks) -> audit
+    ingest (optional) -> build (staging .. marts, checks) -> audit, snapshot, evidence
 
 All build tasks are submitted at once (`run_concurrently`); the ledger
 builds each frame once under a per-key lock, so every task waits only for
 what it reads and independent work overlaps (a DAG run). Shared layers and
-marts are written as Parquet tables under the run's warehouse folder, and
-the audit log is appended (never rewritten): a RUNNING event first, then the
-finalize events, or an ERROR event if the build fails.
+marts are written as Parquet tables under the run's warehouse folder. The
+transaction mart is kept from run to run, partitioned by posting month: the
+first run (or `full_refresh`) builds it whole, later runs match only the
+documents with a line in the lookback window and merge them in. The audit log
+is appended (never rewritten): a RUNNING event first, then the finalize
+events, or an ERROR event if the build fails.
 """
 
 from __future__ import annotations
@@ -22,14 +25,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tieout.operators import audit, history
-from tieout.plans import checks
+from tieout.operators import audit, history, matching
+from tieout.plans import checks, storage
 from tieout.plans.ledger import Ledger, RunParams, seed_frames
 from tieout.plans.materialize import write_table
 from tieout.plans.parallel import run_concurrently
-from tieout.plans.session import apply_scale_conf
+from tieout.plans.session import apply_engine_conf, apply_scale_conf
 from tieout.sources.files import scan_raw_table
-from tieout.sources.schemas import RAW_TABLES, raw_schema
+from tieout.sources.schemas import DATA_FEEDS, RAW_TABLES, raw_schema
+
+# a new version of an account opens when one of these changes
+ACCOUNT_CHECK_COLUMNS = ["account_name", "account_type", "parent_account_code", "is_control_account", "subledger_source"]
 
 
 @dataclass
@@ -44,6 +50,8 @@ class JobConfig:
     alert_threshold_usd: str = "10000"
     # raw input size: when given, partition sizing follows it (`session.scale_conf`)
     input_bytes: int | None = None
+    # build the transaction mart whole even where an earlier run left one
+    full_refresh: bool = False
 
 
 @dataclass
@@ -66,17 +74,46 @@ def ingest(spark: SparkSession, tables: Mapping[str, DataFrame], warehouse: str,
     run_concurrently({t: (lambda t=t: write(t)) for t in RAW_TABLES if t in tables}, threads)
 
 
-def _noop(df: DataFrame) -> None:
-    df.write.format("noop").mode("overwrite").save()
+def transaction_mart(led: Ledger, warehouse: str, full_refresh: bool) -> DataFrame:
+    """The transaction-level mart, kept under `history/` and partitioned by posting month.
+
+    An incremental run replaces the rows of whole documents, so a line whose
+    other side arrives later, in another month, leaves nothing stale.
+    """
+    spark = led.spark
+    path = os.path.join(warehouse, "history", "recon_transaction_level")
+    if full_refresh or not storage.exists(spark, path):
+        whole = matching.recon_transaction_level(led.matched(), led.tolerance_rules(), led.params.recon_at)
+        out = write_table(history.month_partition(whole), path, ["posting_month"])
+    else:
+        start = history.window_start(spark.read.parquet(path))
+        changed = history.incremental_slice(
+            led.postings(), led.stg_gl(), led.tolerance_rules(), start, led.params.recon_at, by_document=True
+        )
+        out = history.merge_into_path(spark, path, changed, history.DOCUMENT_KEYS, os.path.join(warehouse, "staging"))
+    return out.drop("posting_month")
+
+
+def account_snapshot(led: Ledger, warehouse: str) -> DataFrame:
+    """SCD2 history of the chart of accounts, one version more per run."""
+    folder = os.path.join(warehouse, "history", "chart_of_accounts")
+    before = storage.latest_version(led.spark, folder)
+    snap = history.scd2_snapshot(
+        led.spark.read.parquet(before) if before else None, led.stg("dim_account"), "account_code",
+        ACCOUNT_CHECK_COLUMNS, led.params.recon_at.strftime("%Y-%m-%d %H:%M:%S"),
+    )
+    return storage.publish(snap, folder)
 
 
 def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame] | None = None) -> RunResult:
     run_id = str(uuid.uuid4())
+    apply_engine_conf(spark)
     if cfg.input_bytes:
         apply_scale_conf(spark, cfg.input_bytes)
     seconds: dict[str, float] = {}
     layers: dict[str, float] = {}
     audit_dir = os.path.join(cfg.warehouse, "audit")
+    runs_path = os.path.join(audit_dir, "recon_runs")
 
     def layer(name: str, tasks, threads: int | None = None):
         t0 = time.time()
@@ -92,21 +129,20 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
         spark, lambda t: scan_raw_table(spark, cfg.warehouse, t), seed_frames(spark), cfg.params,
         table_dir=os.path.join(cfg.warehouse, "marts"),
     )
+    led.built_by["txn_level"] = lambda: transaction_mart(led, cfg.warehouse, cfg.full_refresh)
     bdate = cfg.business_date or cfg.params.recon_at.date()
-    start_row = spark.createDataFrame(
-        [(run_id, bdate, cfg.triggered_by, cfg.params.recon_at)],
+    started = dt.datetime.now(dt.timezone.utc)
+    run_row = spark.createDataFrame(
+        [(run_id, bdate, cfg.triggered_by, started)],
         "run_id STRING, business_date DATE, triggered_by STRING, started_at TIMESTAMP",
     )
-    start_event = audit.audit_start_run(start_row, cfg.git_commit_sha)
-    start_event.write.mode("append").parquet(os.path.join(audit_dir, "recon_runs"))
-    try:
-        def incremental():
-            target = led.txn_level()
-            start = history.window_start(target)
-            sl = history.incremental_slice(led.postings(), led.stg_gl(), led.tolerance_rules(), start,
-                                           led.params.recon_at)
-            _noop(history.merge_upsert(target, sl, history.TXN_KEYS))
+    start_event = audit.audit_start_run(run_row, cfg.git_commit_sha)
+    start_event.write.mode("append").parquet(runs_path)
+
+    def now():
+        return F.lit(dt.datetime.now(dt.timezone.utc))
 
+    try:
         # Everything is submitted at once: the ledger builds each frame exactly
         # once under a per-key lock, so a task waits only for the frames it
         # reads, and independent work (e.g. raw-table checks during staging)
@@ -126,26 +162,44 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
             "recon_variance_analysis": led.variance,
             "recon_summary": led.summary,
             "monthly_scorecard": led.scorecard,
+            "chart_of_accounts_snapshot": lambda: account_snapshot(led, cfg.warehouse),
+            "source_row_counts": lambda: _append(
+                audit.source_row_counts(run_id, {t: led.raw(t) for t in DATA_FEEDS}),
+                os.path.join(audit_dir, "recon_row_counts")),
             "dq_report": lambda: write_table(checks.dq_report(led, cfg.threads),
                                              os.path.join(cfg.warehouse, "out", "dq_report")),
-            "recon_transaction_incremental_merge": incremental,
         }, threads=2 * cfg.threads)
         summary = out["recon_summary"]
 
         def finalize():
             chk = audit.check_results(summary.withColumn("run_id", F.lit(run_id)))
-            final, check_events = audit.audit_finalize(start_event, chk, cfg.manifest_hash)
-            final.write.mode("append").parquet(os.path.join(audit_dir, "recon_runs"))
-            check_events.write.mode("append").parquet(os.path.join(audit_dir, "recon_check_results"))
-            latest = audit.latest_runs(spark.read.parquet(os.path.join(audit_dir, "recon_runs"))).filter(
-                F.col("run_id") == run_id)
-            dig = audit.alert_digest(latest, check_events, cfg.alert_threshold_usd)
-            return write_table(dig, os.path.join(cfg.warehouse, "out", "alert_digest"))
-
-        layer("audit", {"audit_and_alerts": finalize})
-        status = "DONE"
+            name = audit.evidence_name(str(bdate), run_id)
+            final, check_events = audit.audit_finalize(
+                start_event, chk, now(), cfg.manifest_hash, os.path.join(cfg.warehouse, "evidence", name))
+            final.write.mode("append").parquet(runs_path)
+            check_events = _append(check_events, os.path.join(audit_dir, "recon_check_results"))
+            latest = audit.latest_runs(spark.read.parquet(runs_path).filter(F.col("run_id") == run_id))
+            mine = check_events.filter(F.col("run_id") == run_id)
+            write_table(audit.alert_digest(latest, mine, cfg.alert_threshold_usd),
+                        os.path.join(cfg.warehouse, "out", "alert_digest"))
+            counts = spark.read.parquet(os.path.join(audit_dir, "recon_row_counts"))
+            audit.evidence_pack({
+                "run_summary": audit.evidence_run_summary(latest, counts),
+                "check_results": audit.evidence_check_results(mine, latest),
+                "control_breaks": audit.evidence_control_breaks(led.control()),
+                "txn_breaks": audit.evidence_txn_breaks(led.txn_level()),
+                "manual_jes": audit.evidence_manual_jes(led.manual_je()),
+            }, os.path.join(cfg.warehouse, "evidence"), str(bdate), run_id)
+            return latest.first()["status"]
+
+        status = layer("audit", {"audit_and_alerts": finalize})["audit_and_alerts"]
     except Exception as exc:  # stamp the run as ERROR, then re-raise
-        err = audit.audit_mark_error(start_event, start_row, f"{type(exc).__name__}: {exc}")
-        err.write.mode("append").parquet(os.path.join(audit_dir, "recon_runs"))
+        log = spark.read.parquet(runs_path).filter(F.col("run_id") == run_id)
+        _append(audit.audit_mark_error(log, run_row, f"{type(exc).__name__}: {exc}", now()), runs_path)
         raise
     return RunResult(run_id, led, seconds, layers, status)
+
+
+def _append(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.parquet(path)

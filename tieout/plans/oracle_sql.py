@@ -254,6 +254,11 @@ summary AS (
          CAST(sum(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) AS BIGINT),
          CAST(sum(CASE WHEN status = 'FAIL' THEN abs(roll_forward_variance_usd) ELSE 0 END) AS DECIMAL(38,2))
   FROM roll_fwd
+  UNION ALL
+  SELECT 'duplicate_invoices', max(invoice_date), CAST(0 AS BIGINT), CAST(count(*) FILTER (WHERE n = 2) AS BIGINT),
+         CAST(count(*) FILTER (WHERE n > 2) AS BIGINT), CAST(coalesce(sum(amount_usd * (n - 1)), 0) AS DECIMAL(38,2))
+  FROM (SELECT vendor_id, invoice_date, amount_usd, count(*) AS n FROM raw_ap_invoices
+        WHERE status NOT IN ('VOID', 'WRITTEN_OFF') GROUP BY ALL HAVING count(*) > 1) d
 ),
 aging AS (
   SELECT *,
@@ -268,7 +273,7 @@ variance AS (
   SELECT c.posting_date, c.entity_id, e.entity_code, e.functional_currency, c.account_code, a.account_name,
          a.account_type, c.sl_balance_usd, c.gl_balance_usd, c.variance_usd,
          CAST(abs(c.variance_usd) AS DECIMAL(18,2)) AS abs_variance_usd, c.materiality_usd, c.severity,
-         CASE WHEN abs(c.variance_usd) >= c.materiality_usd THEN true ELSE false END AS is_material,
+         coalesce(abs(c.variance_usd) >= c.materiality_usd, false) AS is_material,
          c.status,
          CAST(rank() OVER (PARTITION BY c.posting_date ORDER BY abs(c.variance_usd) DESC) AS BIGINT)
            AS variance_rank_in_day
@@ -277,19 +282,20 @@ variance AS (
   LEFT JOIN raw_dim_account a ON a.account_code = c.account_code
   WHERE c.status <> 'PASS'
 ),
+foreign_lines AS (
+  SELECT g.*, g.debit_usd + g.credit_usd AS booked, r.rate, g.amount_currency * r.rate AS at_rate
+  FROM (SELECT * FROM stg_gl WHERE currency <> 'USD') g
+  LEFT JOIN (SELECT * FROM raw_fx_rate WHERE to_currency = 'USD') r
+    ON r.rate_date = g.posting_date AND r.from_currency = g.currency
+),
 fx_reval AS (
-  SELECT gl.entity_id, gl.posting_date, gl.account_code, gl.currency, gl.amount_currency,
-         gl.fx_rate AS posted_fx_rate, fx.rate AS eod_fx_rate,
-         CAST(gl.debit_usd + gl.credit_usd AS DECIMAL(18,2)) AS actual_amount_usd,
-         CAST(gl.amount_currency * fx.rate AS DECIMAL(38,10)) AS recomputed_amount_usd,
-         CAST(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd) AS DECIMAL(18,2)) AS fx_variance_usd,
-         CASE WHEN abs(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd)) <= 0.05 THEN 'PASS'
-              WHEN abs(gl.amount_currency * fx.rate - (gl.debit_usd + gl.credit_usd)) <= 5.00 THEN 'WARN'
-              ELSE 'FAIL' END AS status
-  FROM stg_gl gl
-  LEFT JOIN raw_fx_rate fx ON fx.from_currency = gl.currency AND fx.to_currency = 'USD'
-                          AND fx.rate_date = gl.posting_date
-  WHERE gl.currency <> 'USD'
+  SELECT entity_id, posting_date, account_code, currency, amount_currency, fx_rate AS posted_fx_rate,
+         rate AS eod_fx_rate, CAST(booked AS DECIMAL(18,2)) AS actual_amount_usd,
+         CAST(at_rate AS DECIMAL(38,10)) AS recomputed_amount_usd,
+         CAST(at_rate - booked AS DECIMAL(18,2)) AS fx_variance_usd,
+         CASE WHEN at_rate IS NULL OR abs(at_rate - booked) > 5.00 THEN 'FAIL'
+              WHEN abs(at_rate - booked) > 0.05 THEN 'WARN' ELSE 'PASS' END AS status
+  FROM foreign_lines
 ),
 suspense AS (
   SELECT entity_id, account_code, posting_date, daily_debits_usd, daily_credits_usd,
@@ -300,9 +306,9 @@ suspense AS (
 manual_je AS (
   SELECT m.journal_id, m.journal_line_id, m.entity_id, m.business_date, m.posting_date, m.account_code,
          a.account_name, a.is_control_account, CAST(m.debit_usd + m.credit_usd AS DECIMAL(18,2)) AS amount_usd,
-         m.created_by, m.description, CASE WHEN a.is_control_account THEN 'FAIL' ELSE 'PASS' END AS status
-  FROM stg_gl m LEFT JOIN raw_dim_account a ON a.account_code = m.account_code
-  WHERE m.source_system = 'MANUAL' AND a.is_control_account = true
+         m.created_by, m.description, 'FAIL' AS status
+  FROM stg_gl m JOIN raw_dim_account a USING (account_code)
+  WHERE m.source_system = 'MANUAL' AND a.is_control_account
 ),
 chart_hierarchy AS (
   WITH RECURSIVE w AS (

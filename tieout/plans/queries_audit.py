@@ -11,9 +11,10 @@ from tieout.operators import audit, reports
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
 from tieout.plans.session import ensure_checkpoint_dir
-from tieout.plans.oracle_sql import q
+from tieout.plans.oracle_sql import RECON_AT, q
+from tieout.sources.schemas import DATA_FEEDS
 
-_FEEDS = ["ap_invoices", "ap_payments", "ar_invoices", "ar_receipts", "inv_transactions", "gl_journal"]
+_FEEDS = DATA_FEEDS
 
 AUDIT_CTES = """scorecard AS (
   SELECT strftime(posting_date, '%Y-%m') AS business_month, 'control_account' AS check_name,
@@ -137,13 +138,15 @@ _ERR = "dbt build failed: " + "x" * 600
 
 @register(
     "audit_mark_error",
-    A(f"""SELECT run_id, business_date, triggered_by, started_at, finished_at, 'ERROR' AS status, git_commit_sha,
+    A(f"""SELECT run_id, business_date, triggered_by, started_at, {RECON_AT} AS finished_at, 'ERROR' AS status,
+                 git_commit_sha,
                  dbt_manifest_hash, evidence_url, substr('{_ERR}', 1, 500) AS error_message, event_seq + 1 AS event_seq
           FROM latest_run"""),
 )
 def audit_mark_error(spark, sf_dir):
     led = L(spark, sf_dir)
-    return audit.audit_mark_error(led.run_events(), reports.latest_run(led.audit_runs()), _ERR)
+    return audit.audit_mark_error(led.run_events(), reports.latest_run(led.audit_runs()), _ERR,
+                                  F.lit(led.params.recon_at))
 
 
 @register("audit_list_runs", A("SELECT * FROM runs ORDER BY started_at DESC, run_id DESC LIMIT 10"))
@@ -155,7 +158,8 @@ def audit_list_runs(spark, sf_dir):
     "audit_show_run",
     A("""SELECT r.run_id, r.business_date, r.status AS run_status, c.check_name, c.status, c.breaks_count,
                 c.breaks_value_usd, c.materiality_usd, c.pass_count, c.warn_count, c.fail_count
-         FROM runs r JOIN checks c ON c.run_id = r.run_id WHERE starts_with(r.run_id, 'run-2000')"""),
+         FROM runs r JOIN checks c ON c.run_id = r.run_id
+         WHERE r.run_id = (SELECT min(run_id) FROM runs WHERE starts_with(run_id, 'run-2000'))"""),
 )
 def audit_show_run(spark, sf_dir):
     led = L(spark, sf_dir)

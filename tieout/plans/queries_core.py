@@ -10,6 +10,7 @@ from tieout.plans.ledger import fixture_ledger
 from tieout.plans.oracle_sql import FRESH_AS_OF, q
 from tieout.sources import files
 from tieout.sources.fixtures import fixture
+from tieout.sources.schemas import DATA_FEEDS
 
 
 def L(spark, sf_dir):  # noqa: N802
@@ -397,7 +398,7 @@ def _scratch(spark, label):
     return os.path.join(ensure_checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-_IO_TABLES = ["ap_invoices", "ap_payments", "ar_invoices", "ar_receipts", "inv_transactions", "gl_journal"]
+_IO_TABLES = DATA_FEEDS
 
 
 @register(
@@ -424,13 +425,34 @@ def write_tables_csv(spark, sf_dir):
     return out
 
 
-@register("scan_csv_dir", q("SELECT * FROM raw_gl_journal"))
+# the columns that every data feed shares
+_SHARED = "entity_id, CAST(posting_date AS {date}) AS posting_date, ingested_at"
+
+
+@register("scan_csv_dir", q(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(NULL AS VARCHAR) AS journal_id, CAST(NULL AS INTEGER) AS journal_line_id, "
+        f"CAST(NULL AS DECIMAL(18,2)) AS debit_usd, CAST(NULL AS DECIMAL(18,2)) AS credit_usd, "
+        f"{_SHARED.format(date='DATE')} FROM raw_{t}" for t in _IO_TABLES if t != "gl_journal")
+    + f" UNION ALL SELECT 'gl_journal', journal_id, journal_line_id, debit_usd, credit_usd, "
+      f"{_SHARED.format(date='DATE')} FROM raw_gl_journal"))
 def scan_csv_dir(spark, sf_dir):
-    """CSV round trip: export the feeds, scan the folder back with declared types."""
+    """CSV round trip of all eight feeds: export, scan the folder back with declared types."""
     led = L(spark, sf_dir)
     folder = _scratch(spark, "csv-dir")
     files.write_tables_csv({t: led.raw(t) for t in _IO_TABLES}, folder)
-    return files.scan_csv_dir(spark, folder)["gl_journal"]
+    back = files.scan_csv_dir(spark, folder)
+    out = None
+    for t in _IO_TABLES:
+        gl_only = ["journal_id STRING", "journal_line_id INT", "debit_usd DECIMAL(18,2)", "credit_usd DECIMAL(18,2)"]
+        part = back[t].select(
+            F.lit(t).alias("table_name"),
+            *[F.col(c.split()[0]) if t == "gl_journal" else F.lit(None).cast(c.split()[1]).alias(c.split()[0])
+              for c in gl_only],
+            "entity_id", "posting_date", "ingested_at",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register(

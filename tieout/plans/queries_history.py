@@ -84,7 +84,7 @@ def merge_upsert_parquet(spark, sf_dir):
 
 # ------------------------------------------------------------------ SCD2
 T1, T2, T_MID = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-01-15 00:00:00"
-_CHECK = ["account_name", "account_type", "parent_account_code"]
+_CHECK = ["account_name", "account_type", "parent_account_code", "is_control_account", "subledger_source"]
 
 
 def _versions(spark, sf_dir):
@@ -93,10 +93,12 @@ def _versions(spark, sf_dir):
     a = tree
     b = tree.filter(k % 11 != 0).withColumn(
         "account_type", F.when(k % 7 == 0, F.concat("account_type", F.lit(" (rev)"))).otherwise(F.col("account_type"))
+    ).withColumn("is_control_account", k % 17 == 0).withColumn(
+        "subledger_source", F.when(k % 19 == 0, F.lit("AP"))
     ).unionByName(
         tree.filter(k % 13 == 0).select(
-            (k + 100000).cast("string").alias("account_code"), "account_name", "account_type",
-            F.lit(None).cast("string").alias("parent_account_code"),
+            F.concat(F.lit("N"), "account_code").alias("account_code"), "account_name", "account_type",
+            F.lit(None).cast("string").alias("parent_account_code"), "is_control_account", "subledger_source",
         )
     )
     return a, b
@@ -109,14 +111,16 @@ def _snap2(spark, sf_dir):
 
 
 _SAME = " AND ".join(f"o.{c} IS NOT DISTINCT FROM s.{c}" for c in _CHECK)
-_SCD = f"""scd_a AS (SELECT account_code, account_name, account_type, parent_account_code FROM raw_part_tree),
+_SCD = f"""scd_a AS (SELECT account_code, account_name, account_type, parent_account_code, is_control_account,
+                 subledger_source FROM raw_part_tree),
 scd_b AS (
   SELECT account_code, account_name,
          CASE WHEN CAST(account_code AS BIGINT) % 7 = 0 THEN account_type || ' (rev)' ELSE account_type END AS account_type,
-         parent_account_code
+         parent_account_code, CAST(account_code AS BIGINT) % 17 = 0 AS is_control_account,
+         CASE WHEN CAST(account_code AS BIGINT) % 19 = 0 THEN 'AP' END AS subledger_source
   FROM raw_part_tree WHERE CAST(account_code AS BIGINT) % 11 <> 0
   UNION ALL
-  SELECT CAST(CAST(account_code AS BIGINT) + 100000 AS VARCHAR), account_name, account_type, CAST(NULL AS VARCHAR)
+  SELECT 'N' || account_code, account_name, account_type, CAST(NULL AS VARCHAR), is_control_account, subledger_source
   FROM raw_part_tree WHERE CAST(account_code AS BIGINT) % 13 = 0
 ),
 snap1 AS (
@@ -127,12 +131,14 @@ snap1 AS (
 snap2 AS (
   SELECT o.* FROM snap1 o JOIN scd_b s ON o.account_code = s.account_code WHERE {_SAME}
   UNION ALL
-  SELECT o.account_code, o.account_name, o.account_type, o.parent_account_code, o.scd_id, o.valid_from,
+  SELECT o.account_code, o.account_name, o.account_type, o.parent_account_code, o.is_control_account,
+         o.subledger_source, o.scd_id, o.valid_from,
          TIMESTAMP '{T2}', TIMESTAMP '{T2}'
   FROM snap1 o LEFT JOIN scd_b s ON o.account_code = s.account_code
   WHERE s.account_code IS NULL OR NOT ({_SAME})
   UNION ALL
-  SELECT s.account_code, s.account_name, s.account_type, s.parent_account_code, s.account_code || '@{T2}',
+  SELECT s.account_code, s.account_name, s.account_type, s.parent_account_code, s.is_control_account,
+         s.subledger_source, s.account_code || '@{T2}',
          TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP), TIMESTAMP '{T2}'
   FROM scd_b s LEFT JOIN snap1 o ON o.account_code = s.account_code
   WHERE o.account_code IS NULL OR NOT ({_SAME})

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tieout.operators import quality
+from pyspark.sql import functions as F
+
+from tieout.operators import postings, quality
 from tieout.plans import checks
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
 from tieout.plans.oracle_sql import q
-from tieout.sources import reference_data as R
 
 
 @register("dq_not_null", q("SELECT * FROM txn_level WHERE posting_role IS NULL"))
@@ -72,13 +73,23 @@ def dq_severity(spark, sf_dir):
     return quality.dq_severity(quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl()), 0, 1500, "warn")
 
 
-@register("dq_contract")
+def _contract_sql(contract, table: str) -> str:
+    """Expected names and types as literals, null counts from the table."""
+    return " UNION ALL ".join(
+        f"SELECT '{c.name}' AS column_name, '{c.data_type.simpleString()}' AS expected_type, "
+        f"'{c.data_type.simpleString()}' AS actual_type, CAST(count(*) - count({c.name}) AS BIGINT) AS null_count, "
+        + (f"count(*) = count({c.name})" if c.not_null else "true") + f" AS ok FROM {table}"
+        for c in contract
+    )
+
+
+@register("dq_contract", q(_contract_sql(quality.TXN_LEVEL_CONTRACT, "txn_level")))
 def dq_contract(spark, sf_dir):
-    """Contract of the transaction-level mart (no SQL equivalent: schema introspection)."""
+    """Contract of the transaction-level mart: names, types and null counts."""
     return quality.dq_contract(L(spark, sf_dir).txn_level(), quality.TXN_LEVEL_CONTRACT)
 
 
-@register("dq_contract_control_account")
+@register("dq_contract_control_account", q(_contract_sql(quality.CONTROL_ACCOUNT_CONTRACT, "control")))
 def dq_contract_control_account(spark, sf_dir):
     return quality.dq_contract(L(spark, sf_dir).control(), quality.CONTROL_ACCOUNT_CONTRACT)
 
@@ -89,10 +100,10 @@ _BAL = """SELECT {g}, CAST(sum(debit_usd) AS DECIMAL(38,2)) AS total_debit,
           FROM {t} GROUP BY {g} HAVING abs(sum(debit_usd) - sum(credit_usd)) > 0.01"""
 
 
-@register("assert_balanced", q(_BAL.format(g="entity_id, posting_date", t="postings")))
+@register("assert_balanced", q(_BAL.format(g="entity_id, posting_date", t="stg_gl")))
 def assert_balanced(spark, sf_dir):
-    """Sub-ledger postings balanced per (entity, day)."""
-    return quality.assert_balanced(L(spark, sf_dir).postings(), ["entity_id", "posting_date"])
+    """GL balanced per (entity, day); lines posted late leave days out of balance."""
+    return quality.assert_balanced(L(spark, sf_dir).stg_gl(), ["entity_id", "posting_date"])
 
 
 @register("test_gl_journal_balanced", q(_BAL.format(g="journal_id", t="stg_gl")))
@@ -100,31 +111,60 @@ def test_gl_journal_balanced(spark, sf_dir):
     return quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl())
 
 
-@register("clean_journal_balance", q(_BAL.format(g="journal_id", t="stg_gl")
-                                     .replace("FROM stg_gl", "FROM stg_gl WHERE source_system <> 'MANUAL'")))
+@register("clean_journal_balance", q("""SELECT journal_id, total_debit, total_credit,
+         CAST(total_debit - total_credit AS DECIMAL(38,2)) AS variance_usd,
+         abs(total_debit - total_credit) <= 0.01 AS balanced
+  FROM (SELECT 'GL-' || source_doc_id AS journal_id, CAST(sum(debit_usd) AS DECIMAL(38,2)) AS total_debit,
+               CAST(sum(credit_usd) AS DECIMAL(38,2)) AS total_credit
+        FROM postings GROUP BY source_doc_id) j"""))
 def clean_journal_balance(spark, sf_dir):
-    """Per-journal debits vs credits of the feed-generated journals."""
-    return quality.assert_balanced(L(spark, sf_dir).stg_gl().filter("source_system <> 'MANUAL'"), ["journal_id"])
-
-
-@register("test_subledger_postings_balanced", q(_BAL.format(g="source_system, source_doc_id", t="postings")))
+    """Debits and credits of every journal of the feed as posted, before any break."""
+    gl = postings.post_to_gl(L(spark, sf_dir).postings(), "2024-02-01 00:00:00")
+    return quality.journal_balances(gl, ["journal_id"]).withColumn(
+        "balanced", F.abs("variance_usd") <= F.lit("0.01").cast("decimal(10,4)")
+    )
+
+
+# sub-ledger postings with a known fault: the debit lines of document ids that end in 7 are too
+# high by 1.00 plus 0.01 for each unit of the digit before
+_FAULTY = """faulty AS (
+  SELECT * REPLACE (CAST(CASE WHEN debit_usd > 0 AND right(source_doc_id, 1) = '7'
+                              THEN debit_usd + 1.00 + 0.01 * CAST(substr(source_doc_id, -2, 1) AS DECIMAL(3,0))
+                              ELSE debit_usd END AS DECIMAL(18,2)) AS debit_usd)
+  FROM postings
+)"""
+
+
+def _faulty(spark, sf_dir):
+    p = L(spark, sf_dir).postings()
+    digit = F.substring("source_doc_id", -2, 1).cast("decimal(3,0)")
+    up = F.lit("1.00").cast("decimal(3,2)") + F.lit("0.01").cast("decimal(3,2)") * digit
+    hit = (F.col("debit_usd") > 0) & F.col("source_doc_id").endswith("7")
+    return p.withColumn(
+        "debit_usd", F.when(hit, F.col("debit_usd") + up).otherwise(F.col("debit_usd")).cast("decimal(18,2)")
+    )
+
+
+@register("test_subledger_postings_balanced", q(_BAL.format(g="source_system, source_doc_id", t="faulty"), _FAULTY))
 def test_subledger_postings_balanced(spark, sf_dir):
-    return quality.test_subledger_postings_balanced(L(spark, sf_dir).postings())
+    return quality.test_subledger_postings_balanced(_faulty(spark, sf_dir))
 
 
-@register("unbalanced_docs", q(_BAL.format(g="journal_id", t="stg_gl")
-                               + " ORDER BY abs(sum(debit_usd) - sum(credit_usd)) DESC, journal_id LIMIT 10"))
+@register("unbalanced_docs", q(
+    _BAL.format(g="source_system, source_doc_id", t="faulty")
+    + " ORDER BY abs(sum(debit_usd) - sum(credit_usd)) DESC, source_system, source_doc_id LIMIT 10", _FAULTY))
 def unbalanced_docs(spark, sf_dir):
-    """Documented diagnostic: the 10 most unbalanced journals (a top-k report)."""
-    from pyspark.sql import functions as F
+    """Documented diagnostic: the 10 most unbalanced sub-ledger documents (a top-k report)."""
+    b = quality.test_subledger_postings_balanced(_faulty(spark, sf_dir))
+    return b.orderBy(F.abs("variance_usd").desc(), "source_system", "source_doc_id").limit(10)
 
-    b = quality.test_gl_journal_balanced(L(spark, sf_dir).stg_gl())
-    return b.orderBy(F.abs("variance_usd").desc(), "journal_id").limit(10)
 
-
-@register("test_no_orphan_breaks", q("SELECT * FROM txn_level WHERE status = 'BREAK' AND break_class = 'UNKNOWN'"))
+@register("test_no_orphan_breaks", q("""SELECT * REPLACE ('UNKNOWN' AS break_class) FROM txn_level
+                                        WHERE status = 'BREAK' AND break_class = 'TIMING_DIFF'"""))
 def test_no_orphan_breaks(spark, sf_dir):
-    return quality.test_no_orphan_breaks(L(spark, sf_dir).txn_level())
+    """The match with its timing breaks taken out of their class: each is an orphan."""
+    unclassed = F.when(F.col("break_class") == "TIMING_DIFF", "UNKNOWN").otherwise(F.col("break_class"))
+    return quality.test_no_orphan_breaks(L(spark, sf_dir).txn_level().withColumn("break_class", unclassed))
 
 
 @register("dq_check_constraints", q(checks.gl_constraints_sql_body()))
@@ -151,8 +191,6 @@ def dq_report(spark, sf_dir):
 )
 def classify_materiality(spark, sf_dir):
     """Python-classifier rule (zero PASS, >= threshold FAIL) on control variances."""
-    from pyspark.sql import functions as F
-
     from tieout.functions.rules import classify_by_account
 
     led = L(spark, sf_dir)
@@ -201,10 +239,6 @@ def resolve_materiality(spark, sf_dir):
 )
 def categorize_break(spark, sf_dir):
     """Break classes over all BREAK rows of the match."""
-    from pyspark.sql import functions as F
-
     t = L(spark, sf_dir).txn_level().filter(F.col("status") == "BREAK")
     return t.groupBy("break_class").agg(F.count(F.lit(1)).alias("n"))
 
-
-_ = R

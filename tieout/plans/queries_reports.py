@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tieout.operators import reports
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
@@ -109,8 +107,9 @@ def break_totals(spark, sf_dir):
     return reports.break_totals(_detail(spark, sf_dir))
 
 
-_TOP_DOC = """top_doc AS (
-  SELECT source_doc_id FROM txn_level WHERE status = 'BREAK'
+_TOP_DOC = """top_doc AS MATERIALIZED (
+  SELECT source_doc_id FROM txn_level
+  WHERE status = 'BREAK' AND sl_amount_usd IS NOT NULL AND gl_amount_usd IS NOT NULL
   ORDER BY abs(coalesce(amount_delta_usd, 0)) DESC, source_system, source_doc_id, account_code,
            posting_role NULLS FIRST, journal_id NULLS FIRST, journal_line_id NULLS FIRST
   LIMIT 1
@@ -120,20 +119,21 @@ _TOP_DOC = """top_doc AS (
 def _top_doc(spark, sf_dir):
     from tieout.operators.audit import evidence_txn_breaks
 
-    return evidence_txn_breaks(L(spark, sf_dir).txn_level(), 1).select("source_doc_id")
+    both = L(spark, sf_dir).txn_level().filter("sl_amount_usd IS NOT NULL AND gl_amount_usd IS NOT NULL")
+    return evidence_txn_breaks(both, 1).select("source_doc_id")
 
 
 @register("break_drill_sl", q("SELECT p.* FROM postings p SEMI JOIN top_doc d ON d.source_doc_id = p.source_doc_id",
                               _TOP_DOC))
 def break_drill_sl(spark, sf_dir):
-    """Sub-ledger postings of the largest break's document."""
+    """Sub-ledger postings of the document with the largest break that has both sides."""
     return reports.break_drill_sl(L(spark, sf_dir).postings(), _top_doc(spark, sf_dir))
 
 
 @register("break_drill_gl", q("SELECT g.* FROM stg_gl g SEMI JOIN top_doc d ON d.source_doc_id = g.source_doc_id",
                               _TOP_DOC))
 def break_drill_gl(spark, sf_dir):
-    """GL lines of the largest break's document."""
+    """GL lines of the document with the largest break that has both sides."""
     return reports.break_drill_gl(L(spark, sf_dir).stg_gl(), _top_doc(spark, sf_dir))
 
 
@@ -182,5 +182,3 @@ def triage_queue(spark, sf_dir):
 def summary_query(spark, sf_dir):
     return reports.summary_query(L(spark, sf_dir).summary())
 
-
-_ = F

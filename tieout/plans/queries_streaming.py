@@ -46,4 +46,4 @@ def stream_gl_dedup(spark, sf_dir):
 )
 def stream_trial_balance(spark, sf_dir):
     _, daily = _run_stream(spark, sf_dir)
-    return spark.read.parquet(os.path.join(daily, "current"))
+    return gl_stream.daily_table(spark, daily)

@@ -20,6 +20,13 @@ ENGINE_CONF = {
 }
 
 
+def apply_engine_conf(spark: SparkSession) -> None:
+    """Set the SQL settings that results and plans rely on, on any session."""
+    for k, v in ENGINE_CONF.items():
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tieout") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -59,15 +66,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scale_conf(
     input_bytes: int,
     split_bytes: int = 256 << 20,
-    shuffle_bytes_per_partition: int = 1 << 30,
+    shuffle_bytes_per_partition: int = 256 << 20,
     max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Runtime SQL confs sized to the input (a cluster run; the local session keeps its own).
 
     * scans split into `split_bytes` pieces;
-    * the shuffle starts with one partition per ~1 GB of input (a projected,
-      map-side-combined shuffle is far smaller than its input), and AQE
-      coalesces down to ~128 MB partitions from real map statistics;
+    * the shuffle starts with one partition per 256 MB of input (the match
+      ships whole rows of both sides), and AQE coalesces to ~128 MB partitions
+      from real map statistics;
     * AQE splits skewed partitions of inner/semi/anti/outer joins at 4x the
       median and above `split_bytes` (the full outer transaction match, which
       AQE cannot split, salts its hot keys itself);

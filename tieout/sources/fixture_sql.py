@@ -8,6 +8,7 @@ CTEs> SELECT ...``; the CTE names are the raw ledger tables prefixed `raw_`.
 from __future__ import annotations
 
 from tieout.sources import reference_data as R
+from tieout.sources.fixtures import REPEAT_STEP
 
 
 def _pad(expr: str, width: int = 9) -> str:
@@ -76,12 +77,11 @@ li_ranked AS (
   FROM lineitem
 ),
 li AS (
-  SELECT l.l_orderkey * 10 + l.l_linenumber AS k, CAST(s.s_nationkey % 3 + 1 AS INTEGER) AS entity_id,
+  SELECT l.l_orderkey * 10 + l.l_linenumber + (l.rn - 1) * {REPEAT_STEP} AS k, CAST(s.s_nationkey % 3 + 1 AS INTEGER) AS entity_id,
          CAST(l.l_shipdate AS DATE) AS dt, l.l_returnflag AS rf, l.l_linestatus AS ls,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS px, l.l_suppkey AS party, l.l_partkey AS item,
          l.l_quantity AS q, l.l_extendedprice AS xp
   FROM li_ranked l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  WHERE l.rn = 1
 ),
 docs0 AS (
   SELECT k, entity_id, 'AR-INV' AS feed, 'AR' AS system, dt AS doc_date, dt + CAST(15 + k % 45 AS INTEGER) AS due_date,
@@ -232,7 +232,7 @@ mje AS (
          CASE WHEN event_id % 100 = 0 THEN {_pick('(event_id // 100) % 3', ['1200', '1300', '2000'])}
               WHEN event_id % 97 = 0 THEN '9999' ELSE '1000' END AS cr,
          'GL-MJE' AS prefix, 'Manual journal entry' AS descr
-  FROM events WHERE event_type IN ('error', 'signup')
+  FROM events
 ),
 mje_all AS (
   SELECT * FROM mje
@@ -299,7 +299,7 @@ raw_part_tree AS (
   SELECT CAST(p_partkey AS VARCHAR) AS account_code, p_name AS account_name, p_type AS account_type,
          CASE WHEN p_partkey >= 10 THEN CAST(p_partkey // 10 AS VARCHAR) END AS parent_account_code,
          false AS is_control_account, CAST(NULL AS VARCHAR) AS subledger_source
-  FROM part WHERE p_partkey <> 0
+  FROM part
 )
 """
 

@@ -38,7 +38,9 @@ MANUAL_CONTROL_CREDITS = ["1200", "1300", "2000"]
 LIVE_INGESTED_AT = dt.datetime(2024, 2, 1)
 REPLAY_INGESTED_AT = dt.datetime(2024, 1, 31)
 FIXTURE_INGESTED_AT = dt.datetime(2024, 2, 1)
-MANUAL_EVENT_TYPES = ["error", "signup"]
+# added to the document key per repeat of an (l_orderkey, l_linenumber); above every key
+# 10 * l_orderkey + 7 and a multiple of 2000, so a repeat keeps the residues of most rules
+REPEAT_STEP = 1_000_000_000_000_000
 CREATED_BY = {"AP": "ap_subledger_feed", "AR": "ar_subledger_feed", "INV": "inv_subledger_feed"}
 
 
@@ -145,17 +147,18 @@ class Fixture:
         def build():
             l = _read(self.spark, self.sf_dir, "lineitem")
             s = _read(self.spark, self.sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            # (l_orderkey, l_linenumber) is not unique: keep one row per key
-            # with a total order, planned as a map-side group limit + one shuffle
+            # (l_orderkey, l_linenumber) is not unique: repeats are numbered in a
+            # total order and the number goes into the document key, so every
+            # row becomes its own document
             from pyspark.sql.window import Window as W
 
             w = W.partitionBy("l_orderkey", "l_linenumber").orderBy(
                 F.col("l_shipdate").desc(), "l_partkey", "l_suppkey", "l_quantity",
                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
             )
-            l1 = l.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+            l1 = l.withColumn("_rn", F.row_number().over(w).cast("bigint"))
             return l1.join(s, l1.l_suppkey == s.s_suppkey, "inner").select(
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"),
+                (F.col("l_orderkey") * 10 + F.col("l_linenumber") + (F.col("_rn") - 1) * REPEAT_STEP).alias("k"),
                 (F.col("s_nationkey") % 3 + 1).cast("int").alias("entity_id"),
                 F.to_date("l_shipdate").alias("dt"),
                 F.col("l_returnflag").alias("rf"),
@@ -433,7 +436,7 @@ class Fixture:
 
     def manual_lines(self) -> DataFrame:
         """Manual journal entries from events, plus suspense clearing reversals."""
-        ev = _read(self.spark, self.sf_dir, "events").filter(F.col("event_type").isin(*MANUAL_EVENT_TYPES))
+        ev = _read(self.spark, self.sf_dir, "events")
         e = F.col("event_id")
         credit = F.when(e % 100 == 0, pick(_div("event_id", 100) % 3, MANUAL_CONTROL_CREDITS)).otherwise(
             F.when(e % 97 == 0, F.lit("9999")).otherwise(F.lit("1000"))
@@ -543,10 +546,10 @@ class Fixture:
 
     # ---------------------------------------------------------------- extras
     def part_tree(self) -> DataFrame:
-        """`part` as a deep account tree: parent = key div 10, roots 1..9, key 0 left out."""
+        """`part` as a deep account tree: parent = key div 10, keys 0..9 are roots."""
         p = _read(self.spark, self.sf_dir, "part").select("p_partkey", "p_name", "p_type")
         kk = F.col("p_partkey")
-        return p.filter(kk != 0).select(
+        return p.select(
             kk.cast("string").alias("account_code"),
             F.col("p_name").alias("account_name"),
             F.col("p_type").alias("account_type"),

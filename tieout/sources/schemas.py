@@ -105,6 +105,9 @@ RAW_TABLES = [
     "gl_journal",
 ]
 
+# the feeds with document or journal rows (all but the two dimensions and the rates)
+DATA_FEEDS = [t for t in RAW_TABLES if t not in ("dim_entity", "dim_account", "fx_rate")]
+
 SEED_DDL: dict[str, str] = {
     "tolerance_rules": (
         "account_code STRING, amount_tolerance_usd DECIMAL(18,4), timing_tolerance_days INT, "
