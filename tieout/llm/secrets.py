@@ -1,7 +1,8 @@
 """Operator 2: secret scans with structural confirmation.
 
 Base spans are the regular matches of three kinds. The method adds spans whose content proves to
-be a key: private-key blocks and long base64 or hex runs are decoded, and must hold a key encoding
+be a key: private-key blocks (escaped line breaks and header lines removed) and long base64 (standard or
+URL-safe, also wrapped over lines) or hex runs (either case) are decoded, and must hold a key encoding
 whose nested lengths add up to the last byte (DER of PKCS#1, PKCS#8, SEC 1 and DSA keys, or the
 OpenSSH private-key container); signed tokens must have a JSON header that names an algorithm and
 a JSON payload.
@@ -30,9 +31,19 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 CUES = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a match of the base pattern is a whole run
-BLOCK = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]*)-----END \1-----")
+HEX_ANY = re.compile(r"[0-9A-Fa-f]{64,}")
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+#: Line breaks of a block, also as JSON or code writes them, and what code puts around its lines.
+BREAK = re.compile(r"\\+(?:[rn]|u000[adAD])|\\*\r?\n|\\*\r")
+AROUND = re.compile(r"^\s*[\"']\s*[+,;.]*\s*$|^[\s\"'#>*|]+|[\"']\s*[+,;.]*\s*$|\s+$")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 KEY64 = re.compile(r"[A-Za-z0-9+/]{60,}={0,2}")
+#: Runs of the URL-safe alphabet, and runs wrapped into lines: real or escaped breaks, indented, quoted or commented.
+URL64 = re.compile(r"[A-Za-z0-9_-]{60,}={0,2}")
+WRAP = r"(?:[\"']?[\x20\t]*(?:[+,][\x20\t]*)?(?:\\+r|\\*\r)?(?:\\+n|\\*\n)(?:[\s\"'#>*|,]|\+(?=\s)|\\+[rn])*)"
+LINES64 = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}(?:{WRAP}[A-Za-z0-9+/_-]+)+={{0,2}}")
+LINE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+GAP64 = re.compile(WRAP)
 MASK = "[SECRET]"
 
 
@@ -71,24 +82,26 @@ def is_der_key(data: bytes) -> bool:
     return tags[:2] == [0x02, 0x04] and set(tags[2:]) <= {0xA0, 0xA1}  # SEC 1
 
 
-def is_openssh_key(data: bytes) -> bool:
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH private-key container that ``data`` begins with."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
-    def field() -> bytes | None:
+    def field() -> bool:
         nonlocal at
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
-            return None
-        at += 4 + size
-        return data[at - size : at]
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        return at <= len(data)
 
-    if any(field() is None for _ in range(3)):  # cipher, derivation, its options
-        return False
+    if not all(field() for _ in range(3)):  # cipher, derivation, its options
+        return None
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    return 1 <= keys <= 16 and all(field() is not None for _ in range(keys + 1)) and at == len(data)
+    return at if 1 <= keys <= 16 and all(field() for _ in range(keys + 1)) else None
+
+
+def is_openssh_key(data: bytes) -> bool:
+    return openssh_size(data) == len(data)
 
 
 def is_key(data: bytes) -> bool:
@@ -113,13 +126,63 @@ def is_json_object(part: str, key: str | None = None) -> bool:
 
 
 def block_is_key(header: str, body: str) -> bool:
-    lines = [x for x in body.strip().splitlines() if ":" not in x]
-    data = from64("".join(lines))
-    if "ENCRYPTED" in header or "ENCRYPTED" in body:
+    lines = [AROUND.sub("", x) for x in BREAK.sub("\n", body.replace("\\/", "/")).split("\n")]
+    data = from64("".join(x for x in lines if ":" not in x))
+    if "ENCRYPTED" in header or any("ENCRYPTED" in x for x in lines if ":" in x):
         return bool(data)
     return bool(data) and is_key(data)
 
 
+def blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Key blocks: each BEGIN line up to the first END line of its kind, unless another block begins before it."""
+    begins = list(BEGIN.finditer(text))
+    for k, m in enumerate(begins):
+        last = f"-----END {m[1]}-----"
+        end = text.find(last, m.end(), begins[k + 1].start() if k + 1 < len(begins) else len(text))
+        if end >= 0 and block_is_key(m[1], text[m.end() : end]):
+            yield m.start(), end + len(last)
+
+
+def der_size(data: bytes) -> int | None:
+    """Bytes of the DER sequence that ``data`` begins with, by its outer length."""
+    if len(data) < 8 or data[0] != 0x30:
+        return None
+    n = data[1] & 0x7F
+    if not data[1] & 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 else None
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Keys in base64 that runs over lines; the length in its first bytes tells the line that ends it."""
+    for m in LINES64.finditer(text):
+        at, lines = m.start(), []
+        while at < m.end() and (line := LINE64.match(text, at, m.end())):
+            lines.append(line.span())
+            gap = GAP64.match(text, line.end(), m.end())
+            at = gap.end() if gap else m.end()
+        k = 0
+        while k < len(lines):
+            size, end = None, k
+            start = text[lines[k][0] : min(lines[k][1], lines[k][0] + 16)]
+            if start.startswith("M"):  # 0x30, a DER sequence
+                size = der_size(from64(start) or b"")
+            elif start.startswith("b3BlbnNzaC1rZXkt"):  # openssh-key-
+                whole = "".join(text[i:j].rstrip("=") for i, j in lines[k:])
+                size = openssh_size(from64(whole[: len(whole) - (len(whole) % 4 == 1)]) or b"")
+            if size:
+                left = -(-size * 4 // 3)
+                while end < len(lines) and left > 0:
+                    left -= len(text[slice(*lines[end])].rstrip("="))
+                    end += 1
+                data = from64("".join(text[i:j] for i, j in lines[k:end])) if left == 0 and end > k + 1 else None
+                if data and is_key(data):
+                    yield lines[k][0], lines[end - 1][1]
+                    k = end
+                    continue
+            k += 1
+
+
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind as listed."""
     if not text:
@@ -132,16 +195,20 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
         found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     for m in HEX.finditer(text):
         found.append(("hex", m.start(), m.end()))
-        if len(m[0]) >= 64 and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
-            found.append(("keyhex", m.start(), m.end()))
+    runs = {m.span() for pattern in (HEX, HEX_ANY) for m in pattern.finditer(text) if len(m[0]) >= 64 and len(m[0]) % 2 == 0}
+    found += [("keyhex", i, j) for i, j in runs if is_key(bytes.fromhex(text[i:j]))]
     if "-----BEGIN " in text:
-        found += [("block", m.start(), m.end()) for m in BLOCK.finditer(text) if block_is_key(m[1], m[2])]
+        found += [("block", *x) for x in blocks(text)]
     if "eyJ" in text:
         found += [("token", m.start(), m.end()) for m in TOKEN.finditer(text) if is_json_object(m[1], "alg") and is_json_object(m[2])]
-    for m in KEY64.finditer(text):
-        data = from64(m[0])
-        if data and is_key(data):
-            found.append(("key64", m.start(), m.end()))
+    keys = set()
+    for pattern in (KEY64, URL64):
+        for m in pattern.finditer(text):
+            data = from64(m[0])
+            if data and is_key(data):
+                keys.add(m.span())
+    keys.update(wrapped_keys(text))
+    found += [("key64", *x) for x in keys]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
