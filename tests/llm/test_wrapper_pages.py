@@ -16,3 +16,21 @@ def test_attribute_values_and_data_names_dont_hide():
         "<p aria-hidden = \"true\">gone</p><p style='display: none'>gone</p><div Class=nav>gone</div><div role=dialog>gone</div></article>"
     )
     assert got == "First\nSee hidden gems and more\nSecond\nThird\nFourth"
+
+
+def test_containers_of_the_article_are_read():
+    side = "<div class=sidebar><p>Side text</p></div><div class='comments'><p>First!</p></div>"
+    for start, end in (("<form id=aspnetForm action=x>", "</form>"), ("<div class='layout has-sidebar'>", "</div>"), ("<div class='no-sidebar content'>", "</div>"), ("<div class='elementor-widget'>", "</div>"), ("<div id='post-form'>", "</div>")):
+        for body in (f"<p>{PROSE}</p><p>Second</p>", f"<article><p>{PROSE}</p></article>", "<article><p>Short</p></article>"):
+            expected = one(f"<div>{body}</div>")
+            assert expected and one(f"{start}{body}{side}{end}") == expected, (start, body)
+    assert one(f"<form><div class='layout has-sidebar'><article>{PROSE}</article>{side}</div></form>") == PROSE.strip()
+    assert one(f"<main><h1>Head</h1><form><p>{PROSE}</p></form></main>") == "Head\n" + PROSE.strip()
+    assert one("<div class=widget><p>Only text</p></div>") == "Only text"
+
+
+def test_names_still_leave_out():
+    comments = f"<div id=comments><article class='comment'><p>{PROSE * 3}</p></article></div>"
+    assert one(f"<article><p>Short article</p></article>{comments}") == "Short article"
+    assert one(f"<article><p>Article {PROSE}</p><form><p>Sign up</p></form></article><aside><p>{PROSE}</p></aside>") == f"Article {PROSE}".strip()
+    assert one(f"<div><p>{PROSE}</p></div><div class='related'><article><p>Teaser</p></article></div><div class=footer-menu>Menu</div>") == PROSE.strip()

@@ -8,7 +8,8 @@ never stands in one task. The wrapper tells where the article stands (its path)
 the same on all pages; every page is then read along its host's wrapper.
 
 Defined cases: a null or empty html has an empty text; a null or odd url is a host of its own;
-unclosed and stray tags are repaired; pages that don't fit their wrapper are read along their own;
+unclosed and stray tags are repaired; blocks are left out by tag and class words unless they hold
+the article or most open text; pages that don't fit their wrapper are read along their own;
 repeated rows are read row by row; an empty table gives no row; other columns are ignored.
 """
 
@@ -38,6 +39,9 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("br img wbr input hr meta link source area base col embed param track".split())
+#: Share of a page's open text from which a block is kept: a form or a word within a longer name; a name by itself,
+#: unless it holds what markup names as the article.
+PART, MOST = 0.5, 0.9
 DROPPED = frozenset("head nav aside footer form button dialog menu".split())
 NAMES = frozenset(
     "nav navbar navigation menu sidebar aside footer ad ads advert adverts advertisement adv banner promo promotion sponsor sponsored cookie cookies consent gdpr"
@@ -51,39 +55,45 @@ CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSE
 
 
 class Element:
-    __slots__ = ("tag", "key", "children", "dropped", "rank")
+    __slots__ = ("tag", "key", "children", "dropped", "rank", "doubt")
 
-    def __init__(self, tag: str, key: str, dropped: bool, rank: int):
-        self.tag, self.key, self.dropped, self.rank = tag, key, dropped, rank
+    def __init__(self, tag: str, key: str, dropped: bool, rank: int, doubt: float = 0.0):
+        self.tag, self.key, self.dropped, self.rank, self.doubt = tag, key, dropped, rank, doubt
         self.children: list = []  # Elements and (text, characters in links)
 
 
-def _signature(tag: str, attributes: str) -> tuple[str, bool, int]:
-    """Key, whether it is left out, and how surely it names the article (0: not at all)."""
+def _signature(tag: str, attributes: str) -> tuple[str, bool, int, float]:
+    """Key, whether it is left out, how surely it names the article (0: not at all), and the share of the page's
+    open text from which it is kept after all (0: never)."""
     key, dropped, rank = tag, tag in DROPPED, {"article": 4, "main": 3}.get(tag, 0)
+    sure, doubt = dropped and tag != "form", PART * (tag == "form")
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         words = re.split(r"[^a-z]+", value)
         if name in ("class", "id"):
             key += "." + "-".join(x for x in words if x)
-            dropped = dropped or (tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(words))
+            if not NAMES.isdisjoint(words):
+                if tag not in ("html", "body", "article", "main"):
+                    dropped, doubt = True, max(doubt, MOST if not NAMES.isdisjoint(value.split()) else PART)
+                elif tag == "article":
+                    doubt = max(doubt, PART)  # a comment, say: doesn't name the article to its ancestors
             if not CONTENT.isdisjoint(words) or "".join(words) in CONTENT:
                 rank = max(rank, 1)
         elif name == "role":
-            dropped = dropped or value in ROLES
+            sure = sure or value in ROLES
             rank = max(rank, 3 * (value == "main"), 4 * (value == "article"))
         elif name == "itemprop":
             rank = max(rank, 2 * (value == "articlebody"))
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            dropped = True
-    return key, dropped, rank
+            sure = True
+    return key, dropped or sure, rank, 0.0 if sure else doubt
 
 
 def parse(html: str | None) -> Element:
     """The tree of blocks of a page."""
     root = Element("#page", "#page", False, 0)
     stack, parts, links, in_link, skip = [root], [], 0, False, []
-    html, at = html or "", 0
+    html, at, doubted = html or "", 0, False
 
     def text(raw: str) -> None:
         nonlocal links
@@ -138,18 +148,64 @@ def parse(html: str | None) -> Element:
                 if stack[k].tag in ends:
                     del stack[k:]
                     break
-        key, dropped, rank = _signature(tag, m[4])
+        key, dropped, rank, doubt = _signature(tag, m[4])
         if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
-            dropped = True
-        new = Element(tag, key, dropped, rank)
+            dropped, doubt = True, 0.0
+        doubted = doubted or dropped and doubt > 0
+        new = Element(tag, key, dropped, rank, doubt)
         stack[-1].children.append(new)
         if len(stack) < DEPTH:
             stack.append(new)
     text(html[at:])
     flush()
+    if doubted:
+        sizes: dict[int, tuple[int, bool]] = {}
+        whole, _ = _measure(root, sizes)
+        _spare(root, sizes, whole, _named_outside(root))
     return root
 
 
+def _measure(element: Element, sizes: dict[int, tuple[int, bool]]) -> tuple[int, bool]:
+    """Characters outside links, and whether the article is named, in what isn't surely left out."""
+    size, named = 0, False
+    for child in element.children:
+        if isinstance(child, tuple):
+            size += max(0, len(child[0]) - child[1])
+        elif not child.dropped or child.doubt:
+            n, own = _measure(child, sizes)
+            size, named = size + n, named or own
+    named = named or element.rank > 0 and not element.doubt and size > 0
+    sizes[id(element)] = size, named
+    return size, named
+
+
+def _kept(element: Element) -> bool:
+    return any(len(c[0]) > c[1] if isinstance(c, tuple) else not c.dropped and _kept(c) for c in element.children)
+
+
+def _named_outside(element: Element) -> bool:
+    """Whether the article is named, with some text, outside all blocks that are left out."""
+    if element.rank and not element.doubt and _kept(element):
+        return True
+    return any(_named_outside(c) for c in element.children if isinstance(c, Element) and not c.dropped)
+
+
+def _spare(element: Element, sizes: dict[int, tuple[int, bool]], whole: int, named: bool, inside: bool = False) -> None:
+    """Names are evidence only: a block that holds the article, or most open text where markup names no other, stays.
+
+    ``whole`` is the text of the page, or of the element around that names the article (``inside``)."""
+    for child in element.children:
+        if isinstance(child, Element) and (not child.dropped or child.doubt):
+            size, own = sizes[id(child)]
+            inner = named
+            if child.dropped and (inside or not named) and size > (PART if own and not inside else child.doubt) * whole:
+                child.dropped = False
+                inner = named or _named_outside(child)
+            if not child.dropped:
+                names = child.rank > 0 and size > 0
+                _spare(child, sizes, size if names else whole, inner, inside or names)
+
+
 # A wrapper item is [key, optional, repeated, items, rank] for a block, ["#t", optional, repeated,
 # text or None, characters, characters in links, pages] for a slot, ["#g", ...] for a group of items.
 
