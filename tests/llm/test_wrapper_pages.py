@@ -34,3 +34,26 @@ def test_names_still_leave_out():
     assert one(f"<article><p>Short article</p></article>{comments}") == "Short article"
     assert one(f"<article><p>Article {PROSE}</p><form><p>Sign up</p></form></article><aside><p>{PROSE}</p></aside>") == f"Article {PROSE}".strip()
     assert one(f"<div><p>{PROSE}</p></div><div class='related'><article><p>Teaser</p></article></div><div class=footer-menu>Menu</div>") == PROSE.strip()
+
+
+def host_rule(pages):
+    top = None
+    for page in pages:
+        tree = html_wrapper.wrapper(html_wrapper.parse(page))
+        top = tree if top is None else html_wrapper.merged(top, tree)
+    return html_wrapper.rule(top, len(pages))
+
+
+def test_long_notices_common_to_all_pages_go():
+    notice = ("All rights of this notice are kept by its owner, whoever that may be. " * 8).strip()
+    assert len(notice) >= 500
+    for start, end in (("<article>", "</article>"), ("<div class=a>", "</div>")):
+        pages = [f"<body><div class=b>{start}<p>{notice}</p><p>Text {k} {k * PROSE}</p><ul><li>Same</li><li>Same</li></ul><p>Own {k}</p>{end}</div></body>" for k in range(1, 6)]
+        where = host_rule(pages)
+        for k, page in enumerate(pages, 1):
+            got = html_wrapper.main_text(page, where)
+            assert notice not in got and got.startswith(f"Text {k}") and got.endswith(f"Own {k}")
+    copies = [f"<article><p>{notice}</p><p>Text</p></article>"] * 4
+    assert html_wrapper.main_text(copies[0], host_rule(copies)) == notice + "\nText"
+    few = [f"<article><p>Text {k} {PROSE}</p>{'<p>Now and then</p>' * (k < 3)}</article>" for k in range(6)]
+    assert html_wrapper.main_text(few[0], host_rule(few)).endswith("Now and then")

@@ -15,6 +15,7 @@ repeated rows are read row by row; an empty table gives no row; other columns ar
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+CELLS = frozenset("li td th dt dd option".split())
 VOID = frozenset("br img wbr input hr meta link source area base col embed param track".split())
 #: Share of a page's open text from which a block is kept: a form or a word within a longer name; a name by itself,
 #: unless it holds what markup names as the article.
@@ -207,14 +209,19 @@ def _spare(element: Element, sizes: dict[int, tuple[int, bool]], whole: int, nam
 
 
 # A wrapper item is [key, optional, repeated, items, rank] for a block, ["#t", optional, repeated,
-# text or None, characters, characters in links, pages] for a slot, ["#g", ...] for a group of items.
+# texts that all its pages have with their characters, characters, characters in links, pages] for a slot, ["#g", ...] for a group of items.
+
+
+def _slot(text: str) -> str:
+    """A text as a wrapper holds it: a long one as its hash."""
+    return text if len(text) <= 32 else "#" + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def wrapper(element: Element) -> list:
     items = []
     for child in element.children:
         if isinstance(child, tuple):
-            items.append(["#t", False, False, child[0] if len(child[0]) <= 300 else None, len(child[0]), child[1], 1])
+            items.append(["#t", False, False, {_slot(child[0]): max(0, len(child[0]) - child[1])}, len(child[0]), child[1], 1])
         elif not child.dropped:
             items.append(wrapper(child))
     return [element.key, False, False, fold(items), element.rank]
@@ -224,7 +231,7 @@ def _kind(item: list) -> str:
     return item[0] if item[0] != "#g" else "#g" + "|".join(x[0] for x in item[3])
 
 
-def fold(items: list) -> list:
+def fold(items: list, same: int = 1) -> list:
     """Runs of equal neighbours, of one to three items, as repeated items or groups."""
     for period in (1, 2, 3):
         out, k = [], 0
@@ -240,7 +247,7 @@ def fold(items: list) -> list:
                 continue
             first = items[k : k + period]
             for r in range(1, n):
-                first = [merged(a, b) for a, b in zip(first, items[k + r * period : k + (r + 1) * period], strict=True)]
+                first = [merged(a, b, same) for a, b in zip(first, items[k + r * period : k + (r + 1) * period], strict=True)]
             if period == 1:
                 first[0][2] = True
                 out.append(first[0])
@@ -251,27 +258,29 @@ def fold(items: list) -> list:
     return items
 
 
-def merged(a: list, b: list) -> list:
-    """Two items of the same kind as one."""
+def merged(a: list, b: list, same: int = 0) -> list:
+    """Two items of the same kind as one; ``same``: of the same page (1), there in a list or table (2), where equal texts are data."""
     if a[0] == "#t":
-        return ["#t", a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] else None, a[4] + b[4], a[5] + b[5], a[6] + b[6]]
-    return [a[0], a[1] or b[1], a[2] or b[2], aligned(a[3], b[3]), max(a[4], b[4])]
+        texts = a[3] | b[3] if same == 1 else {k: n for k, n in a[3].items() if k in b[3]}
+        return ["#t", a[1] or b[1], a[2] or b[2], texts, a[4] + b[4], a[5] + b[5], max(a[6], b[6]) if same else a[6] + b[6]]
+    inner = 2 if same and a[0].split(".")[0] in CELLS else same
+    return [a[0], a[1] or b[1], a[2] or b[2], aligned(a[3], b[3], inner), max(a[4], b[4])]
 
 
 def _optional(item: list) -> list:
     return [item[0], True, *item[2:]]
 
 
-def aligned(a: list, b: list) -> list:
+def aligned(a: list, b: list, same: int = 0) -> list:
     """Item lists as one: the longest common sequence is merged, the rest becomes optional."""
     ka, kb = [_kind(x) for x in a], [_kind(x) for x in b]
     if ka == kb:
-        return [merged(x, y) for x, y in zip(a, b, strict=True)]
+        return [merged(x, y, same) for x, y in zip(a, b, strict=True)]
     if len(ka) * len(kb) > TABLE:  # by first place of each kind
         out: dict[str, list] = {}
         for kind, item in zip(ka + kb, a + b, strict=True):
             item = [item[0], True, True, *item[3:]]
-            out[kind] = merged(out[kind], item) if kind in out else item
+            out[kind] = merged(out[kind], item, same) if kind in out else item
         return list(out.values())
     best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
     for i in range(len(ka) - 1, -1, -1):
@@ -281,7 +290,7 @@ def aligned(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < len(ka) and j < len(kb):
         if ka[i] == kb[j]:
-            out.append(merged(a[i], b[j]))
+            out.append(merged(a[i], b[j], same))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             out.append(_optional(a[i]))
@@ -290,27 +299,38 @@ def aligned(a: list, b: list) -> list:
             out.append(_optional(b[j]))
             j += 1
     out += [_optional(x) for x in a[i:]] + [_optional(x) for x in b[j:]]
-    return fold(out)
+    return fold(out, same or 2)
 
 
 def _open_text(item: list, pages: int) -> int:
     """Characters outside links in slots that differ between pages (in all slots if there are too few pages)."""
     if item[0] == "#t":
-        return max(0, item[4] - item[5]) if item[3] is None or pages < 3 else 0
+        return max(0, item[4] - item[5] - (item[6] * sum(item[3].values()) if pages >= 3 else 0))
     return sum(_open_text(x, pages) for x in item[3])
 
 
+def _shared(items: list, pages: int, out: set[str]) -> None:
+    """Adds the texts that stand on each page."""
+    for item in items:
+        if item[0] != "#t":
+            _shared(item[3], pages, out)
+        elif item[6] >= pages:
+            out.update(item[3])
+
+
 def rule(top: list, pages: int) -> dict:
-    """Where the article stands: its path of keys, whether markup names it, and texts that all pages share."""
+    """Where the article stands: its path of keys, whether markup names it, and texts that all pages share
+    (of named articles those that no page lacks)."""
     best: tuple = (0, 0, ())
+    inside: list = []
     fixed: set[str] = set()
 
     def walk(items: list, path: tuple) -> None:
-        nonlocal best
+        nonlocal best, inside
         for item in items:
             if item[0] == "#t":
-                if item[3] is not None and item[6] >= 3:
-                    fixed.add(item[3])
+                if item[6] >= 3:
+                    fixed.update(item[3])
             elif item[0] == "#g":
                 walk(item[3], path)
             else:
@@ -318,12 +338,16 @@ def rule(top: list, pages: int) -> dict:
                 if item[4]:
                     size = sum(_open_text(x, 0) for x in item[3])
                     if size and (item[4], size) > best[:2]:
-                        best = (item[4], size, here)
+                        best, inside = (item[4], size, here), item[3]
                 walk(item[3], here)
 
     walk(top[3], ())
     if best[0]:
-        return {"path": best[2], "named": True, "fixed": []}
+        shared: set[str] = set()
+        size = sum(_open_text(x, 0) for x in inside)
+        if pages >= 3 and sum(_open_text(x, pages) for x in inside) >= 0.2 * size:  # not for pages that are copies of one
+            _shared(inside, pages, shared)
+        return {"path": best[2], "named": True, "fixed": sorted(shared)}
     node, path = top, ()
     while True:
         own = _open_text(node, pages)
@@ -343,7 +367,7 @@ def rule(top: list, pages: int) -> dict:
 def _blocks(element: Element, out: list[str], fixed: set[str], named: bool) -> None:
     for child in element.children:
         if isinstance(child, tuple):
-            if child[0] not in fixed and (named or child[1] < 0.8 * len(child[0])):
+            if _slot(child[0]) not in fixed and (named or child[1] < 0.8 * len(child[0])):
                 out.append(child[0])
         elif not child.dropped:
             _blocks(child, out, fixed, named)
