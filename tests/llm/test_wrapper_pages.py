@@ -57,3 +57,26 @@ def test_long_notices_common_to_all_pages_go():
     assert html_wrapper.main_text(copies[0], host_rule(copies)) == notice + "\nText"
     few = [f"<article><p>Text {k} {PROSE}</p>{'<p>Now and then</p>' * (k < 3)}</article>" for k in range(6)]
     assert html_wrapper.main_text(few[0], host_rule(few)).endswith("Now and then")
+
+
+def test_deep_pages_keep_the_rest_of_the_article():
+    deep = "<div>" * 200 + "<p>Deep<p>Deeper</p>" + "</div>" * 200
+    got = one(f"<article><p>First</p>{deep}<p>Last</p></article><p>Outside</p>")
+    assert got.startswith("First\n") and got.endswith("\nLast") and "Deep" in got and "Deeper" in got
+
+
+def test_long_lists_align_like_short_ones():
+    import random
+
+    rng = random.Random(2)
+    for n, m, kinds in ((0, 5, 3), (7, 9, 3), (60, 50, 5), (130, 200, 30)):
+        a, b = [rng.randrange(kinds) for _ in range(n)], [rng.randrange(kinds) for _ in range(m)]
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n - 1, -1, -1):
+            for j in range(m - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        rows = html_wrapper.Rows(a, b)
+        assert all(rows.count(i, j) == best[i][j] for i in range(n + 1) for j in range(m + 1))
+    items = lambda keys: [[f"k{x}", False, False, [], 0] for x in keys]
+    got = html_wrapper.aligned(items(range(600)), items([*range(300), 1000, *range(300, 600)]))
+    assert [(x[0], x[1], x[2]) for x in got] == [(f"k{x}", x == 1000, False) for x in [*range(300), 1000, *range(300, 600)]]

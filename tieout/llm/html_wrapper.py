@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -31,7 +32,7 @@ from .common import is_small, written
 SALTS = 32
 #: Wrappers a task holds before it hands them on; hosts whose rules may be broadcast.
 HELD, SMALL = 2000, 100_000
-DEPTH, TABLE = 150, 250_000
+DEPTH = 150
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|object|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
@@ -95,7 +96,7 @@ def parse(html: str | None) -> Element:
     """The tree of blocks of a page."""
     root = Element("#page", "#page", False, 0)
     stack, parts, links, in_link, skip = [root], [], 0, False, []
-    html, at, doubted = html or "", 0, False
+    html, at, doubted, deep = html or "", 0, False, []
 
     def text(raw: str) -> None:
         nonlocal links
@@ -133,16 +134,31 @@ def parse(html: str | None) -> Element:
         flush()
         skip.clear()
         if closing:
+            if tag in deep:
+                del deep[len(deep) - 1 - deep[::-1].index(tag) :]
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
+                    deep.clear()
                     break
             continue
         if tag in VOID:
             continue
-        if stack[-1].tag == "p":
+        if deep:
+            if deep[-1] == "p":
+                deep.pop()
+        elif stack[-1].tag == "p":
             stack.pop()
-        if tag in CLOSES:
+        if tag in CLOSES and deep:
+            ends, barrier = CLOSES[tag]
+            for k in range(len(deep) - 1, -1, -1):
+                if deep[k] in barrier:
+                    break
+                if deep[k] in ends:
+                    del deep[k:]
+                    break
+        elif tag in CLOSES:
             ends, barrier = CLOSES[tag]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in barrier:
@@ -156,8 +172,10 @@ def parse(html: str | None) -> Element:
         doubted = doubted or dropped and doubt > 0
         new = Element(tag, key, dropped, rank, doubt)
         stack[-1].children.append(new)
-        if len(stack) < DEPTH:
+        if len(stack) < DEPTH and not deep:
             stack.append(new)
+        else:
+            deep.append(tag)  # its closing tag must not end an element around
     text(html[at:])
     flush()
     if doubted:
@@ -271,28 +289,54 @@ def _optional(item: list) -> list:
     return [item[0], True, *item[2:]]
 
 
+class Rows:
+    """Lengths of the longest common sequences of the ends of two lists, in little memory: rows are sets of bits, and
+    only every so manieth stays; those between are made again as they are asked for, from first to last."""
+
+    def __init__(self, a: list, b: list):
+        self.a, self.size, self.full = a, len(b), (1 << len(b)) - 1
+        self.masks: dict = {}
+        for j, x in enumerate(reversed(b)):
+            self.masks[x] = self.masks.get(x, 0) | 1 << j
+        self.every = max(1, math.isqrt(len(a)))
+        self.kept, self.block = {}, {}
+        row = self.full  # a bit is 0 where one more item of b makes the sequence longer
+        for i in range(len(a), -1, -1):
+            row = self._before(i, row)
+            if i % self.every == 0 or i == len(a):
+                self.kept[i] = row
+
+    def _before(self, i: int, row: int) -> int:
+        """Row i from row i + 1."""
+        m = self.masks.get(self.a[i], 0) if i < len(self.a) else 0
+        return ((row + (row & m)) | (row & ~m)) & self.full if m else row
+
+    def count(self, i: int, j: int) -> int:
+        """Length for a[i:] and b[j:]."""
+        if i not in self.block:
+            first = i // self.every * self.every
+            last = min(first + self.every, len(self.a))
+            row = self.kept[last]
+            old, self.block = self.block, {last: row}
+            for k in range(last - 1, first - 1, -1):
+                row = self.block[k] = self._before(k, row)
+            if first - 1 in old:
+                self.block[first - 1] = old[first - 1]
+        return self.size - j - (self.block[i] & ((1 << (self.size - j)) - 1)).bit_count()
+
+
 def aligned(a: list, b: list, same: int = 0) -> list:
     """Item lists as one: the longest common sequence is merged, the rest becomes optional."""
     ka, kb = [_kind(x) for x in a], [_kind(x) for x in b]
     if ka == kb:
         return [merged(x, y, same) for x, y in zip(a, b, strict=True)]
-    if len(ka) * len(kb) > TABLE:  # by first place of each kind
-        out: dict[str, list] = {}
-        for kind, item in zip(ka + kb, a + b, strict=True):
-            item = [item[0], True, True, *item[3:]]
-            out[kind] = merged(out[kind], item, same) if kind in out else item
-        return list(out.values())
-    best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
-    for i in range(len(ka) - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(len(kb) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if ka[i] == kb[j] else max(below[j], row[j + 1])
+    rows = Rows(ka, kb)
     out, i, j = [], 0, 0
     while i < len(ka) and j < len(kb):
         if ka[i] == kb[j]:
             out.append(merged(a[i], b[j], same))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif rows.count(i + 1, j) >= rows.count(i, j + 1):
             out.append(_optional(a[i]))
             i += 1
         else:
