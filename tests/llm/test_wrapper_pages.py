@@ -61,7 +61,7 @@ def test_long_notices_common_to_all_pages_go():
 
 def test_deep_pages_keep_the_rest_of_the_article():
     deep = "<div>" * 200 + "<p>Deep<p>Deeper</p>" + "</div>" * 200
-    got = one(f"<article><p>First</p>{deep}<p>Last</p></article><p>Outside</p>")
+    got = one(f"<div><article><p>First</p>{deep}<p>Last</p></article></div><p>Outside</p>")
     assert got.startswith("First\n") and got.endswith("\nLast") and "Deep" in got and "Deeper" in got
 
 
