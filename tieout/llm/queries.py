@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversations import ORACLE_SQL as REPAIR_SQL
+from .conversations import op11_auction_repair
 from .decontamination import op7_latent_semantic_leaks
 from .html_wrapper import op9_union_free_wrappers
 from .jaccard import op10_partenum_jaccard
@@ -28,7 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_seekable_token_files": op8_seekable_token_files,
     "op9_union_free_wrappers": op9_union_free_wrappers,
     "op10_partenum_jaccard": op10_partenum_jaccard,
+    "op11_auction_repair": op11_auction_repair,
 }
 
 #: DuckDB SQL for queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_auction_repair": REPAIR_SQL}
