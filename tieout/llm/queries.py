@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chosen_paths import op12_chosen_path_copies
 from .conversations import ORACLE_SQL as REPAIR_SQL
 from .conversations import op11_auction_repair
 from .decontamination import op7_latent_semantic_leaks
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_union_free_wrappers": op9_union_free_wrappers,
     "op10_partenum_jaccard": op10_partenum_jaccard,
     "op11_auction_repair": op11_auction_repair,
+    "op12_chosen_path_copies": op12_chosen_path_copies,
 }
 
 #: DuckDB SQL for queries that SQL can express.
