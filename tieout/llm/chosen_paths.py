@@ -11,10 +11,12 @@ A document's set are its distinct five-word shingles; two sets link at Jaccard 0
   the last level), all twelve of the four trees with 0.174^12 = 8e-10.
 * A node of up to SMALL sets compares all its pairs. A larger one compares its sets with one of them
   (the least hash of node and set) and branches again, unless its sets are one component already.
-  What is still larger after LEVELS levels compares all pairs of different components, in blocks.
-* A comparison counts equal minwise tokens of all 48: under AGREE a pair at 0.85 falls with a
-  probability of 2e-9. Pairs that pass are confirmed on whole sets: of each set the best first,
-  then those that would join two components.
+  What is still larger after LEVELS levels compares all its pairs in blocks.
+* A comparison bounds the difference of two sets from below by sizes and parity sketches, exactly, and
+  counts equal minwise tokens of all 48: under AGREE a pair at 0.85 falls with a probability of 2e-9.
+* Of the pairs that may link, a node first hands on a forest, the most alike first, not all of a group.
+  They are confirmed on whole sets; then nodes that still hold several components hand on every pair
+  across them. So no pair is lost, and a group of copies costs a multiple of its size.
 
 Keys and components that many rows share are named by a broadcast table that can't be large (each of
 its entries stands for a millionth of all rows and more), the others by a plain join.
@@ -27,6 +29,7 @@ null doc_id counts as the smallest number; an empty table gives no row; other co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, table, written
-from .jaccard import set_key
+from .jaccard import set_key, sketch
 from .textvec import mix, shingles
 
 WORDS, PERCENT = 5, 85
@@ -50,11 +53,11 @@ _TURNS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def tokens(items: np.ndarray) -> np.ndarray:
-    """The minwise token of a set under each hash, 32 bits of it; nothing for the empty set."""
-    out = np.empty(HASHES if len(items) else 0, np.uint64)
-    for k in range(len(out)):
-        out[k] = (items * _TURNS[k : k + 1]).min()
-    return mix(out).astype(np.uint32).view(np.int32)
+    """The minwise token of a set under each hash, 32 bits of it, and the set's parity sketch; nothing for the empty set."""
+    if not len(items):
+        return np.zeros(0, np.int32)
+    out = np.array([(items * _TURNS[k : k + 1]).min() for k in range(HASHES)], np.uint64)
+    return np.concatenate([mix(out).astype(np.uint32).view(np.int32), sketch(items).view(np.int32)])
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -96,115 +99,172 @@ def _children(members: DataFrame, level: int) -> DataFrame:
     return members.withColumn("node", F.explode(names))
 
 
-def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left == right).sum(axis=1)
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(len(column), -1)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(len(column), HASHES)
+def _alike(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which rows may link, equal tokens): sizes and sketches bound the difference, tokens estimate the rest."""
+    same = (left[:, :HASHES] == right[:, :HASHES]).sum(axis=1)
+    odd = np.bitwise_count((left[:, HASHES:] ^ right[:, HASHES:]).view(np.uint32)).sum(axis=1, dtype=np.int64)
+    sized = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+    return sized & (same >= AGREE) & ((100 + PERCENT) * odd <= (100 - PERCENT) * (n + m)), same
+
+
+def _batch(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
+    columns = (np.minimum(a, b), np.maximum(a, b), same)
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "b", "same"])
+
 
+class _Forest:
+    """Names of groups that grow together; of pairs it tells those that join two groups."""
 
-def _sized(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+    def __init__(self):
+        self.above: dict[tuple, tuple] = {}
 
+    def name(self, x: tuple) -> tuple:
+        while x in self.above:
+            x = self.above[x]
+        return x
 
-def _all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, same) of the sets of each node; rows come sorted by node, at most SMALL of one."""
-    held: pa.Table | None = None
+    def joins(self, x: tuple, y: tuple) -> bool:
+        x, y = self.name(x), self.name(y)
+        if x == y:
+            return False
+        self.above[x] = y
+        return True
+
+
+def _node_pairs(every: bool):
+    """Pairs (a, b, same) of the sets of each node, sorted by node and at most SMALL of one: all that may
+    link across components, or of each node so many, the most alike first, that they hold it together."""
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         node, key, n, part = (rows.column(c).to_numpy() for c in ("node", "key", "n", "part"))
-        mins = _matrix(rows.column("tokens"))
-        out = [(key[:0], key[:0], key[:0])]
+        signs = _matrix(rows.column("tokens"))
+        left, right, sames = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for step in range(1, SMALL):
             at = np.flatnonzero(node[:-step] == node[step:])
             if not len(at):
                 break
-            at = at[(part[at] != part[at + step]) & _sized(n[at], n[at + step])]
-            same = _agreement(mins[at], mins[at + step])
-            at, same = at[same >= AGREE], same[same >= AGREE]
-            out.append((np.minimum(key[at], key[at + step]), np.maximum(key[at], key[at + step]), same))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["a", "b", "same"])
+            at = at[part[at] != part[at + step]]
+            good, same = _alike(signs[at], signs[at + step], n[at], n[at + step])
+            left.append(at[good])
+            right.append(at[good] + step)
+            sames.append(same[good])
+        i, j, same = (np.concatenate(x) for x in (left, right, sames))
+        if not every:
+            order = np.argsort(-same, kind="stable")
+            i, j, same = i[order], j[order], same[order]
+            forest = _Forest()
+            ends = zip(node[i].tolist(), part[i].tolist(), part[j].tolist(), strict=True)
+            keep = np.fromiter((forest.joins((v, x), (v, y)) for v, x, y in ends), bool, len(i))
+            i, j, same = i[keep], j[keep], same[keep]
+        return _batch(key[i], key[j], same)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, rows]) if held else rows
+            node = held.column("node").to_numpy()
+            cut = int(np.searchsorted(node, node[-1])) if len(node) else 0
+            if cut:
+                yield pairs(held.slice(0, cut))
+                held = held.slice(cut).combine_chunks()
+        if held and held.num_rows:
+            yield pairs(held)
 
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, rows]) if held else rows
-        node = held.column("node").to_numpy()
-        cut = int(np.searchsorted(node, node[-1])) if len(node) else 0
-        if cut:
-            yield pairs(held.slice(0, cut))
-            held = held.slice(cut).combine_chunks()
-    if held and held.num_rows:
-        yield pairs(held)
+    return stream
 
 
 def _with_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, right = _matrix(batch.column("tokens")), _matrix(batch.column("pivot_tokens"))
-        key, pivot = batch.column("key").to_numpy(), batch.column("pivot").to_numpy()
-        same = _agreement(left, right)
-        good = (same >= AGREE) & (key != pivot) & _sized(batch.column("n").to_numpy(), batch.column("pivot_n").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(x[good].astype(np.int64)) for x in (np.minimum(key, pivot), np.maximum(key, pivot), same)], names=["a", "b", "same"])
+        key, pivot, n, m = (batch.column(c).to_numpy() for c in ("key", "pivot", "n", "pivot_n"))
+        good, same = _alike(_matrix(batch.column("tokens")), _matrix(batch.column("pivot_tokens")), n, m)
+        good &= key != pivot
+        yield _batch(key[good], pivot[good], same[good])
 
 
 _PAIRS = "a long, b long, same long"
 
 
-def _level(members: DataFrame, bases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs, larger nodes' members); ``members`` has (node, key, part), part a component."""
+def _named(rows: DataFrame, names: DataFrame, on: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` join ``names`` (on, ..., rows); names of very many rows by broadcast, at most a million of ``total``."""
+    many = F.col("rows") > max(1_000, total // 1_000_000)
+    hot, cold = names.where(many).drop("rows"), names.where(~many).drop("rows")
+    split = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, how)
+    return rows.join(F.broadcast(hot), on).unionByName(split)
+
+
+def _mixed(members: DataFrame, total: int) -> DataFrame:
+    """Members (node, key, part) of the nodes with several components, with the node's size and pivot."""
     least = F.min(F.struct(F.xxhash64("node", "key").alias("h"), "key")).getField("key")
-    sizes = members.groupBy("node").agg(F.count("*").alias("size"), least.alias("pivot"), F.min("part").alias("low"), F.max("part").alias("high"))
-    open_ = written(members.join(sizes.where("low < high"), "node").select("node", "key", "part", "size", "pivot"), "open-nodes")
-    small = (
-        open_.where(F.col("size") <= SMALL).join(bases, "key").select("node", "key", "part", "n", "tokens")
-        .repartition("node").sortWithinPartitions("node").mapInArrow(_all_pairs, _PAIRS)
-    )
-    large = open_.where(F.col("size") > SMALL).select("node", "key", "part", "pivot")
-    pivots = large.select("node", "pivot").distinct().join(bases.select(F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
-    star = large.select("node", "key").join(bases, "key").join(pivots, "node").select("key", "n", "tokens", "pivot", "pivot_n", "pivot_tokens").mapInArrow(_with_pivot, _PAIRS)
-    pairs = small.union(star).groupBy("a", "b").agg(F.max("same").alias("same"))
-    return written(pairs, "candidate-pairs"), large.select("node", "key", "part")
-
-
-def _against_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, same) of each block's own rows, which come first, with the rows it is to meet."""
-    block, own, key, n, part = None, None, None, None, None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        ids = np.stack([rows.column("node").to_numpy(), rows.column("block").to_numpy()], axis=1)
-        starts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]) if len(ids) else [])
-        for i, j in zip(starts, [*starts[1:], len(ids)], strict=True):
-            some = rows.slice(i, j - i)
-            if block != tuple(ids[i]):
-                block, own, key, n, part = tuple(ids[i]), np.zeros((0, HASHES), np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-            mins = _matrix(some.column("tokens"))
-            keys, sizes, parts, met = (some.column(c).to_numpy() for c in ("key", "n", "part", "met"))
-            first = met == 0
-            own, key, n, part = (np.concatenate([x, y[first]]) for x, y in ((own, mins), (key, keys), (n, sizes), (part, parts)))
-            out = []
-            for k in np.flatnonzero(~first):
-                at = np.flatnonzero((part != parts[k]) & _sized(n, sizes[k : k + 1]))
-                same = _agreement(own[at], mins[k : k + 1])
-                at, same = at[same >= AGREE], same[same >= AGREE]
-                out.append((np.minimum(key[at], keys[k]), np.maximum(key[at], keys[k]), same))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["a", "b", "same"])
-
-
-def _remaining(members: DataFrame, bases: DataFrame) -> DataFrame:
-    """Pairs of different components in nodes that are still large, in blocks of about BLOCK sets.
-
-    A block of sets stands in memory, the sets of its own and the later blocks pass by: no pair is made
-    that the tokens don't support.
+    sizes = members.groupBy("node").agg(F.count("*").alias("rows"), least.alias("pivot"), F.min("part").alias("low"), F.max("part").alias("high"))
+    sizes = sizes.where("low < high").select("node", "rows", "pivot", F.col("rows").alias("size"))
+    return written(_named(members, sizes, "node", total, "inner"), "open-nodes")
+
+
+def _in_nodes(open_: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
+    rows = open_.where(F.col("size") <= SMALL).join(sets, "key").select("node", "key", "part", "n", "tokens")
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_node_pairs(every), _PAIRS)
+
+
+def _with_pivots(open_: DataFrame, sets: DataFrame, total: int) -> DataFrame:
+    large = open_.where(F.col("size") > SMALL)
+    pivots = large.groupBy("node", "pivot").agg(F.count("*").alias("rows"))
+    pivots = pivots.join(sets.select(F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
+    star = _named(large.select("node", "key").join(sets, "key"), pivots, "node", total, "inner")
+    return star.select("key", "n", "tokens", "pivot", "pivot_n", "pivot_tokens").mapInArrow(_with_pivot, _PAIRS)
+
+
+def _against_blocks(every: bool):
+    """Pairs (a, b, same) of each block's own rows, which come first, with the rows that pass by."""
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, own, forest = None, {}, _Forest()
+        for batch in batches:
+            node, number = batch.column("node").to_numpy(), batch.column("block").to_numpy()
+            cuts = np.flatnonzero((node[1:] != node[:-1]) | (number[1:] != number[:-1])) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(node)], strict=True):
+                if i == j:
+                    continue
+                some = batch.slice(i, j - i)
+                here = {c: some.column(c).to_numpy() for c in ("key", "n", "part", "met")} | {"signs": _matrix(some.column("tokens"))}
+                if block != (node[i], number[i]):
+                    block, forest = (node[i], number[i]), _Forest()
+                    own = {c: x[:0] for c, x in here.items()}
+                first = here["met"] == 0
+                own = {c: np.concatenate([x, here[c][first]]) for c, x in own.items()}
+                out = [(own["key"][:0],) * 3]
+                for k in np.flatnonzero(~first):
+                    now = int(here["part"][k])
+                    at = np.flatnonzero(own["part"] != now)
+                    good, same = _alike(own["signs"][at], here["signs"][k : k + 1], own["n"][at], here["n"][k : k + 1])
+                    at, same = at[good], same[good]
+                    if not every:
+                        keep = np.fromiter((forest.joins((now,), (x,)) for x in own["part"][at].tolist()), bool, len(at))
+                        at, same = at[keep], same[keep]
+                    out.append((own["key"][at], np.full(len(at), here["key"][k]), same))
+                yield _batch(*(np.concatenate(c) for c in zip(*out, strict=True)))
+
+    return stream
+
+
+def _in_blocks(open_: DataFrame, sets: DataFrame, total: int, every: bool) -> DataFrame:
+    """Pairs of different components in nodes that stayed large, in blocks of about BLOCK sets.
+
+    A block of sets stands in memory, the sets of its own and the later blocks pass by. Nodes with equal
+    members count once.
     """
-    sizes = members.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("part").alias("low"), F.max("part").alias("high"))
-    rows = members.join(sizes.where("low < high"), "node").join(bases, "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    once = open_.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("members"))
+    once = once.groupBy("size", "members").agg(F.min("node").alias("node")).select("node", F.col("size").alias("rows"))
+    rows = _named(open_, once, "node", total, "inner").join(sets, "key").withColumn("own", F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK)).cast("int"))
     kept = ["node", "key", "part", "n", "tokens"]
     own = rows.select(*kept, F.col("own").alias("block"), F.lit(0).alias("met"))
     met = rows.select(*kept, F.explode(F.sequence(F.lit(0), "own")).alias("block"), F.lit(1).alias("met"))
-    order = ["node", "block", "met"]
-    dealt = own.union(met).repartition("node", "block").sortWithinPartitions(*order)
-    return dealt.mapInArrow(_against_blocks, _PAIRS).groupBy("a", "b").agg(F.max("same").alias("same"))
+    dealt = own.union(met).repartition("node", "block").sortWithinPartitions("node", "block", "met")
+    return dealt.mapInArrow(_against_blocks(every), _PAIRS)
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,84 +292,74 @@ class _Links:
     """Confirmed links so far and the components they make."""
 
     def __init__(self, docs: DataFrame, bases: DataFrame):
-        self.docs, self.bases, self.edges, self.parts = docs, bases, None, None
+        self.docs, self.bases, self.edges, self.parts, self.tried = docs, bases, None, None, None
 
-    def part(self, keys: DataFrame, key: str, name: str) -> DataFrame:
+    def part(self, keys: DataFrame, key: str = "key", name: str = "part") -> DataFrame:
+        keys = keys.drop(name)
         if self.parts is None:
             return keys.withColumn(name, F.col(key))
         named = self.parts.select(F.col("id").alias(key), F.col("component_id").alias(name))
         return keys.join(named, key, "left").withColumn(name, F.coalesce(name, key))
 
-    def across(self, pairs: DataFrame) -> DataFrame:
-        return self.part(self.part(pairs, "a", "part_a"), "b", "part_b").where("part_a <> part_b").select(*pairs.columns)
-
-    def _texts(self, pairs: DataFrame) -> DataFrame:
+    def add(self, pairs: DataFrame) -> None:
+        """Confirms the pairs (a, b, same) that weren't tried before."""
+        pairs = pairs.select("a", "b").distinct()
+        pairs = written(pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti"), "candidate-pairs")
+        if pairs.isEmpty():
+            return
+        self.tried = pairs if self.tried is None else self.tried.union(pairs)
         met = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         chosen = self.bases.join(met, "key", "left_semi").select("key", "doc_id", "text_hash")
         texts = _rows(self.docs).join(chosen, ["doc_id", "text_hash"]).select("key", "text").mapInArrow(_own_text, "key long, text string")
-        return texts.dropDuplicates(["key"])
-
-    def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> None:
+        texts = written(texts.dropDuplicates(["key"]), "candidate-texts")
         a, b = (texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-        found = pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
+        found = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
         found = written(found, "links")
         if not found.isEmpty():
-            self.edges = found if self.edges is None else written(self.edges.union(found), "links")
+            self.edges = found if self.edges is None else self.edges.union(found)
             self.parts = written(components(self.edges), "components")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Confirms ``pairs`` (a, b, same): the best of each set, then those left between components."""
-        if pairs.isEmpty():
-            return
-        texts = written(self._texts(pairs), "candidate-texts")
-        best = written(pairs.groupBy("b").agg(F.max_by("a", F.struct("same", F.col("a") * -1)).alias("a")).select("a", "b"), "best-pairs")
-        self._confirmed(best, texts)
-        others = written(self.across(pairs.select("a", "b").join(best, ["a", "b"], "left_anti")), "other-pairs")
-        if not others.isEmpty():
-            self._confirmed(others, texts)
-
-
-def _named(rows: DataFrame, names: DataFrame, on: str, total: int) -> DataFrame:
-    """``rows`` left join ``names`` (on, ..., rows); names of very many rows by broadcast, at most a million of them."""
-    hot = names.where(F.col("rows") > max(1_000, total // 1_000_000)).drop("rows")
-    cold = names.where(F.col("rows") <= max(1_000, total // 1_000_000)).drop("rows")
-    split = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, "left")
-    return rows.join(F.broadcast(hot), on).unionByName(split.select(*rows.columns, *(c for c in cold.columns if c != on)))
-
 
 def linked(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept) of all documents."""
     slim = signed(docs)
+    total = slim.count()
     first = F.min(F.struct("doc_id", "text_hash", "n", "tokens")).alias("first")
     bases = slim.where("key >= 0").groupBy("key").agg(first, F.count("*").alias("rows"))
     bases = written(bases.select("key", "first.*", "rows"), "distinct-sets")
     links, sets = _Links(docs, bases), bases.select("key", "n", "tokens")
 
+    # what holds each node together
     members = _children(sets.select("key", "tokens", F.col("key").alias("part")), 0).select("node", "key", "part")
-    pairs, large = _level(members, sets)
-    links.add(pairs)
-    more = None
+    opened = [_mixed(members, POOL * total)]
+    links.add(_in_nodes(opened[0], sets, False).union(_with_pivots(opened[0], sets, POOL * total)))
+    pairs = None
     for level in range(1, LEVELS):
-        large = written(links.part(large.drop("part"), "key", "part"), "large-nodes")
+        large = _mixed(links.part(opened[-1].where(F.col("size") > SMALL).select("node", "key")), POOL * total)
         if large.isEmpty():
             break
-        mixed = large.groupBy("node").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("node")
-        below = _children(large.join(mixed, "node", "left_semi").join(sets, "key"), level).select("node", "key", "part").distinct()
-        found, large = _level(below, sets)
-        more = found if more is None else more.union(found)
-    if more is not None:
-        links.add(written(more.groupBy("a", "b").agg(F.max("same").alias("same")), "deeper-pairs"))
-    large = written(links.part(large.drop("part"), "key", "part"), "large-nodes")
-    if not large.isEmpty():
-        links.add(written(_remaining(large, sets), "block-pairs"))
-
-    total = slim.count()
-    keys = links.part(bases.select("key", F.col("doc_id").alias("low"), "rows"), "key", "part")
+        below = _children(large.select("node", "key", "part").join(sets, "key"), level).select("node", "key", "part").distinct()
+        opened.append(_mixed(below, POOL * total))
+        found = _in_nodes(opened[-1], sets, False).union(_with_pivots(opened[-1], sets, POOL * total))
+        pairs = found if pairs is None else pairs.union(found)
+    if pairs is not None:
+        links.add(pairs)
+
+    # what may still link between components
+    small = [o.where(F.col("size") <= SMALL).select("node", "key") for o in opened]
+    small = written(links.part(reduce(DataFrame.union, small)), "small-nodes")
+    rest = _mixed(links.part(opened[-1].where(F.col("size") > SMALL).select("node", "key")), POOL * total)
+    pairs = _in_nodes(_mixed(small, POOL * total), sets, True)
+    links.add(pairs if rest.isEmpty() else pairs.union(_in_blocks(rest, sets, POOL * total, False)))
+    rest = _mixed(links.part(rest.select("node", "key")), POOL * total)
+    if not rest.isEmpty():
+        links.add(_in_blocks(rest, sets, POOL * total, True))
+
+    keys = links.part(bases.select("key", F.col("doc_id").alias("low"), "rows"))
     whole = keys.groupBy("part").agg(F.min("low").alias("component"), F.count("*").alias("rows"))
     names = _named(keys.withColumnRenamed("rows", "copies"), whole, "part", total).select("key", "component", F.col("copies").alias("rows"))
     named = _named(slim.select("doc_id", "n", "key"), names, "key", total)
-    component = F.coalesce("component", "doc_id")
-    null = F.lit(NO_ID)
+    component, null = F.coalesce("component", "doc_id"), F.lit(NO_ID)
     return named.select(F.nullif("doc_id", null).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(component, null).alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
