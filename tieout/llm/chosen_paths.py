@@ -301,8 +301,11 @@ class _Links:
         named = self.parts.select(F.col("id").alias(key), F.col("component_id").alias(name))
         return keys.join(named, key, "left").withColumn(name, F.coalesce(name, key))
 
-    def add(self, pairs: DataFrame) -> None:
-        """Confirms the pairs (a, b, same) that weren't tried before."""
+    def add(self, pairs: DataFrame, every: bool = True) -> None:
+        """Confirms the pairs (a, b, same) that weren't tried before, or one pair, the most alike, of two components."""
+        if not every:
+            best = F.max_by(F.struct("a", "b"), F.struct("same", "a", "b")).alias("pair")
+            pairs = self.part(self.part(pairs, "a", "part_a"), "b", "part_b").groupBy(F.least("part_a", "part_b"), F.greatest("part_a", "part_b")).agg(best).select("pair.*")
         pairs = pairs.select("a", "b").distinct()
         pairs = written(pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti"), "candidate-pairs")
         if pairs.isEmpty():
@@ -332,7 +335,7 @@ def linked(docs: DataFrame) -> DataFrame:
     # what holds each node together
     members = _children(sets.select("key", "tokens", F.col("key").alias("part")), 0).select("node", "key", "part")
     opened = [_mixed(members, POOL * total)]
-    links.add(_in_nodes(opened[0], sets, False).union(_with_pivots(opened[0], sets, POOL * total)))
+    links.add(_in_nodes(opened[0], sets, False).union(_with_pivots(opened[0], sets, POOL * total)), every=False)
     pairs = None
     for level in range(1, LEVELS):
         large = _mixed(links.part(opened[-1].where(F.col("size") > SMALL).select("node", "key")), POOL * total)
@@ -343,7 +346,7 @@ def linked(docs: DataFrame) -> DataFrame:
         found = _in_nodes(opened[-1], sets, False).union(_with_pivots(opened[-1], sets, POOL * total))
         pairs = found if pairs is None else pairs.union(found)
     if pairs is not None:
-        links.add(pairs)
+        links.add(pairs, every=False)
 
     # what may still link between components
     small = [o.where(F.col("size") <= SMALL).select("node", "key") for o in opened]

@@ -18,6 +18,7 @@ from .private_data import op6_boosted_private_data
 from .quality import op4_quadratic_discriminant
 from .secrets import op2_structural_secrets
 from .sharding import op1_histogram_sort
+from .token_links import op13_token_links
 from .token_files import op8_seekable_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_partenum_jaccard": op10_partenum_jaccard,
     "op11_auction_repair": op11_auction_repair,
     "op12_chosen_path_copies": op12_chosen_path_copies,
+    "op13_token_links": op13_token_links,
 }
 
 #: DuckDB SQL for queries that SQL can express.
