@@ -96,11 +96,23 @@ def test_digests_equal_brute_force(spark, most_pairs):
 def test_windows_beyond_the_cache(spark, monkeypatch):
     monkeypatch.setattr(T, "CACHED_WINDOWS", 3)
     both = T.Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    texts = ["one two three four five six seven one two three", "one two three"]
-    first = [both.align(*ids) for ids in both.encode(texts)]
+    ids = both.encode(["one two three four five six seven one two three", "one two three"])
+    first = both.align(ids[1:]), both.align(ids)
     assert len(both.windows) == 3
-    assert first == [both.align(*ids) for ids in both.encode(texts)]
-    assert first[0][0].startswith(first[1][0])
+    assert first == (both.align(ids[1:]), both.align(ids))
+    assert first[1][0][0].startswith(first[0][0][0]) and first[1][1] == first[0][0]
+
+
+def test_fast_ids_are_the_librarys_ids():
+    """For letters, marks, digits, spaces of all scripts, alone and beside others."""
+    from tokenizers import Tokenizer
+
+    both = T.Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    texts = [f" a{chr(k)}1{chr(k)} {chr(k)}'s" for k in range(0x3400) if not 0xD800 <= k < 0xE000] + [t for _, t in corpus() if t]
+    for text, found in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert both.a.encode_ordinary(text) == found.ids, text
 
 
 def test_empty_table(spark):
