@@ -202,3 +202,31 @@ def scd2_snapshot(spark, sf_dir):
 )
 def scd2_as_of(spark, sf_dir):
     return history.scd2_as_of(_snap2(spark, sf_dir), T_MID)
+
+
+# facts dated around the two snapshots; one account holds a third of them
+_FACTS = f""", facts AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_orderkey % 3 = 0 THEN '7' ELSE CAST(l_partkey AS VARCHAR) END AS account_code,
+         TIMESTAMP '2023-12-10 00:00:00' + ((l_orderkey * 7 + l_linenumber * 13) % 100) * INTERVAL 1 DAY AS at
+  FROM lineitem
+)"""
+
+
+@register(
+    "scd2_as_of_join",
+    q("""SELECT f.*, v.scd_id, v.account_name, v.account_type, v.is_control_account
+         FROM facts f LEFT JOIN snap2 v
+           ON v.account_code = f.account_code AND v.valid_from <= f.at AND (v.valid_to IS NULL OR f.at < v.valid_to)""",
+      _SCD + _FACTS),
+)
+def scd2_as_of_join(spark, sf_dir):
+    """Each line with the version of its account in force on the line's own date."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    facts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber",
+        F.when(k % 3 == 0, "7").otherwise(F.col("l_partkey").cast("string")).alias("account_code"),
+        (F.lit("2023-12-10 00:00:00").cast("timestamp") + F.make_dt_interval(((k * 7 + n * 13) % 100).cast("int"))).alias("at"),
+    )
+    joined = history.scd2_as_of_join(facts, _snap2(spark, sf_dir), "account_code", "at", hot_rows=10_000)
+    return joined.select(*facts.columns, "scd_id", "account_name", "account_type", "is_control_account")
