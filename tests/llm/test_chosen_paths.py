@@ -96,10 +96,11 @@ def test_components_equal_brute_force(spark, found):
     assert result(P.linked(frame(spark, rows))) == want
 
 
-@pytest.mark.parametrize("small, levels", [(2, 4), (4, 1)])
-def test_large_nodes(spark, found, monkeypatch, small, levels):
+@pytest.mark.parametrize("small, leaf, levels", [(2, 4, 3), (4, 4, 1)])
+def test_large_nodes(spark, found, monkeypatch, small, leaf, levels):
     """Nearly all nodes count as large: pivots, deeper levels and the blocks of what remains do the work."""
     monkeypatch.setattr(P, "SMALL", small)
+    monkeypatch.setattr(P, "LEAF", leaf)
     monkeypatch.setattr(P, "LEVELS", levels)
     monkeypatch.setattr(P, "BLOCK", 16)
     rows, want = found

@@ -9,9 +9,9 @@ A document's set are its distinct five-word shingles; two sets link at Jaccard 0
   children that its minwise tokens of those hashes name. At Jaccard s a pair shares a child with
   probability s. At 0.85 a branch of a root loses a pair with 0.15 + 0.85 * 0.0286 = 0.174 (down to
   the last level), all twelve of the four trees with 0.174^12 = 8e-10.
-* A node of up to SMALL sets compares all its pairs. A larger one compares its sets with one of them
+* A node of up to LEAF sets compares all its pairs. A larger one compares its sets with one of them
   (the least hash of node and set) and branches again, unless its sets are one component already.
-  What is still larger after LEVELS levels compares all its pairs in blocks.
+  What is still larger after LEVELS levels compares all its pairs too, block by block.
 * A comparison bounds the difference of two sets from below by sizes and parity sketches, exactly, and
   counts equal minwise tokens of all 48: under AGREE a pair at 0.85 falls with a probability of 2e-9.
 * Of the pairs that may link, a node first hands on a forest, the most alike first, not all of a group.
@@ -47,7 +47,8 @@ TREES, ROOT, INNER, LEVELS = 4, 3, 2, 4
 POOL = TREES * ROOT
 HASHES = POOL * LEVELS
 AGREE = 24
-SMALL, BLOCK = 32, 2_048
+#: Sets of a node that are compared together, of one that is compared in blocks, and of a block.
+SMALL, LEAF, BLOCK = 32, 1_024, 2_048
 #: Odd multipliers, one a hash.
 _TURNS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -201,7 +202,7 @@ def _mixed(members: DataFrame, total: int) -> DataFrame:
     """Members (node, key, part) of the nodes with several components, with the node's size and pivot."""
     least = F.min(F.struct(F.xxhash64("node", "key").alias("h"), "key")).getField("key")
     sizes = members.groupBy("node").agg(F.count("*").alias("rows"), least.alias("pivot"), F.min("part").alias("low"), F.max("part").alias("high"))
-    sizes = sizes.where("low < high").select("node", "rows", "pivot", F.col("rows").alias("size"))
+    sizes = written(sizes.where("low < high").select("node", "rows", "pivot", F.col("rows").alias("size")), "node-sizes")
     return written(_named(members, sizes, "node", total, "inner"), "open-nodes")
 
 
@@ -211,7 +212,7 @@ def _in_nodes(open_: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
 
 
 def _with_pivots(open_: DataFrame, sets: DataFrame, total: int) -> DataFrame:
-    large = open_.where(F.col("size") > SMALL)
+    large = open_.where(F.col("size") > LEAF)
     pivots = large.groupBy("node", "pivot").agg(F.count("*").alias("rows"))
     pivots = pivots.join(sets.select(F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
     star = _named(large.select("node", "key").join(sets, "key"), pivots, "node", total, "inner")
@@ -252,13 +253,14 @@ def _against_blocks(every: bool):
 
 
 def _in_blocks(open_: DataFrame, sets: DataFrame, total: int, every: bool) -> DataFrame:
-    """Pairs of different components in nodes that stayed large, in blocks of about BLOCK sets.
+    """Pairs of different components in nodes of more than SMALL sets, in blocks of about BLOCK sets.
 
     A block of sets stands in memory, the sets of its own and the later blocks pass by. Nodes with equal
     members count once.
     """
+    open_ = open_.where(F.col("size") > SMALL).drop("size")
     once = open_.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("members"))
-    once = once.groupBy("size", "members").agg(F.min("node").alias("node")).select("node", F.col("size").alias("rows"))
+    once = written(once.groupBy("size", "members").agg(F.min("node").alias("node")).select("node", "size", F.col("size").alias("rows")), "block-nodes")
     rows = _named(open_, once, "node", total, "inner").join(sets, "key").withColumn("own", F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK)).cast("int"))
     kept = ["node", "key", "part", "n", "tokens"]
     own = rows.select(*kept, F.col("own").alias("block"), F.lit(0).alias("met"))
@@ -332,31 +334,27 @@ def linked(docs: DataFrame) -> DataFrame:
     bases = written(bases.select("key", "first.*", "rows"), "distinct-sets")
     links, sets = _Links(docs, bases), bases.select("key", "n", "tokens")
 
-    # what holds each node together
+    def pairs(nodes: DataFrame, every: bool) -> DataFrame:
+        return _in_nodes(nodes, sets, every).union(_in_blocks(nodes, sets, POOL * total, every))
+
+    # what holds each node together, level by level
     members = _children(sets.select("key", "tokens", F.col("key").alias("part")), 0).select("node", "key", "part")
-    opened = [_mixed(members, POOL * total)]
-    links.add(_in_nodes(opened[0], sets, False).union(_with_pivots(opened[0], sets, POOL * total)), every=False)
-    pairs = None
-    for level in range(1, LEVELS):
-        large = _mixed(links.part(opened[-1].where(F.col("size") > SMALL).select("node", "key")), POOL * total)
+    leaf, leaves = F.col("size") <= LEAF, []
+    for level in range(1, LEVELS + 1):
+        nodes = _mixed(members, POOL * total)
+        leaves.append(nodes.where(leaf).select("node", "key"))
+        links.add(pairs(nodes if level == LEVELS else nodes.where(leaf), False).union(_with_pivots(nodes, sets, POOL * total)), every=False)
+        large = nodes.where(~leaf).select("node", "key")
         if large.isEmpty():
             break
-        below = _children(large.select("node", "key", "part").join(sets, "key"), level).select("node", "key", "part").distinct()
-        opened.append(_mixed(below, POOL * total))
-        found = _in_nodes(opened[-1], sets, False).union(_with_pivots(opened[-1], sets, POOL * total))
-        pairs = found if pairs is None else pairs.union(found)
-    if pairs is not None:
-        links.add(pairs, every=False)
+        if level == LEVELS:
+            leaves.append(large)
+            break
+        large = _mixed(links.part(large), POOL * total).select("node", "key", "part")
+        members = written(_children(large.join(sets, "key"), level).select("node", "key", "part").distinct(), "members")
 
     # what may still link between components
-    small = [o.where(F.col("size") <= SMALL).select("node", "key") for o in opened]
-    small = written(links.part(reduce(DataFrame.union, small)), "small-nodes")
-    rest = _mixed(links.part(opened[-1].where(F.col("size") > SMALL).select("node", "key")), POOL * total)
-    pairs = _in_nodes(_mixed(small, POOL * total), sets, True)
-    links.add(pairs if rest.isEmpty() else pairs.union(_in_blocks(rest, sets, POOL * total, False)))
-    rest = _mixed(links.part(rest.select("node", "key")), POOL * total)
-    if not rest.isEmpty():
-        links.add(_in_blocks(rest, sets, POOL * total, True))
+    links.add(pairs(_mixed(links.part(reduce(DataFrame.union, leaves)), POOL * total), True))
 
     keys = links.part(bases.select("key", F.col("doc_id").alias("low"), "rows"))
     whole = keys.groupBy("part").agg(F.min("low").alias("component"), F.count("*").alias("rows"))
