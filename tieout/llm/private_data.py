@@ -3,16 +3,21 @@
 1. High-recall generators propose spans that may overlap: the four base patterns (also the matches
    that fail their checks) and looser ones. Only lengths, matches and a little context of each
    match leave the scan; a window sum over the gaps gives the positions.
-2. Each candidate has format and context features, all yes or no, as one bit vector. Base candidates
-   that pass or fail their checks are the examples. Spark counts both for every vector; those counts
-   (at most 2 ** FEATURES rows, exact over all rows) are all that the boosting of depth-two trees needs.
-3. The trees score all candidates as SQL expressions. The threshold is the lowest score from which on
-   the examples reach PRECISION. Base spans always stay; other candidates that reach the threshold
-   and overlap no earlier selected span are added.
+2. Each candidate has its kind and format and context features, all yes or no, as one bit vector.
+   Examples are weakly labelled: base kinds by their own checks; looser kinds fail by formats that are
+   never given out (check digits, area and group numbers, endings) or by a word before them that says
+   otherwise (version, order, price and the like), and pass by check digits, or by a sound format after
+   a word that says so. All others carry no label. Spark counts both labels for every vector; those counts
+   (exact over all rows; at most 2 ** len(FEATURES) * len(KINDS) rows, as a vector holds one kind) are all
+   that the boosting of depth-two trees needs.
+3. The trees score all candidates as SQL expressions. The threshold of a kind is the lowest score from
+   which on its own examples reach PRECISION; a kind without passing examples is held to the highest
+   threshold of any looser kind. Base spans always stay; a looser candidate that reaches its threshold is
+   added if it overlaps no base span and no looser span selected before it, from left to right.
 
 Defined cases: null and empty texts have no spans; spans are in code points of the whole text;
-repeated rows are read row by row; an empty table gives no row; without examples nothing is added;
-other columns are ignored.
+repeated rows are read row by row; an empty table gives no row; without passing examples of a looser kind
+nothing is added; patterns iterate, so runs of any length are read; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,22 +33,31 @@ from .common import written
 BASE = ("email", "ip", "card", "phone")
 #: Pattern of each generator, and a cheap test of the whole text. A run is only entered at its start or after a match.
 GENERATORS = {
-    "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@"),
+    "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     "ip": (r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
-    "spelled_email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|[\[(]dot[\])])\x20?[A-Za-z0-9-]+)+", r"[\[(]\x20?(?:at|AT)"),
+    "spelled_email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z0-9-]++)++", r"[\[(]\x20?(?:at|AT)"),
     "local_phone": (r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])", r"[0-9]{3}[\x20.-][0-9]{4}"),
     "national_id": (r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", r"[0-9]-[0-9]{2}-[0-9]"),
     "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}"),
 }
 KINDS = (*BASE, *(k for k in GENERATORS if k not in BASE))
+LOOSE = KINDS[len(BASE) :]
+#: Words right before a candidate that say what it is, by looser kind, and words that say it is something else.
+CUES = {
+    "spelled_email": "mail|contact|reach|write|at",
+    "local_phone": "phone|tel|telephone|call|fax|mobile|cell|contact",
+    "national_id": "ssn|social security|social security number|national id|taxpayer id|tin",
+    "account": "iban|account|acct|bank",
+}
+OTHERWISE = "version|release|build|price|usd|isbn|order|invoice|item|part|sku|model|serial|page|pages|ref|case|ticket|id"
 CONTEXT = 24
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 ROUNDS, RATE, L2, PRECISION = 24, 0.3, 1.0, 0.95
 FEATURES = (
     "at_sign", "plus", "three_dots", "brackets", "digits_10_15", "digits_14_19", "short", "one_run", "letters",
-    "glued_left", "glued_right", "cue", "assigned", "line_start",
+    "glued_left", "glued_right", "cue", "assigned", "line_start", "sound", "said_so", "said_otherwise",
 )
 
 
@@ -56,6 +70,15 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
+def mod97(match: Column) -> Column:
+    """Whether the check digits of an international account number hold."""
+    plain = F.replace(match, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))
+    code = lambda i: F.ascii(F.substr(turned, i, F.lit(1)))
+    step = lambda a, i: F.when(code(i) >= 65, a * 100 + code(i) - 55).otherwise(a * 10 + code(i) - 48) % 97
+    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
+
+
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): a written row of every document, and every candidate with start, end, match and context."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -83,7 +106,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def checked(spans: DataFrame) -> DataFrame:
-    """Adds ``valid`` (null for the looser kinds) and the feature vector ``bits``."""
+    """Adds ``valid`` (null for the looser kinds), the weak ``label`` and the feature vector ``bits``."""
     digits = F.regexp_replace("match", "[^0-9]", "")
     spans = spans.withColumn("digits", digits).withColumn("n", F.length("digits"))
     kind, n, match, left, right = (F.col(c) for c in ("kind", "n", "match", "left", "right"))
@@ -93,7 +116,25 @@ def checked(spans: DataFrame) -> DataFrame:
         .when(kind == "card", F.when(n.between(14, 19), luhn(F.col("digits"))).otherwise(False))
         .when(kind == "phone", n.between(10, 15))
     )
+    sound = (
+        F.when(kind == "spelled_email", match.rlike(r"[A-Za-z]{2,}$"))
+        .when(kind == "local_phone", match.rlike(r"^\(?[2-9][0-9]{2}\)?\x20?[\x20.-]?[2-9][0-9]{2}[\x20.-]") & ~match.rlike(r"555[\x20.-]01[0-9]{2}$"))
+        .when(kind == "national_id", ~match.rlike("^(?:000|666|9)|-00-|-0000$"))
+        .when(kind == "account", mod97(match))
+    )
+    said_so = F.lit(False)
+    for k, words in CUES.items():
+        said_so = F.when(kind == k, left.rlike(rf"(?i)\b(?:{words})(?:\x20(?:no|number|is|me|us|at|on))*\W{{0,4}}$")).otherwise(said_so)
+    said_otherwise = left.rlike(rf"(?i)\b(?:{OTHERWISE})(?:\x20(?:no|number|is))*\W{{0,4}}$") & ~said_so
+    label = (
+        F.when(kind.isin(*BASE), valid)
+        .when(~sound | said_otherwise, F.lit(False))
+        .when((kind == "account") | said_so, F.lit(True))
+    )
     features = {
+        "sound": sound,
+        "said_so": said_so,
+        "said_otherwise": said_otherwise,
         "at_sign": match.rlike(r"@|\b(?:at|AT)\b"),
         "plus": match.startswith("+"),
         "three_dots": F.length(match) - F.length(F.replace(match, F.lit("."), F.lit(""))) == 3,
@@ -109,8 +150,9 @@ def checked(spans: DataFrame) -> DataFrame:
         "assigned": left.rlike(r"[=:\"']\s*$"),
         "line_start": (left == "") | left.rlike(r"\n$"),
     }
-    bits = sum((F.coalesce(features[f], F.lit(False)).cast("int") * (1 << k) for k, f in enumerate(FEATURES[1:], 1)), F.coalesce(features[FEATURES[0]], F.lit(False)).cast("int"))
-    return spans.withColumn("valid", valid).withColumn("bits", bits).drop("digits", "n", "left", "right")
+    said = [*(features[f] for f in FEATURES), *(kind == k for k in KINDS)]
+    bits = sum((F.coalesce(x, F.lit(False)).cast("int") * (1 << k) for k, x in enumerate(said)), F.lit(0))
+    return spans.withColumn("valid", valid).withColumn("label", label).withColumn("bits", bits).drop("digits", "n", "left", "right")
 
 
 @dataclass
@@ -131,11 +173,35 @@ class Tree:
         return F.when(has(self.first), yes).otherwise(no)
 
 
+def cutoff(examples: list[tuple[float, int, int]]) -> float:
+    """The lowest score from which on rows (score, passed, failed) reach PRECISION; infinite if none does."""
+    passed_all = failed_all = 0
+    threshold = math.inf
+    order = sorted(examples, key=lambda x: -x[0])
+    for i, (score, passed, failed) in enumerate(order):
+        passed_all, failed_all = passed_all + passed, failed_all + failed
+        last = i + 1 == len(order) or order[i + 1][0] < score
+        if last and passed_all and passed_all >= PRECISION * (passed_all + failed_all):
+            threshold = score - 1e-9  # sums may differ in their last digit
+    return threshold
+
+
+def thresholds(trees: list[Tree], examples: list[tuple[int, int, int]]) -> dict[str, float]:
+    """The threshold of each looser kind, from its own examples or the strictest of the others."""
+    own = {}
+    for k, kind in enumerate(KINDS):
+        if kind in LOOSE:
+            bit = 1 << len(FEATURES) + k
+            own[kind] = cutoff([(sum(t.at(b) for t in trees), p, f) for b, p, f in examples if b & bit])
+    known = [x for x in own.values() if x < math.inf]
+    return {kind: x if x < math.inf else max(known, default=math.inf) for kind, x in own.items()}
+
+
 def boost(examples: list[tuple[int, int, int]]) -> tuple[list[Tree], float]:
-    """Trees and threshold from rows (bits, passed, failed), by Newton steps on the logistic loss."""
+    """Trees from rows (bits, passed, failed), by Newton steps on the logistic loss, and the threshold over all rows."""
     score = {bits: 0.0 for bits, _, _ in examples}
     trees: list[Tree] = []
-    k = range(len(FEATURES))
+    k = range(len(FEATURES) + len(KINDS))
 
     def sums(rows: list, feature: int) -> list[list[float]]:
         out = [[0.0, 0.0], [0.0, 0.0]]
@@ -163,31 +229,45 @@ def boost(examples: list[tuple[int, int, int]]) -> tuple[list[Tree], float]:
         trees.append(tree)
         for bits in score:
             score[bits] += tree.at(bits)
-    passed_all = failed_all = 0
-    threshold = math.inf
-    order = sorted(examples, key=lambda x: -score[x[0]])
-    for i, (bits, passed, failed) in enumerate(order):
-        passed_all, failed_all = passed_all + passed, failed_all + failed
-        last = i + 1 == len(order) or score[order[i + 1][0]] < score[bits]
-        if last and passed_all >= PRECISION * (passed_all + failed_all):
-            threshold = score[bits] - 1e-9  # sums may differ in their last digit
-    return trees, threshold
+    return trees, cutoff([(score[bits], passed, failed) for bits, passed, failed in examples])
+
+
+def _left_to_right(loose: DataFrame) -> DataFrame:
+    """Of overlapping spans the leftmost stays, then the next one clear of it: per run of overlapping spans, in order."""
+    before = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    runs = loose.withColumn("opens", (F.coalesce(F.max("end").over(before), F.lit(-1)) <= F.col("start")).cast("int")).withColumn("run", F.sum("opens").over(upto))
+    one = F.struct("start", (-F.col("score")).alias("less"), "kind", "end")
+    listed = runs.groupBy("row", "run").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    first = F.struct(F.lit(-1).cast("long").alias("upto"), F.slice("all", 1, 0).alias("kept"))
+    step = lambda a, x: F.when(
+        x["start"] >= a["upto"], F.struct(x["end"].alias("upto"), F.concat(a["kept"], F.array(x)).alias("kept"))
+    ).otherwise(a)
+    kept = listed.select("row", F.explode(F.aggregate("all", first, step)["kept"]).alias("x"))
+    return kept.select("row", "x.kind", "x.start", "x.end", F.lit(False).alias("base"), (-F.col("x.less")).alias("score"))
 
 
 def redactions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, selected): rows (row, doc_id), and rows (row, kind, start, end, base, score) of every selected span."""
     scan, spans = candidates(docs)
     spans = written(checked(spans), "spans")
-    counts = spans.where("valid is not null").groupBy("bits").agg(F.count_if("valid").alias("passed"), F.count_if(~F.col("valid")).alias("failed"))
-    trees, threshold = boost([tuple(r) for r in counts.orderBy("bits").collect()])  # at most 2 ** len(FEATURES) rows
+    counts = spans.where("label is not null").groupBy("bits").agg(F.count_if("label").alias("passed"), F.count_if(~F.col("label")).alias("failed"))
+    examples = [tuple(r) for r in counts.orderBy("bits").collect()]  # at most 2 ** len(FEATURES) * len(KINDS) rows
+    trees, _ = boost(examples)
     score = sum((t.column(F.col("bits")) for t in trees[1:]), trees[0].column(F.col("bits"))) if trees else F.lit(0.0)
-    base = F.coalesce("valid", F.lit(False))
-    able = spans.withColumn("score", score).withColumn("base", base).where(base | (F.col("valid").isNull() & (F.col("score") >= F.lit(threshold))))
-    before = Window.partitionBy("row").orderBy("start", F.col("base").desc(), F.col("score").desc(), "kind").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("row").orderBy("start", F.col("base").desc(), F.col("score").desc(), "kind").rowsBetween(1, Window.unboundedFollowing)
-    next_base = F.min(F.when(F.col("base"), F.col("start"))).over(after)
-    free = (F.coalesce(F.max("end").over(before), F.lit(-1)) <= F.col("start")) & (F.coalesce(next_base, F.col("end")) >= F.col("end"))
-    return scan, able.withColumn("free", free).where("base or free").select("row", "kind", "start", "end", "base", "score")
+    base = F.col("kind").isin(*BASE) & F.coalesce("valid", F.lit(False))
+    enough = F.lit(False)
+    for kind, least in thresholds(trees, examples).items():
+        enough = F.when(F.col("kind") == kind, F.col("score") >= F.lit(least)).otherwise(enough)
+    able = spans.withColumn("score", score).withColumn("base", base).where(base | enough).select("row", "kind", "start", "end", "base", "score")
+    order = ("start", F.col("base").desc(), "kind")
+    before = Window.partitionBy("row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("row").orderBy(F.col("start").desc(), "base", F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    last_base = F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(before), F.lit(-1))
+    next_base = F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(after), F.col("end"))
+    able = able.withColumn("clear", (last_base <= F.col("start")) & (next_base >= F.col("end")))
+    loose = _left_to_right(able.where("not base and clear"))
+    return scan, able.where("base").drop("clear").unionByName(loose)
 
 
 def op6_boosted_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
