@@ -1,6 +1,7 @@
 """Matching, break classes, merge, SCD2, hierarchy on hand-built rows."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -193,6 +194,40 @@ def test_hierarchy_reaches_every_level(spark):
     assert levels == set(range(130))
 
 
+def _walk(links):
+    """Level, root and path of every account reached from a root, one by one."""
+    parent, out = dict(links), {}
+    for code in parent:
+        path, seen = [code], {code}
+        while parent.get(path[-1]) is not None and parent[path[-1]] in parent and parent[path[-1]] not in seen:
+            path.append(parent[path[-1]])
+            seen.add(path[-1])
+        if parent[path[-1]] is None:
+            out[code] = (len(path) - 1, path[-1], "/".join(reversed(path)))
+    return out
+
+
+def test_hierarchy_of_random_forests_with_cycles_and_orphans(spark, monkeypatch):
+    rng = random.Random(5)
+    links = [(f"N{i:04d}", None if i % 50 == 0 else f"N{rng.randrange(i):04d}") for i in range(600)]
+    links += [(f"C{i:03d}", f"C{(i + 1) % 37:03d}") for i in range(37)] + [(f"B{i:03d}", f"B{i - 1:03d}" if i else "C005") for i in range(45)]
+    links += [("SELF", "SELF"), ("UNDER", "SELF"), ("LOST", "NOWHERE"), ("BELOW", "LOST")] + [(f"K{i:03d}", "N0000") for i in range(200)]
+    acc = spark.createDataFrame(links, "account_code STRING, parent_account_code STRING").repartition(5)
+    for hot in (100_000, 20):  # with and without salted parents
+        got = {r.account_code: (r.level, r.root_code, r.path) for r in balances.account_hierarchy(acc, hot).collect()}
+        assert got == _walk(links)
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    n, tables = 10_000, []
+    keep = balances.write_table
+    monkeypatch.setattr(balances, "write_table", lambda df, path: tables.append(df.columns) or keep(df, path))
+    acc = spark.range(n).selectExpr("concat('A', id) AS account_code", "IF(id = 0, NULL, concat('A', id - 1)) AS parent_account_code")
+    h = balances.account_hierarchy(acc)
+    assert h.agg({"level": "max"}).first()[0] == n - 1 and h.count() == n
+    assert sum("_piece" in c for c in tables) - 1 <= 16  # the first table is no round
+
+
 def test_cluster_without_shared_folder_is_refused():
     from types import SimpleNamespace
 
