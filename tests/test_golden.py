@@ -133,7 +133,7 @@ def test_alert_digest_split(spark):
     d = audit.alert_digest(runs, checks).first()
     assert d["above_count"] == 1 and d["below_count"] == 2
     assert "`control_account` — 12 breaks, $123,456.78 (FAIL)" in d["body"]
-    assert d["footer"] == "_(2 check(s) below the $10,000 threshold; see the dashboard for detail.)_"
+    assert d["footer"] == "_2 smaller check(s) stayed under the limit of $10,000 and are not listed._"
     assert d["headline"].startswith(":rotating_light:")
 
 

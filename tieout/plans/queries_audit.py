@@ -190,8 +190,8 @@ _DIGEST = """digest_lines AS (
                      THEN '*Material breaks (above threshold):*' || chr(10) || d.lines
                      ELSE '_No checks above the materiality threshold._' END AS body,
                 CASE WHEN coalesce(d.below_count, 0) > 0
-                     THEN '_(' || CAST(d.below_count AS VARCHAR) || ' check(s) below the $10,000 threshold; '
-                          || 'see the dashboard for detail.)_' END AS footer
+                     THEN '_' || CAST(d.below_count AS VARCHAR) || ' smaller check(s) stayed under the limit of '
+                          || '$10,000 and are not listed._' END AS footer
          FROM runs r LEFT JOIN digest_lines d ON d.run_id = r.run_id""", _DIGEST),
 )
 def alert_digest(spark, sf_dir):
