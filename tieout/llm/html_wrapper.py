@@ -5,7 +5,9 @@ aligned one after another into one wrapper: equal neighbours (also runs of two o
 repeated groups, blocks that one side lacks become optional, and text that differs becomes an open slot.
 Wrappers merge in tasks first, then by (host, salt), then by host, so a host with a third of all pages
 never stands in one task. The wrapper tells where the article stands (its path) and which texts are
-the same on all pages; every page is then read along its host's wrapper.
+the same on all pages; every page is then read along its host's wrapper. Headings that stand before the
+chosen block, beside it or one of its ancestors, belong to the article, and so do headings that all its pages
+share where what stands with them differs.
 
 Defined cases: a null or empty html has an empty text; a null or odd url is a host of its own;
 unclosed and stray tags are repaired; blocks are left out by tag and class words unless they hold
@@ -41,6 +43,9 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CELLS = frozenset("li td th dt dd option".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that keep a text of links only.
+LINKED = HEADINGS | {"p", "blockquote"}
 VOID = frozenset("br img wbr input hr meta link source area base col embed param track".split())
 #: Share of a page's open text from which a block is kept: a form or a word within a longer name; a name by itself,
 #: unless it holds what markup names as the article.
@@ -353,18 +358,29 @@ def _open_text(item: list, pages: int) -> int:
     return sum(_open_text(x, pages) for x in item[3])
 
 
-def _shared(items: list, pages: int, out: set[str]) -> None:
-    """Adds the texts that stand on each page."""
+def _is_heading(item: list) -> bool:
+    return item[0].split(".")[0] in HEADINGS
+
+
+def _shared(items: list, pages: int, out: set[str], kept: set[str]) -> None:
+    """Adds the texts that stand on each page; to ``kept`` those of headings beside text that differs."""
+    differs = sum(_open_text(x, pages) for x in items if not _is_heading(x)) > 0
     for item in items:
         if item[0] != "#t":
-            _shared(item[3], pages, out)
+            _shared(item[3], pages, kept if differs and _is_heading(item) else out, kept)
         elif item[6] >= pages:
             out.update(item[3])
 
 
+def _all_heading(item: list) -> bool:
+    """Whether all text of a block stands in headings, and there is some."""
+    inner = [x for x in item[3] if x[0] != "#t"]
+    return _is_heading(item) or len(inner) == len(item[3]) > 0 and all(_all_heading(x) for x in inner)
+
+
 def rule(top: list, pages: int) -> dict:
-    """Where the article stands: its path of keys, whether markup names it, and texts that all pages share
-    (of named articles those that no page lacks)."""
+    """Where the article stands: its path of keys, those of headings before it, whether markup names it, and texts
+    that all pages share (of named articles those that no page lacks)."""
     best: tuple = (0, 0, ())
     inside: list = []
     fixed: set[str] = set()
@@ -390,9 +406,12 @@ def rule(top: list, pages: int) -> dict:
         shared: set[str] = set()
         size = sum(_open_text(x, 0) for x in inside)
         if pages >= 3 and sum(_open_text(x, pages) for x in inside) >= 0.2 * size:  # not for pages that are copies of one
-            _shared(inside, pages, shared)
-        return {"path": best[2], "named": True, "fixed": sorted(shared)}
+            kept: set[str] = set()
+            _shared(inside, pages, shared, kept)
+            shared -= kept
+        return {"path": best[2], "heads": [], "named": True, "fixed": sorted(shared)}
     node, path = top, ()
+    heads: list[tuple] = []
     while True:
         own = _open_text(node, pages)
         inner, todo = [], list(node[3])
@@ -404,28 +423,42 @@ def rule(top: list, pages: int) -> dict:
                 inner.append((_open_text(x, pages), x))
         size, child = max(inner, key=lambda x: x[0], default=(0, None))
         if child is None or size < 0.7 * own or not own or child[2]:
-            return {"path": path, "named": False, "fixed": sorted(fixed)}
+            return {"path": path, "heads": heads, "named": False, "fixed": sorted(fixed)}
+        for x in node[3]:  # in page order
+            if x is child or x[0] == "#g" and any(y is child for y in x[3]):
+                break
+            if x[0][0] != "#" and not x[2] and x[0] != child[0] and _all_heading(x):
+                heads.append((*path, x[0]))
         node, path = child, (*path, child[0])
 
 
 def _blocks(element: Element, out: list[str], fixed: set[str], named: bool) -> None:
+    linked = named or element.tag in LINKED
     for child in element.children:
         if isinstance(child, tuple):
-            if _slot(child[0]) not in fixed and (named or child[1] < 0.8 * len(child[0])):
+            if _slot(child[0]) not in fixed and (linked or child[1] < 0.8 * len(child[0])):
                 out.append(child[0])
         elif not child.dropped:
             _blocks(child, out, fixed, named)
 
 
-def read(page: Element, where: dict) -> str:
-    """The blocks of the article, in page order."""
+def _found(page: Element, path: tuple) -> list[Element]:
     found = [page]
-    for key in where["path"]:
+    for key in path:
         found = [c for e in found for c in e.children if isinstance(c, Element) and not c.dropped and c.key == key]
-    out: list[str] = []
-    for element in found:
-        _blocks(element, out, set(where["fixed"]), where["named"])
-    return "\n".join(out)
+    return found
+
+
+def read(page: Element, where: dict) -> str:
+    """The blocks of the article, in page order; none where only headings are found."""
+    fixed, out = set(where["fixed"]), []
+    for element in _found(page, where["path"]):
+        _blocks(element, out, fixed, where["named"])
+    heads: list[str] = []
+    for path in where["heads"] if out else ():
+        for element in _found(page, path):
+            _blocks(element, heads, fixed, where["named"])
+    return "\n".join(heads + out)
 
 
 def main_text(html: str | None, where: dict | None) -> str:
