@@ -18,7 +18,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +47,7 @@ LINES64 = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}(?:{WRAP}[A-Za
 LINE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 GAP64 = re.compile(WRAP)
 MASK = "[SECRET]"
+OPENSSH = b"openssh-key-v1\0"
 
 
 def elements(data: bytes, begin: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -84,10 +87,9 @@ def is_der_key(data: bytes) -> bool:
 
 def openssh_size(data: bytes) -> int | None:
     """Bytes of the OpenSSH private-key container that ``data`` begins with."""
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    if not data.startswith(OPENSSH):
         return None
-    at = len(magic)
+    at = len(OPENSSH)
 
     def field() -> bool:
         nonlocal at
@@ -153,34 +155,80 @@ def der_size(data: bytes) -> int | None:
     return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 else None
 
 
+class _Lines:
+    """Base64 over lines, read at any byte without joining them."""
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self.text, self.spans = text, spans
+        sizes = (j - i - (text[i:j].endswith("=") and len(text[i:j]) - len(text[i:j].rstrip("="))) for i, j in spans)
+        self.upto = [0, *accumulate(sizes)]  # characters before each line, without padding
+
+    def joined(self, first: int, end: int) -> str:
+        return "".join(self.text[i:j] for i, j in self.spans[first:end])
+
+    def bytes_from(self, first: int) -> int:
+        return (self.upto[-1] - self.upto[first]) * 3 // 4
+
+    def read(self, first: int, at: int, n: int) -> bytes:
+        """``n`` bytes from byte ``at`` of what begins with line ``first``; fewer at the end."""
+        low = self.upto[first] + at // 3 * 4
+        high = min(self.upto[first] + -(-(at + n) // 3) * 4, self.upto[-1])
+        k, chars = bisect_right(self.upto, low) - 1, []
+        while low < high:
+            size = min(high, self.upto[k + 1]) - low
+            start = self.spans[k][0] + low - self.upto[k]
+            chars.append(self.text[start : start + size])
+            low, k = low + size, k + 1
+        got = "".join(chars)
+        return (from64(got[: len(got) - (len(got) % 4 == 1)]) or b"")[at % 3 : at % 3 + n]
+
+    def line_after(self, first: int, chars: int) -> int | None:
+        """The line that begins when just so many characters have passed."""
+        end = bisect_left(self.upto, self.upto[first] + chars)
+        return end if end < len(self.upto) and self.upto[end] == self.upto[first] + chars else None
+
+    def openssh_size(self, first: int) -> int | None:
+        """As ``openssh_size`` of all lines from ``first`` on, from the lengths alone."""
+        whole = self.bytes_from(first)
+        if self.read(first, 0, len(OPENSSH)) != OPENSSH:
+            return None
+        at, left, counted = len(OPENSSH), 3, False
+        while left:
+            at += 4 + int.from_bytes(self.read(first, at, 4), "big")
+            if at > whole:
+                return None
+            left -= 1
+            if not left and not counted:
+                keys, at, counted = int.from_bytes(self.read(first, at, 4), "big"), at + 4, True
+                if not 1 <= keys <= 16:
+                    return None
+                left = keys + 1
+        return at
+
+
 def wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
-    """Keys in base64 that runs over lines; the length in its first bytes tells the line that ends it."""
+    """Keys in base64 that runs over lines; the lengths in it tell the line that ends it, so that text is only joined
+    where a line ends just there."""
     for m in LINES64.finditer(text):
-        at, lines = m.start(), []
+        at, spans_ = m.start(), []
         while at < m.end() and (line := LINE64.match(text, at, m.end())):
-            lines.append(line.span())
+            spans_.append(line.span())
             gap = GAP64.match(text, line.end(), m.end())
             at = gap.end() if gap else m.end()
-        k = 0
-        while k < len(lines):
-            size, end = None, k
-            start = text[lines[k][0] : min(lines[k][1], lines[k][0] + 16)]
+        lines, k = _Lines(text, spans_), 0
+        while k < len(spans_):
+            size = None
+            start = text[spans_[k][0] : min(spans_[k][1], spans_[k][0] + 16)]
             if start.startswith("M"):  # 0x30, a DER sequence
                 size = der_size(from64(start) or b"")
             elif start.startswith("b3BlbnNzaC1rZXkt"):  # openssh-key-
-                whole = "".join(text[i:j].rstrip("=") for i, j in lines[k:])
-                size = openssh_size(from64(whole[: len(whole) - (len(whole) % 4 == 1)]) or b"")
-            if size:
-                left = -(-size * 4 // 3)
-                while end < len(lines) and left > 0:
-                    left -= len(text[slice(*lines[end])].rstrip("="))
-                    end += 1
-                data = from64("".join(text[i:j] for i, j in lines[k:end])) if left == 0 and end > k + 1 else None
-                if data and is_key(data):
-                    yield lines[k][0], lines[end - 1][1]
-                    k = end
-                    continue
-            k += 1
+                size = lines.openssh_size(k)
+            end = lines.line_after(k, -(-size * 4 // 3)) if size else None
+            if end and end > k + 1 and (data := from64(lines.joined(k, end))) and is_key(data):
+                yield spans_[k][0], spans_[end - 1][1]
+                k = end
+            else:
+                k += 1
 
 
 def spans(text: str | None) -> list[tuple[str, int, int]]:
