@@ -3,8 +3,8 @@
 `Ledger` takes a source of raw tables (the driver fixture, or Parquet written
 by `load_overwrite`) and exposes every staged, intermediate and mart frame.
 Frames read by several marts (staged GL, postings, both trial balances, the
-transaction-level mart) are persisted once so each is computed a single time
-per session; losing an executor only recomputes the lost blocks from lineage.
+transaction-level mart) are written once as Parquet tables, so each is computed
+a single time per session and a lost executor re-reads files.
 """
 
 from __future__ import annotations
