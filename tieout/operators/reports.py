@@ -98,14 +98,15 @@ def break_totals(detail: DataFrame) -> DataFrame:
     )
 
 
-def break_drill_sl(postings: DataFrame, docs: DataFrame) -> DataFrame:
-    """All sub-ledger postings of the selected document(s)."""
-    return postings.join(docs.select("source_doc_id"), "source_doc_id", "left_semi")
-
-
-def break_drill_gl(stg_gl: DataFrame, docs: DataFrame) -> DataFrame:
-    """All GL lines of the selected document(s)."""
-    return stg_gl.join(docs.select("source_doc_id"), "source_doc_id", "left_semi")
+def widest_document(postings: DataFrame, stg_gl: DataFrame) -> DataFrame:
+    """The document on both sides whose sums differ most on one account (a top-1 report)."""
+    keys = ["source_system", "source_doc_id", "account_code"]
+    sides = [
+        side.groupBy(*keys).agg(F.sum(F.col("credit_usd") - F.col("debit_usd")).alias(usd))
+        for side, usd in ((postings, "sl_usd"), (stg_gl, "gl_usd"))
+    ]
+    gap = F.abs(F.col("sl_usd") - F.col("gl_usd"))
+    return sides[0].join(sides[1], keys).orderBy(gap.desc(), *keys).limit(1).select("source_doc_id")
 
 
 def aging_by_priority(aging: DataFrame, spark: SparkSession) -> DataFrame:

@@ -98,6 +98,23 @@ class Ledger:
     def gl_tb(self) -> DataFrame:
         return self._get("gl_tb", lambda: balances.trial_balance(self.stg_gl()), persist=True)
 
+    # -------------------------------------------------------- document look-ups
+    def _by_document(self, name: str, table: Callable[[], DataFrame]) -> DataFrame:
+        from tieout.operators import drill
+        from tieout.plans.materialize import new_table_dir
+
+        def build():
+            path = f"{self.table_dir}/{name}" if self.table_dir else new_table_dir(self.spark, name)
+            return drill.lay_out(table(), path, table().count())
+
+        return self._get(name, build)
+
+    def postings_by_document(self) -> DataFrame:
+        return self._by_document("postings_by_document", self.postings)
+
+    def gl_by_document(self) -> DataFrame:
+        return self._by_document("gl_by_document", self.stg_gl)
+
     # ------------------------------------------------------------------- marts
     def matched(self) -> DataFrame:
         return self._get("matched", lambda: matching.match_transactions(self.postings(), self.stg_gl()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tieout.operators import reports
+from tieout.operators import drill, reports
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
 from tieout.plans.oracle_sql import q
@@ -107,34 +107,35 @@ def break_totals(spark, sf_dir):
     return reports.break_totals(_detail(spark, sf_dir))
 
 
+# the document whose sides differ most on one account, by sums alone (no line-by-line match to find one document)
 _TOP_DOC = """top_doc AS MATERIALIZED (
-  SELECT source_doc_id FROM txn_level
-  WHERE status = 'BREAK' AND sl_amount_usd IS NOT NULL AND gl_amount_usd IS NOT NULL
-  ORDER BY abs(coalesce(amount_delta_usd, 0)) DESC, source_system, source_doc_id, account_code,
-           posting_role NULLS FIRST, journal_id NULLS FIRST, journal_line_id NULLS FIRST
+  SELECT s.source_doc_id
+  FROM (SELECT source_system, source_doc_id, account_code, sum(credit_usd - debit_usd) AS usd
+        FROM postings GROUP BY source_system, source_doc_id, account_code) s
+  JOIN (SELECT source_system, source_doc_id, account_code, sum(credit_usd - debit_usd) AS usd
+        FROM stg_gl GROUP BY source_system, source_doc_id, account_code) g
+    ON g.source_system = s.source_system AND g.source_doc_id = s.source_doc_id AND g.account_code = s.account_code
+  ORDER BY abs(s.usd - g.usd) DESC, s.source_system, s.source_doc_id, s.account_code
   LIMIT 1
 )"""
 
 
 def _top_doc(spark, sf_dir):
-    from tieout.operators.audit import evidence_txn_breaks
-
-    both = L(spark, sf_dir).txn_level().filter("sl_amount_usd IS NOT NULL AND gl_amount_usd IS NOT NULL")
-    return evidence_txn_breaks(both, 1).select("source_doc_id")
+    return reports.widest_document(L(spark, sf_dir).postings(), L(spark, sf_dir).stg_gl())
 
 
-@register("break_drill_sl", q("SELECT p.* FROM postings p SEMI JOIN top_doc d ON d.source_doc_id = p.source_doc_id",
+@register("break_drill_sl", q("SELECT p.* FROM postings p WHERE p.source_doc_id = (SELECT source_doc_id FROM top_doc)",
                               _TOP_DOC))
 def break_drill_sl(spark, sf_dir):
-    """Sub-ledger postings of the document with the largest break that has both sides."""
-    return reports.break_drill_sl(L(spark, sf_dir).postings(), _top_doc(spark, sf_dir))
+    """Sub-ledger postings of the document whose sides differ most."""
+    return drill.drill(L(spark, sf_dir).postings_by_document(), _top_doc(spark, sf_dir))
 
 
-@register("break_drill_gl", q("SELECT g.* FROM stg_gl g SEMI JOIN top_doc d ON d.source_doc_id = g.source_doc_id",
+@register("break_drill_gl", q("SELECT g.* FROM stg_gl g WHERE g.source_doc_id = (SELECT source_doc_id FROM top_doc)",
                               _TOP_DOC))
 def break_drill_gl(spark, sf_dir):
-    """GL lines of the document with the largest break that has both sides."""
-    return reports.break_drill_gl(L(spark, sf_dir).stg_gl(), _top_doc(spark, sf_dir))
+    """GL lines of the document whose sides differ most."""
+    return drill.drill(L(spark, sf_dir).gl_by_document(), _top_doc(spark, sf_dir))
 
 
 @register(
