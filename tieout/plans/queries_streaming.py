@@ -10,7 +10,7 @@ from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
 from tieout.plans.materialize import new_table_dir
 from tieout.plans.oracle_sql import q
-from tieout.streaming import gl_stream
+from tieout.streaming import gl_state
 
 _RUNS: dict[tuple[int, str], tuple[str, str]] = {}
 
@@ -26,18 +26,18 @@ def _run_stream(spark, sf_dir):
         latest_ts = raw.agg(F.max("ingested_at")).first()[0]
         raw.filter(F.col("ingested_at") == latest_ts).repartition(3).write.mode("append").parquet(src)
         raw.filter(F.col("ingested_at") < latest_ts).repartition(2).write.mode("append").parquet(src)
-        landing, daily = os.path.join(root, "landing"), os.path.join(root, "daily")
-        qry = gl_stream.stream_gl(spark, src, landing, daily, os.path.join(root, "_checkpoint"),
-                                  available_now=True, max_files_per_trigger=1)
+        changes, daily = os.path.join(root, "changes"), os.path.join(root, "daily")
+        qry = gl_state.stream_gl_state(spark, src, changes, daily, os.path.join(root, "_checkpoint"),
+                                       available_now=True, max_files_per_trigger=1)
         qry.awaitTermination()
-        _RUNS[key] = (landing, daily)
+        _RUNS[key] = (changes, daily)
     return _RUNS[key]
 
 
 @register("stream_gl_dedup", q("SELECT * FROM stg_gl"))
 def stream_gl_dedup(spark, sf_dir):
-    landing, _ = _run_stream(spark, sf_dir)
-    return gl_stream.staged_gl_from_landing(spark, landing)
+    changes, _ = _run_stream(spark, sf_dir)
+    return gl_state.staged_gl(spark, changes)
 
 
 @register(
@@ -46,4 +46,4 @@ def stream_gl_dedup(spark, sf_dir):
 )
 def stream_trial_balance(spark, sf_dir):
     _, daily = _run_stream(spark, sf_dir)
-    return gl_stream.daily_table(spark, daily)
+    return gl_state.daily_table(spark, daily)
