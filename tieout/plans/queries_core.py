@@ -8,7 +8,7 @@ from tieout.operators import balances, marts, postings, staging
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger
 from tieout.plans.oracle_sql import FRESH_AS_OF, q
-from tieout.sources import files
+from tieout.sources import files, footers
 from tieout.sources.fixtures import fixture
 from tieout.sources.schemas import DATA_FEEDS
 
@@ -37,7 +37,7 @@ def scan_raw_table(spark, sf_dir):
 )
 def table_row_counts(spark, sf_dir):
     led = L(spark, sf_dir)
-    return files.table_row_counts(spark, {t: led.raw(t) for t in _RAW_DATA_TABLES})
+    return footers.row_counts(spark, {t: led.raw(t) for t in _RAW_DATA_TABLES})
 
 
 @register(
@@ -61,10 +61,16 @@ _FRESH_SQL = " UNION ALL ".join(
 )
 
 
+def _newest(led, tables):
+    """The newest ingestion time of each feed, from footers, as a one-row frame that the checks read."""
+    newest = footers.newest_times(led.spark, {t: led.raw(t) for t in tables}).persist()
+    return {t: newest.filter(F.col("table_name") == t) for t in tables}
+
+
 @register("source_freshness", q(_FRESH_SQL))
 def source_freshness(spark, sf_dir):
     led = L(spark, sf_dir)
-    return files.source_freshness({t: led.raw(t) for t in _RAW_DATA_TABLES}, led.params.freshness_as_of)
+    return files.source_freshness(_newest(led, _RAW_DATA_TABLES), led.params.freshness_as_of)
 
 
 @register(
@@ -81,7 +87,7 @@ def source_freshness(spark, sf_dir):
 )
 def gl_freshness_check(spark, sf_dir):
     led = L(spark, sf_dir)
-    return files.gl_freshness_check(led.raw("gl_journal"), led.params.freshness_as_of)
+    return files.gl_freshness_check(_newest(led, ["gl_journal"])["gl_journal"], led.params.freshness_as_of)
 
 
 @register(

@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # lets a join on (key, seq) reuse a partitioning on key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # times with minima and maxima in the footers (INT96, the default, has none)
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
