@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tieout.operators import audit, history, matching
+from tieout.operators import audit, audit_log, history, matching
 from tieout.plans import checks, storage
 from tieout.plans.ledger import Ledger, RunParams, seed_frames
 from tieout.plans.materialize import write_table
@@ -178,7 +178,8 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
                 start_event, chk, now(), cfg.manifest_hash, os.path.join(cfg.warehouse, "evidence", name))
             final.write.mode("append").parquet(runs_path)
             check_events = _append(check_events, os.path.join(audit_dir, "recon_check_results"))
-            latest = audit.latest_runs(spark.read.parquet(runs_path).filter(F.col("run_id") == run_id))
+            latest = audit_log.latest_events(spark, runs_path, ["run_id"], start_event.schema).filter(
+                F.col("run_id") == run_id)
             mine = check_events.filter(F.col("run_id") == run_id)
             write_table(audit.alert_digest(latest, mine, cfg.alert_threshold_usd),
                         os.path.join(cfg.warehouse, "out", "alert_digest"))
@@ -197,6 +198,8 @@ def run(spark: SparkSession, cfg: JobConfig, raw_tables: Mapping[str, DataFrame]
         log = spark.read.parquet(runs_path).filter(F.col("run_id") == run_id)
         _append(audit.audit_mark_error(log, run_row, f"{type(exc).__name__}: {exc}", now()), runs_path)
         raise
+    # after the run's last event: a compaction that fails changes neither its state nor the log
+    audit_log.compact(spark, runs_path, ["run_id"], start_event.schema)
     return RunResult(run_id, led, seconds, layers, status)
 
 

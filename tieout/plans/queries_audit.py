@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tieout.operators import audit, reports
+from tieout.operators import audit, audit_log, reports
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
+from tieout.plans.materialize import new_table_dir
 from tieout.plans.session import ensure_checkpoint_dir
 from tieout.plans.oracle_sql import RECON_AT, q
 from tieout.sources.schemas import DATA_FEEDS
@@ -124,6 +125,18 @@ def audit_finalize(spark, sf_dir):
     return L(spark, sf_dir).audit_runs()
 
 
+@register("audit_finalize_compacted", A("SELECT * FROM runs"))
+def audit_finalize_compacted(spark, sf_dir):
+    """Latest state read from a stored log: start events in a snapshot, final events in the tail."""
+    events = L(spark, sf_dir).run_events()
+    log = os.path.join(new_table_dir(spark, "audit-log"), "recon_runs")
+    for seq in (1, 2):
+        events.filter(F.col("event_seq") == seq).coalesce(1).write.mode("append").parquet(log)
+        if seq == 1:
+            audit_log.compact(spark, log, ["run_id"], events.schema, due=1)
+    return audit_log.latest_events(spark, log, ["run_id"], events.schema)
+
+
 @register("audit_finalize_checks", A("SELECT *, CAST(2 AS BIGINT) AS event_seq FROM checks"))
 def audit_finalize_checks(spark, sf_dir):
     """Check events appended twice (finalize run twice): the latest view keeps one row per check."""
