@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tieout.operators import postings, quality
+from tieout.operators import postings, quality, unique
 from tieout.plans import checks
 from tieout.plans.catalog import register
 from tieout.plans.ledger import fixture_ledger as L
@@ -26,6 +26,16 @@ def dq_unique(spark, sf_dir):
     return quality.dq_unique(L(spark, sf_dir).raw("gl_journal"), "journal_id")
 
 
+@register(
+    "dq_unique_sketched",
+    q("""SELECT source_doc_id, CAST(count(*) AS BIGINT) AS n_records FROM stg_gl
+         WHERE source_doc_id IS NOT NULL GROUP BY source_doc_id HAVING count(*) > 1"""),
+)
+def dq_unique_sketched(spark, sf_dir):
+    """Documents with several GL lines: repeats are common here, so the plain count takes over beyond its bound."""
+    return unique.dq_unique_sketched(L(spark, sf_dir).stg_gl(), "source_doc_id")
+
+
 @register("dq_accepted_values", q("SELECT * FROM stg_gl WHERE source_system NOT IN ('AP', 'AR', 'INV')"))
 def dq_accepted_values(spark, sf_dir):
     return quality.dq_accepted_values(L(spark, sf_dir).stg_gl(), "source_system", ["AP", "AR", "INV"])
@@ -51,6 +61,16 @@ def dq_expression_is_true(spark, sf_dir):
     return quality.dq_expression_is_true(L(spark, sf_dir).txn_level(), "abs(amount_delta_usd) <= amount_tolerance_usd")
 
 
+@register(
+    "dq_unique_combination_sketched",
+    q("""SELECT journal_id, journal_line_id, CAST(count(*) AS BIGINT) AS n_records FROM raw_gl_journal
+         GROUP BY journal_id, journal_line_id HAVING count(*) > 1"""),
+)
+def dq_unique_combination_sketched(spark, sf_dir):
+    """Replayed GL lines found through the sketch: few of many keys repeat."""
+    return unique.dq_unique_combination_sketched(L(spark, sf_dir).raw("gl_journal"), ["journal_id", "journal_line_id"])
+
+
 @register(
     "dq_unique_combination",
     q("""SELECT journal_id, journal_line_id, CAST(count(*) AS BIGINT) AS n_records FROM raw_gl_journal
