@@ -420,7 +420,8 @@ def write_tables_csv(spark, sf_dir):
 
     led = L(spark, sf_dir)
     folder = _scratch(spark, "csv-export")
-    files.write_tables_csv({t: led.raw(t) for t in _IO_TABLES}, folder, fixture(spark, sf_dir).breaks_log())
+    files.write_tables_csv(
+        {t: led.feed(t) for t in _IO_TABLES}, folder, fixture(spark, sf_dir).breaks_log(), compression="gzip")
     parts = []
     for name in [f"raw__{t}.csv" for t in _IO_TABLES] + ["_breaks_log.csv"]:
         back = spark.read.option("header", True).csv(os.path.join(folder, name))
@@ -446,7 +447,7 @@ def scan_csv_dir(spark, sf_dir):
     """CSV round trip of all eight feeds: export, scan the folder back with declared types."""
     led = L(spark, sf_dir)
     folder = _scratch(spark, "csv-dir")
-    files.write_tables_csv({t: led.raw(t) for t in _IO_TABLES}, folder)
+    files.write_tables_csv({t: led.feed(t) for t in _IO_TABLES}, folder, compression="gzip")
     back = files.scan_csv_dir(spark, folder)
     out = None
     for t in _IO_TABLES:
@@ -471,4 +472,4 @@ def load_overwrite(spark, sf_dir):
     """Bulk load (overwrite) of the feeds into a raw warehouse; counts of what landed."""
     led = L(spark, sf_dir)
     wh = _scratch(spark, "raw-load")
-    return files.load_overwrite(spark, {t: led.raw(t) for t in _IO_TABLES}, wh, led.params.recon_at)
+    return files.load_overwrite(spark, {t: led.feed(t) for t in _IO_TABLES}, wh, led.params.recon_at)
