@@ -58,3 +58,21 @@ def test_hot_document_is_cut(spark, tmp_path):
     assert drill.look_up(table, ["HOT"]).count() == 10_000
     empty = drill.lay_out(lines.limit(0), str(tmp_path / "none"), 0)
     assert drill.look_up(empty, ["HOT"]).count() == 0
+
+
+def test_lay_out_shuffles_nothing(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refused(*_):
+        raise AssertionError("lines were shuffled")
+
+    lines = spark.range(4_000).select(F.concat(F.lit("D"), (F.col("id") % 900).cast("string")).alias("source_doc_id"), "id")
+    monkeypatch.setattr(DataFrame, "repartitionByRange", refused)
+    monkeypatch.setattr(DataFrame, "repartition", refused)
+    table = drill.lay_out(lines, str(tmp_path / "t"), 4_000, page_rows=50)
+    assert _rows(drill.look_up(table, ["D7"])) == _rows(lines.filter("source_doc_id = 'D7'"))
+    in_order = table.withColumn("at", F.monotonically_increasing_id()).withColumn("file", F.input_file_name())
+    files = {}
+    for r in in_order.orderBy("at").collect():
+        files.setdefault(r["file"], []).append(r[drill.HASH])
+    assert all(x == sorted(x) for x in files.values())
