@@ -127,3 +127,21 @@ def test_replaced_feed_is_built_anew_and_a_lost_run_changes_nothing(spark, feeds
     gl.limit(100).write.mode("overwrite").parquet(os.path.join(raw, "gl_journal"))
     assert kept.run().rebuilt
     check(kept)
+
+
+def test_only_lines_of_new_keys_are_settled_again(spark, feeds, monkeypatch):
+    frames, raw, state = feeds
+    gl = frames["gl_journal"]
+    is_late = F.xxhash64(*gl.columns) % 50 == 0
+    append(raw, "gl_journal", gl.where(~is_late))
+    settled = []
+    monkeypatch.setattr(I, "stg_gl_journal", lambda df: settled.append(df.count()) or stg_gl_journal(df))
+    kept = I.IncrementalLedger(spark, raw, state, range_rows=1_500)
+    kept.run()
+    late = gl.where(is_late).unionByName(gl.where(F.xxhash64(*gl.columns) % 90 == 1))  # new lines and repeats, over all ranges
+    append(raw, "gl_journal", late)
+    kept.run()
+    assert max(settled) <= 3 * late.count()
+    want = stg_gl_journal(gl)
+    assert rows(kept.stg_gl()) == rows(want)
+    assert rows(kept.trial_balance("gl")) == rows(trial_balance(want))

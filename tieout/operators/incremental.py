@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tieout.functions.columns import money_sum
+from tieout.operators import replays
 from tieout.operators.balances import TB_KEYS
 from tieout.operators.postings import subledger_postings
 from tieout.operators.staging import GL_KEYS, GL_STAGED_COLUMNS, stage, stg_gl_journal
+from tieout.operators.unique import _position
 from tieout.plans import storage
 from tieout.sources.schemas import raw_schema
 
@@ -126,10 +128,10 @@ class IncrementalLedger:
         """Writes new parts (by the column `part`, or one) and names them; those of the same name go out of force."""
         path = os.path.join(self.dir, "data", f"{table}-{uuid.uuid4().hex}")
         if part is not None:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
             self.state.parts[table, part] = path
             return self.spark.read.schema(df.schema).parquet(path)
-        df.withColumn("_folder", F.col("part")).write.partitionBy("_folder").parquet(path)
+        df.withColumn("_folder", F.col("part")).write.option("compression", "zstd").partitionBy("_folder").parquet(path)
         for name in storage.names(self.spark, path):
             if name.startswith("_folder="):
                 self.state.parts[table, name.removeprefix("_folder=")] = os.path.join(path, name)
@@ -188,19 +190,22 @@ class IncrementalLedger:
 
     def _stage_gl(self, raw: DataFrame) -> DataFrame:
         """Keep-latest of the new lines and the ranges they fall into; returns the signed changes."""
-        fresh = stg_gl_journal(raw)
-        schema = fresh.withColumn("part", F.lit(0)).schema
         if not self.state.lows:
-            rows = raw.count()
+            fresh, rows = replays.staged_gl(raw), raw.count()
             return self._deal(fresh, max(1, -(-rows // self.range_rows)), 0).drop("part").withColumn("sign", F.lit(1))
         # the newest copy of each new key; small beside the table, and read several times
-        fresh = self._write(fresh.withColumn("part", self._range()), "new", "new")
+        fresh = self._write(stg_gl_journal(raw).withColumn("part", self._range()), "new", "new")
         self._drop("new", ["new"])
         touched = [r[0] for r in fresh.select("part").distinct().collect()]
-        old = self._table("gl", schema, map(str, touched), count=True)
-        latest = stg_gl_journal(old.drop("part", "net_amount_usd").unionByName(fresh.drop("part", "net_amount_usd")))
+        old = self._table("gl", fresh.schema, map(str, touched), count=True)
+        # lines whose key may be new are settled with the new lines; the others are copied where they are
+        bits = replays.MARK_BITS
+        marks, on = replays.marked(fresh.select(_position(GL_KEYS, bits).alias("position")), bits)
+        hit = old.join(marks, on, "left_semi")
+        latest = stg_gl_journal(hit.drop("part", "net_amount_usd").unionByName(fresh.drop("part", "net_amount_usd")))
+        settled = latest.withColumn("part", self._range()).repartition("part", F.pmod(F.hash(*GL_KEYS), F.lit(8)))
         self._drop("gl", touched)
-        written = self._write(latest.withColumn("part", self._range()).repartition("part", F.pmod(F.hash(*GL_KEYS), F.lit(8))), "gl")
+        written = self._write(settled.unionByName(old.join(marks, on, "left_anti")), "gl")
         for r in written.groupBy("part").count().where(F.col("count") > 2 * self.range_rows).collect():
             low = self.state.lows.pop(r["part"])
             self._drop("gl", [r["part"]])
@@ -208,11 +213,14 @@ class IncrementalLedger:
             self._deal(written.where(F.col("part") == r["part"]), -(-r["count"] // self.range_rows), first)
             lowest = min(k for k in self.state.lows if k >= first)
             self.state.lows[lowest] = low  # keys between the old low and the lowest now belong here too
-        on = [old[k].eqNullSafe(fresh[k]) for k in GL_KEYS]
-        gone = old.join(fresh.select(*GL_KEYS), on[0] & on[1], "left_semi").drop("part").withColumn("sign", F.lit(-1))
         keys = fresh.select(*GL_KEYS)
-        come = written.join(keys, written[GL_KEYS[0]].eqNullSafe(keys[GL_KEYS[0]]) & written[GL_KEYS[1]].eqNullSafe(keys[GL_KEYS[1]]), "left_semi")
-        return gone.unionByName(come.drop("part").withColumn("sign", F.lit(1)))
+
+        def of_new_keys(lines: DataFrame) -> DataFrame:
+            same = [lines[k].eqNullSafe(keys[k]) for k in GL_KEYS]
+            return lines.join(keys, same[0] & same[1], "left_semi").drop("part")
+
+        gone, come = of_new_keys(hit), of_new_keys(written.join(marks, on, "left_semi"))
+        return gone.withColumn("sign", F.lit(-1)).unionByName(come.withColumn("sign", F.lit(1)))
 
     # ---------------------------------------------------------- trial balances
     def _balance(self, side: str, lines: DataFrame) -> None:

@@ -97,7 +97,7 @@ def _kept(spark, sf_dir):
         for late in (False, True):
             for t, df in feeds.items():
                 is_late = F.xxhash64(*df.columns) % 50 == 0
-                df.where(is_late if late else ~is_late).write.mode("append").parquet(os.path.join(root, "raw", t))
+                df.where(is_late if late else ~is_late).write.mode("append").option("compression", "zstd").parquet(os.path.join(root, "raw", t))
             kept.run()
         _KEPT.clear()
         _KEPT[id(spark), sf_dir] = kept
