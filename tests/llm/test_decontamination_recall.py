@@ -66,3 +66,35 @@ def test_words_of_scripts():
     n = lambda t: len(decontamination.words(t))
     assert [n(x) for x in ("a bc é", "日本語abc、です。", "ไทย", "한국어 말", "𠀀𠀁", "ａｂ！ｃ", "naïve—x", "Tiếng Việt")] == [3, 6, 3, 2, 2, 2, 1, 2]
     assert decontamination.words("日本").tolist() == decontamination.words("日 本").tolist()
+
+
+def test_basis_takes_every_passage(spark, monkeypatch):
+    """The passages that the basis is fitted on are all those of the documents, and its span is that of a plain SVD."""
+    import numpy as np
+
+    rng = random.Random(9)
+    topics = [[f"t{a}w{b}" for b in range(40)] for a in range(6)]
+    docs = [(k, " ".join(rng.choices(topics[k % 6], k=3_200 + k))) for k in range(220)]  # some 23,000 passages
+    bench = spark.createDataFrame([(1, " ".join(topics[0][:12]))], "item_id long, text string")
+    seen = []
+    whole = decontamination.basis
+
+    def fitted_on(passages, idf):
+        seen.append((passages.collect(), idf, whole(passages, idf)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(decontamination, "basis", fitted_on)
+    decontamination.fitted(spark.createDataFrame([*docs, (None, None), (8, "")], "doc_id long, text string").repartition(5), bench)
+    (rows, idf, table), = seen
+    assert sorted(r["text"] for r in rows if r["scale"] == 1.0 and r["text"]) == sorted(t for _, t in docs)
+    used = np.unique(decontamination.terms(decontamination.words(" ".join(w for x in topics for w in x))))
+    vectors = []
+    for r in rows:
+        t = np.searchsorted(used, decontamination.terms(decontamination.words(r["text"])))
+        for k in range(0, len(t), decontamination.PASSAGE):
+            v = np.bincount(t[k : k + decontamination.PASSAGE], minlength=len(used)) * idf[used]
+            vectors.append(v * (r["scale"] / np.sqrt((v * v).sum())))
+    a = np.array(vectors)
+    kept = ((a @ table[used]) ** 2).sum()
+    best = (np.linalg.svd(a, compute_uv=False)[: decontamination.RANK] ** 2).sum()
+    assert 0.9 * best <= kept <= 1.001 * best

@@ -4,9 +4,8 @@
    scripts without spaces) are hashed into TERMS terms; Spark counts in how many passages of every document each term occurs.
 2. A randomised SVD of the TF-IDF passages, as Spark jobs: A'AG for a seeded Gaussian G is summed in blocks of
    terms and orthonormalised, a second pass sums the small Gram matrix, whose eigenvectors turn the
-   basis. Only this basis is fitted on a bounded sample (SAMPLE passages, by hash of the id, and every
-   benchmark item, which weigh BENCHMARK_SHARE together); it is an index. Frequencies, search and checks
-   take every word of every text.
+   basis. It takes every passage of every document and every benchmark item; the items weigh
+   BENCHMARK_SHARE together.
 3. Search: sliding windows of every document, fitted to the items' lengths, against every item. The latent
    product with an item, in units of the item's product with itself, estimates the share of the item's weight
    that stands in the window; from REACH on it is a candidate, that is from a cosine of
@@ -44,7 +43,7 @@ TERMS, RANK, OVER, BLOCK = 1 << 16, 64, 16, 1024
 FITTED = ((16, 4, 13), (24, 8, 17), (32, 8, 25), (48, 8, 41), (64, 16, 49), (80, 16, 65))
 #: Words of a passage of the basis; words and windows of a document that are looked up at once.
 PASSAGE, ROWS = 32, 1 << 13
-SAMPLE, SEED, ITEMS, BENCHMARK_SHARE = 20_000, 7, 4096, 0.8
+SEED, ITEMS, BENCHMARK_SHARE = 7, 4096, 0.8
 #: Common subsequence that settles a leak; one that needs the answer; share of the answer.
 SURE, MIDDLING, ANSWER = 0.7, 0.5, 0.8
 #: Items with fewer words leak where all their words stand in a row.
@@ -156,16 +155,43 @@ def _gaussian() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((TERMS, RANK + OVER), dtype=np.float32)
 
 
-def _rows(batch: pa.RecordBatch, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(term, weight) of each passage, of length ``scale``."""
-    for text, scale in zip(batch.column("text"), batch.column("scale").to_pylist(), strict=True):
-        t = terms(words(text.as_py()))
-        for k in range(0, len(t), PASSAGE):
-            own, times = np.unique(t[k : k + PASSAGE], return_counts=True)
-            weight = (times * idf[own]).astype(np.float32)
-            size = float(np.sqrt((weight * weight).sum()))
-            if size:
-                yield own, weight * (scale / size)
+def _weighted(held: list[np.ndarray], scales: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, weights) of passages, a row each of its own scale as length; a term that repeats in a row has its weight once."""
+    term = np.sort(np.concatenate(held).reshape(-1, PASSAGE), axis=1)
+    first = np.ones(term.shape, bool)
+    first[:, 1:] = term[:, 1:] != term[:, :-1]
+    at, weight = np.flatnonzero(first), np.zeros(term.shape, np.float32)
+    weight.ravel()[at] = np.add.reduceat(idf[term].ravel(), at)
+    size = np.sqrt((weight * weight).sum(axis=1))
+    weight *= (np.concatenate(scales) / np.where(size > 0, size, 1))[:, None]
+    return np.where(term < TERMS, term, 0), weight
+
+
+def _rows(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All passages of rows (text, scale), some ROWS words at a time; the last one of a text is filled up with weight 0."""
+    idf = np.append(idf, np.float32(0))
+    held, scales, n = [], [], 0
+    for batch in batches:
+        for text, scale in zip(batch.column("text"), batch.column("scale").to_pylist(), strict=True):
+            t = terms(words(text.as_py()))
+            for k in range(0, len(t), ROWS):
+                own = t[k : k + ROWS]
+                rows = -(-len(own) // PASSAGE)
+                filled = np.full(rows * PASSAGE, TERMS, np.int64)
+                filled[: len(own)] = own
+                held.append(filled)
+                scales.append(np.full(rows, scale, np.float32))
+                n += len(filled)
+                if n >= ROWS:
+                    yield _weighted(held, scales, idf)
+                    held, scales, n = [], [], 0
+    if held:
+        yield _weighted(held, scales, idf)
+
+
+def _projected(term: np.ndarray, weight: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The passages in the columns of ``table``."""
+    return np.matmul(weight[:, None, :], table[term])[:, 0, :]
 
 
 def orthonormal(columns: np.ndarray) -> np.ndarray:
@@ -175,20 +201,23 @@ def orthonormal(columns: np.ndarray) -> np.ndarray:
     return columns @ (vectors * scale).astype(np.float32)
 
 
-def basis(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
+def basis(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
     """TERMS x RANK right singular vectors of the TF-IDF passages of rows (text, scale)."""
-    spark = sample.sparkSession
+    spark = passages.sparkSession
     shared_idf = spark.sparkContext.broadcast(idf)
 
     def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, total = _gaussian(), np.zeros((TERMS, RANK + OVER), np.float32)
-        for batch in batches:
-            for own, weight in _rows(batch, shared_idf.value):
-                total[own] += np.outer(weight, weight @ g[own])
+        for term, weight in _rows(batches, shared_idf.value):
+            y = _projected(term, weight, g)
+            order = np.argsort(term, axis=None, kind="stable")
+            own = term.ravel()[order]
+            starts = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[starts]] += np.add.reduceat(weight.ravel()[order][:, None] * y[order // PASSAGE], starts, axis=0)
         del g
         yield from _blocked(total)
 
-    stretched = _summed(sample.mapInArrow(stretch, "block int, data binary"), "<f4")
+    stretched = _summed(passages.mapInArrow(stretch, "block int, data binary"), "<f4")
     if not stretched.size or not np.abs(stretched).max():
         return np.zeros((TERMS, RANK), np.float32)
     q = orthonormal(stretched.reshape(TERMS, RANK + OVER))
@@ -196,15 +225,13 @@ def basis(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((RANK + OVER, RANK + OVER))
-        for batch in batches:
-            ys = [weight @ shared_q.value[own] for own, weight in _rows(batch, shared_idf.value)]
-            if ys:
-                y = np.stack(ys).astype(np.float64)
-                total += y.T @ y
+        for term, weight in _rows(batches, shared_idf.value):
+            y = _projected(term, weight, shared_q.value).astype(np.float64)
+            total += y.T @ y
         yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], names=["place", "v"])
 
     total = np.zeros((RANK + OVER) ** 2)
-    for place, v in sample.mapInArrow(gram, "place int, v double").groupBy("place").agg(F.sum("v")).collect():
+    for place, v in passages.mapInArrow(gram, "place int, v double").groupBy("place").agg(F.sum("v")).collect():
         total[place] = v
     shared_idf.unpersist()
     shared_q.unpersist()
@@ -400,10 +427,9 @@ def fitted(docs: DataFrame, benchmark: DataFrame) -> tuple[list[Item], np.ndarra
         return [], np.zeros((TERMS, RANK), np.float32), np.zeros(TERMS, np.float32)
     df, passages = frequencies(texts)
     idf = np.log((passages + 1) / (df + 1)).astype(np.float32) + 1e-3
-    share = min(1.0, SAMPLE / max(1, passages))
-    drawn = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text", F.lit(1.0).alias("scale"))
-    scale = float(np.sqrt(BENCHMARK_SHARE / (1 - BENCHMARK_SHARE) * min(passages, SAMPLE) / len(items)))
-    table = basis(drawn.union(benchmark.select(F.col("text").cast("string"), F.lit(scale))), idf)
+    scale = float(np.sqrt(BENCHMARK_SHARE / (1 - BENCHMARK_SHARE) * passages / len(items)))
+    weighed = texts.select("text", F.lit(1.0).alias("scale")).union(benchmark.select(F.col("text").cast("string"), F.lit(scale)))
+    table = basis(weighed, idf)
     return items, table * idf[:, None], idf
 
 
