@@ -38,9 +38,12 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token sequences, piece by piece."""
-    return pack(docs)
+    return pack(docs, text_bytes=PACKED_BYTES, cached=PACKED_WORDS)
 
 
+#: Packing works in smaller portions than alone: workers still hold what earlier stages left them.
+PACKED_BYTES, PACKED_WORDS = 1 << 20, 60_000
+
 STAGES = [
     ("quality classifier", quality_classifier),
     ("n-gram Jaccard join", near_duplicates),

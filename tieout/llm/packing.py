@@ -26,21 +26,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .tokens import default_vocabulary, encoder, text_blocks
+from .tokens import CACHED_WORDS, default_vocabulary, encoder, text_blocks
 
 WINDOW, GRAIN, DEPTH, SALTS = 4096, 16, 3, 128
 TEXT_BYTES = 3 << 20
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+def tokenised(docs: DataFrame, vocabulary: str, end_id: int, text_bytes: int = TEXT_BYTES, cached: int = CACHED_WORDS) -> DataFrame:
     """A written table (row, doc_id, n, ids); ids are unsigned 16-bit where the vocabulary allows, here always checked."""
     end = np.array([end_id], "<u4").tobytes()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(vocabulary)
+        words = encoder(vocabulary, cached)
         for batch in batches:
-            for i, j, texts in text_blocks(batch.column("text"), TEXT_BYTES):
+            for i, j, texts in text_blocks(batch.column("text"), text_bytes):
                 wide = [np.frombuffer(x + end, "<u4") for x in words.batch(texts)]
                 if any(x.max() > 0xFFFF for x in wide):
                     raise ValueError("the vocabulary has ids beyond 16 bits")
@@ -149,10 +149,16 @@ def _numbered(rows: DataFrame, keys: list[str], amount: str) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
-    """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids as unsigned 32-bit) of every document."""
+def pack(
+    docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, window: int = WINDOW, grain: int = GRAIN, text_bytes: int = TEXT_BYTES, cached: int = CACHED_WORDS
+) -> DataFrame:
+    """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids as unsigned 32-bit) of every document.
+
+    ``text_bytes`` of texts are looked up at once, and ``cached`` words stay in a worker: less of either is less memory
+    and somewhat more time, for the same pieces.
+    """
     spark = docs.sparkSession
-    tokens = tokenised(docs, vocabulary or default_vocabulary(), end_id)
+    tokens = tokenised(docs, vocabulary or default_vocabulary(), end_id, text_bytes, cached)
     slim = written(
         tokens.select(
             "row", (F.col("n") % window).alias("rest"), F.floor(F.col("n") / window).alias("full"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt")
@@ -200,7 +206,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, window
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, ids in text_blocks(batch.column("ids"), TEXT_BYTES):
+            for i, j, ids in text_blocks(batch.column("ids"), text_bytes):
                 docs_, ns, pieces = (batch.column(c).slice(i, j - i).to_pylist() for c in ("doc_id", "n", "pieces"))
                 rows: dict[str, list] = {c.split()[0]: [] for c in PIECES.split(", ")}
                 for doc, n, own, parts in zip(docs_, ns, ids, pieces, strict=True):

@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 
 from .textvec import hash_spans, word_bounds
 
-CACHED_WORDS, CACHED_CORES = 300_000, 300_000
+#: Words, and words without their trailing punctuation, that a worker keeps (some 250 bytes each).
+CACHED_WORDS = 300_000
 CACHED_BYTES = 40
 #: Punctuation that may be taken off the end of a word; no pattern of the vocabulary begins with it.
 _TRAIL = b".,;:!?*%$&#|"
@@ -26,9 +27,10 @@ _MARK = "\x01"
 
 
 class WordEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
+        self.cached = cached
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = False
         self.mark = self.library.encode(_MARK, add_special_tokens=False).ids
@@ -96,9 +98,9 @@ class WordEncoder:
                 if trail:
                     ids += core_of(trail) or got_of(trail, b"")
                 once[w] = ids
-            if len(known) < CACHED_WORDS:
+            if len(known) < self.cached:
                 known.update((w, ids) for w, ids in once.items() if len(w) <= CACHED_BYTES)
-            if len(cores) < CACHED_CORES:
+            if len(cores) < self.cached:
                 cores.update((p, ids) for p, ids in got.items() if len(p) <= CACHED_BYTES)
             found = [once[w] if x is None else x for w, x in zip(words, found, strict=True)]
 
@@ -113,14 +115,14 @@ class WordEncoder:
         return [out[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder in each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cached: int = CACHED_WORDS) -> WordEncoder:
+    """One encoder in each Python worker, with at most about ``cached`` words of either kind in its caches."""
+    if (path, cached) not in _ENCODERS:
+        _ENCODERS[path, cached] = WordEncoder(path, cached)
+    return _ENCODERS[path, cached]
 
 
 def default_vocabulary() -> str:
