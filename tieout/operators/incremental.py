@@ -20,6 +20,7 @@ a reader sees a whole state, never a mixture; folders that no manifest names are
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterable
@@ -36,6 +37,7 @@ from tieout.operators.postings import subledger_postings
 from tieout.operators.staging import GL_KEYS, GL_STAGED_COLUMNS, stage, stg_gl_journal
 from tieout.operators.unique import _position
 from tieout.plans import storage
+from tieout.plans.materialize import open_writers
 from tieout.sources.schemas import raw_schema
 
 POSTING_FEEDS = ["ap_invoices", "ap_payments", "ar_invoices", "ar_receipts", "inv_transactions"]
@@ -43,6 +45,8 @@ SUMS = ["daily_debits_usd", "daily_credits_usd", "daily_net_usd"]
 ACCOUNT = ["entity_id", "account_code"]
 #: Rows of a key range; it is split at twice as many.
 RANGE_ROWS = 2_000_000
+#: Folders that a task writes to at once without sorting its lines by them.
+OPEN_FOLDERS = 32
 
 Files = dict[str, tuple[int, int]]
 
@@ -107,6 +111,7 @@ class IncrementalLedger:
         self.manifest = os.path.join(state_dir, "manifest")
         self.state = State.load(spark, self.manifest)
         self._read = 0
+        self._sizes: dict[str, int] = {}  # of folders, which never change
 
     # ------------------------------------------------------------------ parts
     def _paths(self, table: str, parts: Iterable[str] | None = None) -> list[str]:
@@ -114,8 +119,10 @@ class IncrementalLedger:
         return [p for (t, k), p in self.state.parts.items() if t == table and (wanted is None or k in wanted)]
 
     def _size(self, path: str) -> int:
-        fs, p = storage._fs(self.spark, path)  # noqa: SLF001
-        return fs.getContentSummary(p).getLength()
+        if path not in self._sizes:
+            fs, p = storage._fs(self.spark, path)  # noqa: SLF001
+            self._sizes[path] = fs.getContentSummary(p).getLength()
+        return self._sizes[path]
 
     def _table(self, table: str, schema, parts: Iterable[str] | None = None, count: bool = False) -> DataFrame:
         paths = self._paths(table, parts)
@@ -131,7 +138,8 @@ class IncrementalLedger:
             df.write.option("compression", "zstd").parquet(path)
             self.state.parts[table, part] = path
             return self.spark.read.schema(df.schema).parquet(path)
-        df.withColumn("_folder", F.col("part")).write.option("compression", "zstd").partitionBy("_folder").parquet(path)
+        with open_writers(self.spark, OPEN_FOLDERS):
+            df.withColumn("_folder", F.col("part")).write.option("compression", "zstd").partitionBy("_folder").parquet(path)
         for name in storage.names(self.spark, path):
             if name.startswith("_folder="):
                 self.state.parts[table, name.removeprefix("_folder=")] = os.path.join(path, name)
@@ -173,12 +181,20 @@ class IncrementalLedger:
 
     # -------------------------------------------------------------- staged GL
     def _range(self) -> Column:
-        """The range of a line: the one with the greatest low key that isn't above the line's key."""
+        """The range of a line: the one with the greatest low key that isn't above the line's key, found by halving."""
         key = F.struct(*(F.col(c) for c in GL_KEYS))
         lows = sorted(self.state.lows.items(), key=lambda kv: (kv[1][0] is not None, kv[1][0] or "", kv[1][1] is not None, kv[1][1] or 0))
-        bounds = F.array(*(F.struct(F.lit(j).cast("string").alias(GL_KEYS[0]), F.lit(n).cast("int").alias(GL_KEYS[1])) for _, (j, n) in lows))
-        at = F.size(F.filter(bounds, lambda b: b <= key))
-        return F.element_at(F.array(*(F.lit(k) for k, _ in lows)), F.greatest(at, F.lit(1)))
+        # both lists are parsed once a query (foldable), however many ranges there are
+        bounds = F.from_json(
+            F.lit(json.dumps([dict(zip(GL_KEYS, low, strict=True)) for _, low in lows])),
+            f"array<struct<{GL_KEYS[0]}: string, {GL_KEYS[1]}: int>>")
+        names = F.from_json(F.lit(json.dumps([k for k, _ in lows])), "array<int>")
+        steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(lows).bit_length()))))
+
+        def further(at: Column, step: Column) -> Column:  # `at` lows are known not to be above the key
+            return F.when((at + step <= len(lows)) & (F.get(bounds, at + step - 1) <= key), at + step).otherwise(at)
+
+        return F.element_at(names, F.greatest(F.aggregate(steps, F.lit(0), further), F.lit(1)))
 
     def _deal(self, df: DataFrame, ranges: int, first: int) -> DataFrame:
         """Writes `df` as that many new key ranges, numbered from `first`, and notes their low keys."""
@@ -196,14 +212,20 @@ class IncrementalLedger:
         # the newest copy of each new key; small beside the table, and read several times
         fresh = self._write(stg_gl_journal(raw).withColumn("part", self._range()), "new", "new")
         self._drop("new", ["new"])
-        touched = [r[0] for r in fresh.select("part").distinct().collect()]
+        arrived = {r["part"]: r["count"] for r in fresh.groupBy("part").count().collect()}
+        touched = list(arrived)
         old = self._table("gl", fresh.schema, map(str, touched), count=True)
         # lines whose key may be new are settled with the new lines; the others are copied where they are
         bits = replays.MARK_BITS
         marks, on = replays.marked(fresh.select(_position(GL_KEYS, bits).alias("position")), bits)
-        hit = old.join(marks, on, "left_semi")
+        hit = self._write(old.join(marks, on, "left_semi"), "hit", "hit")
         latest = stg_gl_journal(hit.drop("part", "net_amount_usd").unionByName(fresh.drop("part", "net_amount_usd")))
-        settled = latest.withColumn("part", self._range()).repartition("part", F.pmod(F.hash(*GL_KEYS), F.lit(8)))
+        # a range that took in very many lines is dealt over several tasks, each of which adds a file to it
+        salts = max(1, -(-max(arrived.values()) // self.range_rows))
+        settled = latest.withColumn("part", self._range()).repartition("part", F.pmod(F.hash(*GL_KEYS), F.lit(salts)))
+        settled = self._write(settled, "settled", "settled")
+        self._drop("hit", ["hit"])
+        self._drop("settled", ["settled"])
         self._drop("gl", touched)
         written = self._write(settled.unionByName(old.join(marks, on, "left_anti")), "gl")
         for r in written.groupBy("part").count().where(F.col("count") > 2 * self.range_rows).collect():
@@ -219,7 +241,7 @@ class IncrementalLedger:
             same = [lines[k].eqNullSafe(keys[k]) for k in GL_KEYS]
             return lines.join(keys, same[0] & same[1], "left_semi").drop("part")
 
-        gone, come = of_new_keys(hit), of_new_keys(written.join(marks, on, "left_semi"))
+        gone, come = of_new_keys(hit), of_new_keys(settled)
         return gone.withColumn("sign", F.lit(-1)).unionByName(come.withColumn("sign", F.lit(1)))
 
     # ---------------------------------------------------------- trial balances
