@@ -94,7 +94,8 @@ CHECKS: list[Check] = [
 
 
 def spark_models(led):
-    m = {t: (lambda t=t: led.raw(t)) for t in [
+    # feeds are gone over once or twice, so none is landed for its checks
+    m = {t: (lambda t=t: led.feed(t)) for t in [
         "dim_entity", "dim_account", "fx_rate", "ap_invoices", "ap_payments", "ap_accruals", "ar_invoices",
         "ar_receipts", "ar_credit_memos", "inv_transactions", "gl_journal"]}
     m.update({
